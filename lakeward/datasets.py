@@ -20,7 +20,7 @@ def _columns(text: str) -> StructType:
     return StructType([StructField(name, _TYPES[kind], True) for name, kind in pairs])
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Dataset:
     """One feed. ``name`` labels metrics, ``feed`` names the landing folder and bronze table."""
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS, Dataset
 from lakeward.functions.expressions import joined_key
-from lakeward.operators.rules import PASSED
+from lakeward.operators.rules import PASSED, passing
 from lakeward.schemas import SERIALIZATION_ERRORS
 
 RESCUED = "_rescued_data"
@@ -83,7 +83,7 @@ def duplicate_recount(validated: Mapping[str, DataFrame], metrics: DataFrame) ->
     """
     recounts = []
     for d in DATASETS:
-        keys = validated[d.name].filter(F.col(PASSED)).groupBy(*d.keys).agg(F.count(F.lit(1)).alias("_rows"))
+        keys = passing(validated[d.name], d.all_rules).groupBy(*d.keys).agg(F.count(F.lit(1)).alias("_rows"))
         recounts.append(
             keys.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("recounted")).select(
                 F.lit(d.name).alias("dataset_name"), "recounted"

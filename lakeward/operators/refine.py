@@ -66,7 +66,7 @@ def silver(validated: DataFrame, dataset: Dataset, run_ts: datetime) -> DataFram
 
     Rows are filtered before the window, so NULL keys and rejected rows never reach the shuffle.
     """
-    valid = drop_flags(passing(validated), dataset.all_rules)
+    valid = drop_flags(passing(validated, dataset.all_rules), dataset.all_rules)
     return (
         latest_by(valid, dataset.keys)
         .withColumnRenamed("processed_timestamp", "bronze_processed_timestamp")

@@ -49,7 +49,8 @@ def refresh(
         # No shuffle: each task splits its own rows into a passing and a rejected file.
         judged.write.mode("overwrite").partitionBy(PASSED).parquet(f"{staging}/{d.name}")
         staged[d.name] = spark.read.schema(judged.schema).parquet(f"{staging}/{d.name}")
-        store(d.silver_table, silver(staged[d.name], d, run_ts).drop("record_payload"))
+        kept_rows = staged[d.name].filter(F.col(PASSED)).drop("record_payload")
+        store(d.silver_table, silver(kept_rows, d, run_ts))
         store(d.quarantine_table, quarantine(staged[d.name], d, run_ts))
 
     store("file_inventory", quality.file_inventory(bronze))
