@@ -98,20 +98,22 @@ def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) ->
     if multi_line:
         many = F.from_json("_text", "array<map<string,string>>")
         records = F.when(F.ltrim("_text").startswith("["), many).otherwise(F.array(one))
-        # A document that cannot be read has no records; the outer explode keeps its text.
-        df = df.select(*FILE_METADATA, "_text", F.explode_outer(records).alias("_fields"))
+        df = df.withColumn("_records", F.filter(records, lambda r: r.isNotNull()))
+        # Only a document that cannot be read keeps its text: the explode copies every other
+        # column into each row.
+        unread = F.when(F.coalesce(F.size("_records"), F.lit(0)) == 0, F.col("_text"))
+        df = df.withColumn("_unread", F.when(~F.trim("_text").rlike(r"^\[\s*\]$"), unread)).drop("_text")
+        df = df.select(*FILE_METADATA, "_unread", F.explode_outer("_records").alias("_fields"))
+        df = df.filter(F.col("_fields").isNotNull() | F.col("_unread").isNotNull())
     else:
-        df = df.select(*FILE_METADATA, "_text", one.alias("_fields"))
+        df = df.withColumn("_fields", one)
+        df = df.select(*FILE_METADATA, "_fields", F.when(F.col("_fields").isNull(), F.col("_text")).alias("_unread"))
     names = schema.fieldNames()
     fields = F.col("_fields")
+    undeclared = F.map_filter(fields, lambda k, _: ~k.isin(names))
+    nothing = F.expr("cast(map() as map<string,string>)")
     return project_declared(
-        df,
-        schema,
-        {n: fields.getItem(n) for n in names},
-        F.coalesce(
-            F.map_filter(fields, lambda k, _: ~k.isin(names)), F.expr("cast(map() as map<string,string>)")
-        ),
-        F.when(fields.isNull(), F.col("_text")),
+        df, schema, {n: fields.getItem(n) for n in names}, F.coalesce(undeclared, nothing), F.col("_unread")
     )
 
 
