@@ -36,30 +36,33 @@ def project_declared(
     df: DataFrame,
     schema: StructType,
     raw: Mapping[str, Column],
-    undeclared: Column | None,
-    malformed: Column | None = None,
+    extra: Mapping[str, Column],
+    undeclared: Column | None = None,
 ) -> DataFrame:
     """Select the declared columns with their types, the file columns and ``_rescued_data``.
 
     ``raw`` gives the text of each column that exists; a declared column without text becomes
-    a typed NULL. ``undeclared`` is a map of the remaining fields.
+    a typed NULL. ``extra`` holds further fields to rescue whose names are known, and
+    ``undeclared`` a map of those whose names only the data knows.
     """
-    declared, kept = [], []
+    declared, kept = [], {}
     for f in schema:
         text = raw.get(f.name)
         value = F.lit(None).cast(f.dataType) if text is None else tolerant_cast(text, f.dataType)
         declared.append(value.alias(f.name))
         if text is not None and not isinstance(f.dataType, StringType):
-            kept += [F.lit(f.name), F.when(value.isNull(), text)]
-    if malformed is not None:
-        kept += [F.lit(CORRUPT), malformed]
-    parts = [F.create_map(*kept)] if kept else []
-    if undeclared is not None:
-        parts.append(undeclared)
-    rescued = F.lit(None).cast("string")
-    if parts:
-        fields = F.map_filter(F.map_concat(*parts) if len(parts) > 1 else parts[0], lambda _, v: v.isNotNull())
-        rescued = F.when(F.size(fields) > 0, F.to_json(fields))
+            kept[f.name] = F.when(value.isNull(), text)
+    kept |= extra
+    # The test is cheap and false for a clean row, which then builds no JSON.
+    needed = F.coalesce(*kept.values(), F.lit(None)).isNotNull() if kept else F.lit(False)
+    if undeclared is None:
+        # NULL fields are left out of the JSON text.
+        fields = F.to_json(F.struct(*[v.alias(k) for k, v in kept.items()])) if kept else F.lit(None)
+    else:
+        needed = needed | (F.size(undeclared) > 0)
+        known = F.create_map(*[item for k, v in kept.items() for item in (F.lit(k), v)])
+        fields = F.to_json(F.map_concat(F.map_filter(known, lambda _, v: v.isNotNull()), undeclared))
+    rescued = F.when(needed, fields).cast("string")
     return df.select(*declared, *FILE_METADATA, rescued.alias("_rescued_data"))
 
 
@@ -79,9 +82,9 @@ def csv_rows(reader, path: str, schema: StructType, header: Sequence[str]) -> Da
     )
     df = source.select(*[F.col(f"`{c}`") for c in header], CORRUPT, *_file_metadata())
     names = schema.fieldNames()
-    raw = {c: F.col(f"`{c}`") for c in header if c in names}
-    extra = [item for c in header if c not in names for item in (F.lit(c), F.col(f"`{c}`"))]
-    return project_declared(df, schema, raw, F.create_map(*extra) if extra else None, F.col(CORRUPT))
+    texts = {c: F.col(f"`{c}`") for c in header}
+    extra = {CORRUPT: F.col(CORRUPT)} | {c: t for c, t in texts.items() if c not in names}
+    return project_declared(df, schema, {c: t for c, t in texts.items() if c in names}, extra)
 
 
 def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
@@ -110,10 +113,13 @@ def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) ->
         df = df.select(*FILE_METADATA, "_fields", F.when(F.col("_fields").isNull(), F.col("_text")).alias("_unread"))
     names = schema.fieldNames()
     fields = F.col("_fields")
-    undeclared = F.map_filter(fields, lambda k, _: ~k.isin(names))
-    nothing = F.expr("cast(map() as map<string,string>)")
+    undeclared = F.map_filter(fields, lambda k, v: ~k.isin(names) & v.isNotNull())
     return project_declared(
-        df, schema, {n: fields.getItem(n) for n in names}, F.coalesce(undeclared, nothing), F.col("_unread")
+        df,
+        schema,
+        {n: fields.getItem(n) for n in names},
+        {CORRUPT: F.col("_unread")},
+        F.coalesce(undeclared, F.expr("cast(map() as map<string,string>)")),
     )
 
 
