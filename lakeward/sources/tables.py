@@ -66,6 +66,17 @@ def create_tables(spark: SparkSession, prefix: str = "", partition_by: str = "ba
     return created
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a table with fewer files than the session has cores one partition per core.
+
+    A file with a single row group is read by one task, whatever follows. ``keys`` identify a
+    row, so the partitions are even and a task that runs again sends its rows the same way. A
+    table of many files is returned unchanged: there the shuffle would only cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def preview(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:
     """The first rows in a stated order; planned as a top-k, not as a full sort."""
     return df.orderBy(*order_by).limit(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 from functools import cache
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDULE, Dataset
+from lakeward.sources.tables import spread
 from lakeward.workload import feed_sql
 
 # Stated instead of read from the clock, so results can be compared.
@@ -29,7 +31,14 @@ RAW_SQL = {
     STAFF_SCHEDULE.name: feed_sql.RAW_STAFF_SCHEDULE,
     SERVICES.name: feed_sql.RAW_SERVICES_WEEKLY,
 }
-_TABLES = ("nation", "customer", "orders", "lineitem", "events")
+# Tables the feeds read, with the columns that identify a row.
+_TABLES = {
+    "nation": ("n_nationkey",),
+    "customer": ("c_custkey",),
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "events": ("event_id",),
+}
 ROWS_PER_DOCUMENT = 50_000
 
 
@@ -39,8 +48,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @cache
 def _with_arguments(text: str, names: tuple[str, ...]) -> str:
-    import re
-
     for name in names:
         text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
     return text
@@ -52,18 +59,26 @@ def _query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
 
 
 def _from_tables(spark: SparkSession, sf_dir: str, text: str, **frames: DataFrame) -> DataFrame:
-    wanted = [t for t in _TABLES if f"FROM {t}" in text or f"JOIN {t}" in text]
-    return _query(spark, text, **{t: table(spark, sf_dir, t) for t in wanted}, **frames)
+    named = [t for t in re.findall(r"\b(?:FROM|JOIN) (\w+)", text) if t in _TABLES]
+    tables = {t: table(spark, sf_dir, t) for t in named}
+    # Rows follow the first table of a join; the others keep their size for Catalyst to judge.
+    tables[named[0]] = spread(tables[named[0]], *_TABLES[named[0]])
+    return _query(spark, text, **tables, **frames)
 
 
 def keyed_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
-    """Feed rows with ``row_key``, unique per row.
+    """Feed rows with ``row_key``, unique per row."""
+    return _from_tables(spark, sf_dir, BRONZE_SQL[dataset.name])
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows with every column computed once, before anything that follows.
 
-    The made-up service figures are long expressions. A real bronze table holds them as plain
-    columns; here the generator keeps the optimizer from copying them into every rule.
+    Feed columns are long expressions, where a stored bronze table holds plain columns. Left to
+    itself the optimizer copies them into every rule, and the generated methods become too long
+    for the JIT compiler; it does not copy through a generator.
     """
-    rows = _from_tables(spark, sf_dir, BRONZE_SQL[dataset.name])
-    return rows.select(F.inline(F.array(F.struct("*")))) if dataset is SERVICES else rows
+    return df.select(F.inline(F.array(F.struct("*"))))
 
 
 def bronze(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:

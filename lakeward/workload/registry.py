@@ -22,7 +22,7 @@ from lakeward.plans.refresh import refresh
 from lakeward.plans.scratch import scratch_root
 from lakeward.sources.landing import csv_rows, csv_header, json_rows, read_landing, tag_source
 from lakeward.sources.listing import landed_files
-from lakeward.sources.tables import preview
+from lakeward.sources.tables import preview, write_path
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 from lakeward.workload import feeds
 from lakeward.workload.feeds import AS_OF, RUN_TS
@@ -57,14 +57,18 @@ class Session:
     def all_bronze(self) -> dict[str, DataFrame]:
         return {d.name: self.bronze(d) for d in DATASETS}
 
+    def settled(self, d: Dataset) -> DataFrame:
+        """Bronze rows for the queries that apply rules to them."""
+        return feeds.settled(self.bronze(d))
+
     def processed(self, d: Dataset) -> DataFrame:
-        return refine.process(self.bronze(d), d)
+        return refine.process(self.settled(d), d)
 
     def silver(self, d: Dataset) -> DataFrame:
         return refine.silver(self.processed(d), d, RUN_TS)
 
     def quarantine(self, d: Dataset) -> DataFrame:
-        return refine.quarantine(refine.process(refine.with_payload(self.bronze(d)), d), d, RUN_TS)
+        return refine.quarantine(refine.process(refine.with_payload(self.settled(d)), d), d, RUN_TS)
 
     def patient_flow(self) -> DataFrame:
         return gold.patient_flow(self.silver(PATIENTS), RUN_TS)
@@ -233,7 +237,7 @@ def _normalized(s: Session, d: Dataset) -> DataFrame:
 
 
 def _validated(s: Session, d: Dataset) -> DataFrame:
-    out = R.validate(refine.normalize(s.bronze(d), d), d.rules)
+    out = R.validate(refine.normalize(s.settled(d), d), d.rules)
     return out.select("record_hash", *[r.flag for r in d.rules], R.PASSED)
 
 
@@ -258,13 +262,13 @@ def _quarantined(s: Session, d: Dataset) -> DataFrame:
 
 
 def _validate_services_kpis(spark, sf_dir):
-    measured = service_kpis(refine.normalize(feeds.bronze(spark, sf_dir, SERVICES), SERVICES))
+    measured = service_kpis(refine.normalize(Session(spark, sf_dir).settled(SERVICES), SERVICES))
     judged = R.extend_validation(measured, SERVICES.rules, SERVICES.indicator_rules)
     return judged.select("record_hash", *[r.flag for r in SERVICES.all_rules], R.PASSED)
 
 
 def _service_kpis(spark, sf_dir):
-    measured = service_kpis(refine.normalize(feeds.bronze(spark, sf_dir, SERVICES), SERVICES))
+    measured = service_kpis(refine.normalize(Session(spark, sf_dir).settled(SERVICES), SERVICES))
     return measured.select("record_hash", *_indicators(SERVICES))
 
 
@@ -280,8 +284,13 @@ def _quarantine_id(spark, sf_dir):
 
 
 def _refreshed(spark, sf_dir):
-    """The bottleneck table after a full recompute that writes every table."""
-    tables = refresh(spark, feeds.all_bronze(spark, sf_dir), RUN_TS, scratch_root(spark, "tables"))
+    """The bottleneck table after a full run: bronze is stored, then every other table from it."""
+    root = scratch_root(spark, "tables")
+    stored = {}
+    for name, df in Session(spark, sf_dir).all_bronze().items():
+        write_path(df, f"{root}/bronze_{name}")
+        stored[name] = spark.read.parquet(f"{root}/bronze_{name}")
+    tables = refresh(spark, stored, RUN_TS, root, f"{root}/staging")
     table = tables["bottleneck_analysis"]
     return table.withColumn("batch_id", F.col("batch_id").cast("string"))
 
