@@ -96,16 +96,16 @@ def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) ->
     ``multi_line=False``.
     """
     text = reader.format("text").option("wholetext", multi_line).load(path)
-    df = text.select(F.col("value").alias("_text"), *_file_metadata()).filter(F.trim("_text") != "")
+    df = text.select(F.col("value").alias("_text"), *_file_metadata()).filter(F.col("_text").rlike(r"\S"))
     one = F.from_json("_text", "map<string,string>")
     if multi_line:
         many = F.from_json("_text", "array<map<string,string>>")
-        records = F.when(F.ltrim("_text").startswith("["), many).otherwise(F.array(one))
+        records = F.when(F.col("_text").rlike(r"^\s*\["), many).otherwise(F.array(one))
         df = df.withColumn("_records", F.filter(records, lambda r: r.isNotNull()))
         # Only a document that cannot be read keeps its text: the explode copies every other
         # column into each row.
         unread = F.when(F.coalesce(F.size("_records"), F.lit(0)) == 0, F.col("_text"))
-        df = df.withColumn("_unread", F.when(~F.trim("_text").rlike(r"^\[\s*\]$"), unread)).drop("_text")
+        df = df.withColumn("_unread", F.when(~F.col("_text").rlike(r"^\s*\[\s*\]\s*$"), unread)).drop("_text")
         df = df.select(*FILE_METADATA, "_unread", F.explode_outer("_records").alias("_fields"))
         df = df.filter(F.col("_fields").isNotNull() | F.col("_unread").isNotNull())
     else:
