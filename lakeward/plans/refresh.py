@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF_SCHEDULE
+from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF_SCHEDULE, Dataset
 from lakeward.operators import gold, quality
 from lakeward.operators.refine import process, quarantine, silver, with_payload
 from lakeward.operators.rules import PASSED
 from lakeward.plans.scratch import scratch_root
 from lakeward.sources.tables import write_path
 
+CONCURRENT_WRITES = 4
 
-def validated(bronze: DataFrame, dataset) -> DataFrame:
+
+def side_by_side(calls: list[Callable[[], None]]) -> None:
+    """Submit independent writes together, so that small jobs share the cluster; raise the first failure."""
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        for done in [pool.submit(call) for call in calls]:
+            done.result()
+
+
+def stored(df: DataFrame, path: str, **layout) -> DataFrame:
+    """Write a frame and read it back: later steps start from the files, not from its lineage."""
+    write_path(df, path, **layout)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def validated(bronze: DataFrame, dataset: Dataset) -> DataFrame:
     """Processed bronze rows; rejected ones carry their original row."""
     out = process(with_payload(bronze), dataset)
     return out.withColumn("record_payload", F.when(~F.col(PASSED), F.col("record_payload")))
@@ -38,31 +54,44 @@ def refresh(
     """
     staging = staging or scratch_root(spark, "validated")
     tables: dict[str, DataFrame] = {}
+    staged: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame, **layout) -> None:
-        write_path(df, f"{root}/{name}", **layout)
-        tables[name] = spark.read.parquet(f"{root}/{name}")
+        tables[name] = stored(df, f"{root}/{name}", **layout)
 
-    staged = {}
-    for d in DATASETS:
+    def stage(d: Dataset) -> None:
         judged = validated(bronze[d.name], d)
+        path = f"{staging}/{d.name}"
         # No shuffle: each task splits its own rows into a passing and a rejected file.
-        judged.write.mode("overwrite").partitionBy(PASSED).parquet(f"{staging}/{d.name}")
-        staged[d.name] = spark.read.schema(judged.schema).parquet(f"{staging}/{d.name}")
-        kept_rows = staged[d.name].filter(F.col(PASSED)).drop("record_payload")
-        store(d.silver_table, silver(kept_rows, d, run_ts))
+        judged.write.mode("overwrite").partitionBy(PASSED).parquet(path)
+        staged[d.name] = spark.read.schema(judged.schema).parquet(path)
+
+    def keep(d: Dataset) -> None:
+        store(d.silver_table, silver(staged[d.name].filter(F.col(PASSED)).drop("record_payload"), d, run_ts))
+
+    def reject(d: Dataset) -> None:
         store(d.quarantine_table, quarantine(staged[d.name], d, run_ts))
 
-    store("file_inventory", quality.file_inventory(bronze))
-    kept = {d.name: tables[d.silver_table] for d in DATASETS}
-    store("data_quality_metrics", quality.data_quality_metrics(staged, kept, run_ts))
-    store("serialization_errors", quality.serialization_errors(spark, bronze))
+    side_by_side([lambda d=d: stage(d) for d in DATASETS])
+    side_by_side([lambda d=d, act=act: act(d) for d in DATASETS for act in (keep, reject)])
 
-    by_batch = {"partition_by": ("batch_id",), "sort_by": ("service",)}
+    kept = {d.name: tables[d.silver_table] for d in DATASETS}
     services, schedule, patients = kept[SERVICES.name], kept[STAFF_SCHEDULE.name], kept[PATIENTS.name]
-    store("patient_flow", gold.patient_flow(patients, run_ts), **by_batch)
-    store("staff_efficiency", gold.staff_efficiency(schedule, run_ts), **by_batch)
-    store("bed_utilization", gold.bed_utilization(services, run_ts), **by_batch)
-    store("operational_efficiency", gold.operational_efficiency(services, schedule, patients, run_ts), **by_batch)
-    store("bottleneck_analysis", gold.bottleneck_analysis(tables["operational_efficiency"], run_ts), **by_batch)
+    layout = {"partition_by": ("batch_id",), "sort_by": ("service",)}
+
+    def efficiency() -> None:
+        store("operational_efficiency", gold.operational_efficiency(services, schedule, patients, run_ts), **layout)
+        store("bottleneck_analysis", gold.bottleneck_analysis(tables["operational_efficiency"], run_ts), **layout)
+
+    side_by_side(
+        [
+            lambda: store("data_quality_metrics", quality.data_quality_metrics(staged, kept, run_ts)),
+            lambda: store("file_inventory", quality.file_inventory(bronze)),
+            lambda: store("serialization_errors", quality.serialization_errors(spark, bronze)),
+            lambda: store("patient_flow", gold.patient_flow(patients, run_ts), **layout),
+            lambda: store("staff_efficiency", gold.staff_efficiency(schedule, run_ts), **layout),
+            lambda: store("bed_utilization", gold.bed_utilization(services, run_ts), **layout),
+            efficiency,
+        ]
+    )
     return tables

@@ -92,10 +92,6 @@ def bronze(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     ).drop("row_key")
 
 
-def all_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {d.name: bronze(spark, sf_dir, d) for d in DATASETS}
-
-
 def raw_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """The feed as text with unreadable values and undeclared fields."""
     return _query(spark, RAW_SQL[dataset.name], **{dataset.bronze_table: keyed_feed(spark, sf_dir, dataset)})

@@ -18,11 +18,11 @@ from lakeward.operators import alerts, arrivals, batches, checks, gold, quality,
 from lakeward.operators import rules as R
 from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
-from lakeward.plans.refresh import refresh
+from lakeward.plans.refresh import refresh, side_by_side, stored
 from lakeward.plans.scratch import scratch_root
 from lakeward.sources.landing import csv_rows, csv_header, json_rows, read_landing, tag_source
 from lakeward.sources.listing import landed_files
-from lakeward.sources.tables import preview, write_path
+from lakeward.sources.tables import preview
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 from lakeward.workload import feeds
 from lakeward.workload.feeds import AS_OF, RUN_TS
@@ -87,13 +87,26 @@ class Session:
     def bottleneck_analysis(self) -> DataFrame:
         return gold.bottleneck_analysis(self.operational_efficiency(), RUN_TS)
 
-    def gold(self) -> dict[str, DataFrame]:
+    def stored_silver(self, datasets: tuple[Dataset, ...] = DATASETS) -> dict[str, DataFrame]:
+        """Silver tables as files, for queries that read them several times."""
+        root = scratch_root(self.spark, "silver")
+        kept: dict[str, DataFrame] = {}
+
+        def store(d: Dataset) -> None:
+            kept[d.name] = stored(self.silver(d), f"{root}/{d.silver_table}")
+
+        side_by_side([lambda d=d: store(d) for d in datasets])
+        return kept
+
+    def gold_of(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        services, schedule, patients = silver[SERVICES.name], silver[STAFF_SCHEDULE.name], silver[PATIENTS.name]
+        efficiency = gold.operational_efficiency(services, schedule, patients, RUN_TS)
         return {
-            "patient_flow": self.patient_flow(),
-            "staff_efficiency": self.staff_efficiency(),
-            "bed_utilization": self.bed_utilization(),
-            "operational_efficiency": self.operational_efficiency(),
-            "bottleneck_analysis": self.bottleneck_analysis(),
+            "patient_flow": gold.patient_flow(patients, RUN_TS),
+            "staff_efficiency": gold.staff_efficiency(schedule, RUN_TS),
+            "bed_utilization": gold.bed_utilization(services, RUN_TS),
+            "operational_efficiency": efficiency,
+            "bottleneck_analysis": gold.bottleneck_analysis(efficiency, RUN_TS),
         }
 
     def quality_metrics(self) -> DataFrame:
@@ -286,13 +299,13 @@ def _quarantine_id(spark, sf_dir):
 def _refreshed(spark, sf_dir):
     """The bottleneck table after a full run: bronze is stored, then every other table from it."""
     root = scratch_root(spark, "tables")
-    stored = {}
-    for name, df in Session(spark, sf_dir).all_bronze().items():
-        write_path(df, f"{root}/bronze_{name}")
-        stored[name] = spark.read.parquet(f"{root}/bronze_{name}")
-    tables = refresh(spark, stored, RUN_TS, root, f"{root}/staging")
-    table = tables["bottleneck_analysis"]
-    return table.withColumn("batch_id", F.col("batch_id").cast("string"))
+    bronze: dict[str, DataFrame] = {}
+
+    def store(d: Dataset, df: DataFrame) -> None:
+        bronze[d.name] = stored(df, f"{root}/{d.bronze_table}")
+
+    side_by_side([lambda d=d: store(d, feeds.bronze(spark, sf_dir, d)) for d in DATASETS])
+    return refresh(spark, bronze, RUN_TS, root, f"{root}/staging")["bottleneck_analysis"]
 
 
 # --- control, checks ---------------------------------------------------------------------
@@ -318,21 +331,23 @@ def _batch_fail(s: Session) -> DataFrame:
 
 
 def _all_tables(s: Session) -> dict[str, DataFrame]:
+    silver = s.stored_silver()
     return (
         {d.bronze_table: s.bronze(d) for d in DATASETS}
-        | {d.silver_table: s.silver(d) for d in DATASETS}
-        | s.gold()
+        | {d.silver_table: silver[d.name] for d in DATASETS}
+        | s.gold_of(silver)
     )
 
 
 def _lineage_layers(s: Session) -> DataFrame:
-    return checks.lineage_layers(
-        {"Bronze": s.bronze(PATIENTS), "Silver": s.silver(PATIENTS), "Gold": s.patient_flow()}
-    )
+    silver = s.stored_silver((PATIENTS,))[PATIENTS.name]
+    gold_table = gold.patient_flow(silver, RUN_TS)
+    return checks.lineage_layers({"Bronze": s.bronze(PATIENTS), "Silver": silver, "Gold": gold_table})
 
 
 def _lineage_e2e(s: Session) -> DataFrame:
-    return checks.lineage_end_to_end(s.state(), s.bronze(PATIENTS), s.silver(PATIENTS), s.patient_flow())
+    silver = s.stored_silver((PATIENTS,))[PATIENTS.name]
+    return checks.lineage_end_to_end(s.state(), s.bronze(PATIENTS), silver, gold.patient_flow(silver, RUN_TS))
 
 
 def _check_silver(s: Session) -> DataFrame:
@@ -434,7 +449,7 @@ def _build() -> dict[str, Query]:
             lambda s: checks.check_known_batches({d.bronze_table: s.bronze(d) for d in DATASETS}, s.state())
         ),
         "check_batch_silver": _of(_check_silver),
-        "check_batch_gold": _of(lambda s: checks.check_one_batch(s.gold(), "gold")),
+        "check_batch_gold": _of(lambda s: checks.check_one_batch(s.gold_of(s.stored_silver()), "gold")),
         "check_metadata": _of(lambda s: checks.check_metadata({d.bronze_table: s.bronze(d) for d in DATASETS}, "BRONZE")),
         "check_inventory": _of(lambda s: checks.check_inventory(quality.file_inventory(s.all_bronze()))),
         "avg_by_range_udf": _avg_by_range,
