@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,10 @@ from lakeward.sources.tables import write_path
 CONCURRENT_WRITES = 4
 
 
-def side_by_side(calls: list[Callable[[], None]]) -> None:
+def side_by_side(spark: SparkSession, calls: list[Callable[[], None]]) -> None:
     """Submit independent writes together, so that small jobs share the cluster; raise the first failure."""
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        for done in [pool.submit(call) for call in calls]:
+        for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]:
             done.result()
 
 
@@ -72,8 +73,8 @@ def refresh(
     def reject(d: Dataset) -> None:
         store(d.quarantine_table, quarantine(staged[d.name], d, run_ts))
 
-    side_by_side([lambda d=d: stage(d) for d in DATASETS])
-    side_by_side([lambda d=d, act=act: act(d) for d in DATASETS for act in (keep, reject)])
+    side_by_side(spark, [lambda d=d: stage(d) for d in DATASETS])
+    side_by_side(spark, [lambda d=d, act=act: act(d) for d in DATASETS for act in (keep, reject)])
 
     kept = {d.name: tables[d.silver_table] for d in DATASETS}
     services, schedule, patients = kept[SERVICES.name], kept[STAFF_SCHEDULE.name], kept[PATIENTS.name]
@@ -84,6 +85,7 @@ def refresh(
         store("bottleneck_analysis", gold.bottleneck_analysis(tables["operational_efficiency"], run_ts), **layout)
 
     side_by_side(
+        spark,
         [
             lambda: store("data_quality_metrics", quality.data_quality_metrics(staged, kept, run_ts)),
             lambda: store("file_inventory", quality.file_inventory(bronze)),
@@ -92,6 +94,6 @@ def refresh(
             lambda: store("staff_efficiency", gold.staff_efficiency(schedule, run_ts), **layout),
             lambda: store("bed_utilization", gold.bed_utilization(services, run_ts), **layout),
             efficiency,
-        ]
+        ],
     )
     return tables

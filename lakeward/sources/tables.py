@@ -67,14 +67,15 @@ def create_tables(spark: SparkSession, prefix: str = "", partition_by: str = "ba
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table with fewer files than the session has cores one partition per core.
+    """Give a scan with fewer tasks than the session has cores one partition per core.
 
-    A file with a single row group is read by one task, whatever follows. ``keys`` identify a
-    row, so the partitions are even and a task that runs again sends its rows the same way. A
-    table of many files is returned unchanged: there the shuffle would only cost.
+    A small file with a single row group is read by one task, whatever follows. ``keys``
+    identify a row, so the partitions are even and a task that runs again sends its rows the
+    same way. A table that already fills the cores is returned unchanged: there the shuffle
+    would only cost. Asking for the number of scan tasks plans the scan but reads nothing.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def preview(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:

@@ -95,7 +95,7 @@ class Session:
         def store(d: Dataset) -> None:
             kept[d.name] = stored(self.silver(d), f"{root}/{d.silver_table}")
 
-        side_by_side([lambda d=d: store(d) for d in datasets])
+        side_by_side(self.spark, [lambda d=d: store(d) for d in datasets])
         return kept
 
     def gold_of(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -304,7 +304,7 @@ def _refreshed(spark, sf_dir):
     def store(d: Dataset, df: DataFrame) -> None:
         bronze[d.name] = stored(df, f"{root}/{d.bronze_table}")
 
-    side_by_side([lambda d=d: store(d, feeds.bronze(spark, sf_dir, d)) for d in DATASETS])
+    side_by_side(spark, [lambda d=d: store(d, feeds.bronze(spark, sf_dir, d)) for d in DATASETS])
     return refresh(spark, bronze, RUN_TS, root, f"{root}/staging")["bottleneck_analysis"]
 
 

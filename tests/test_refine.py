@@ -134,6 +134,21 @@ def test_record_hashes_are_repeatable_and_unique_with_copy_numbers(spark):
     assert len(set(hashes(numbered))) == 4 and hashes(numbered) == hashes(number_copies(df.repartition(2)))
 
 
+def test_a_key_that_holds_most_rows_is_deduplicated_like_any_other(spark):
+    # One key has four fifths of the rows; compare with a plain loop over them.
+    changes = [
+        {"staff_id": "hot" if i % 5 else f"s{i}", "processed_timestamp": datetime(2026, 1, 1 + (i * 7) % 25)}
+        for i in range(400)
+    ]
+    best = {}
+    for i, c in enumerate(changes):
+        place = (c["processed_timestamp"], -i)
+        best[c["staff_id"]] = max(best.get(c["staff_id"], place), place)
+    judged = refine.process(rows(spark, STAFF, changes).repartition(4), STAFF)
+    kept = refine.silver(judged, STAFF, RUN_TS).collect()
+    assert {r.staff_id: r.record_hash for r in kept} == {k: f"h{-i:03d}" for k, (_, i) in best.items()}
+
+
 def test_deduplication_limits_groups_before_the_shuffle(spark):
     plan = plan_of(refine.silver(refine.process(rows(spark, PATIENTS, [{}]), PATIENTS), PATIENTS, RUN_TS))
     before, after = plan.index("Final"), plan.index("Partial")
