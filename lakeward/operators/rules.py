@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +23,9 @@ class Rule:
 RuleSet = tuple[Rule, ...]
 
 
-def _verdict(parts: Iterable[Column]) -> Column:
-    """All parts hold; an unknown (NULL) part counts as a failure."""
-    return F.coalesce(reduce(lambda a, b: a & b, parts), F.lit(False))
+def _verdict(flags: Iterable[str]) -> Column:
+    """All flags hold; an unknown (NULL) flag counts as a failure."""
+    return F.expr(f"coalesce({' AND '.join(flags)}, false)")
 
 
 def _flags(rules: Sequence[Rule]) -> dict[str, Column]:
@@ -36,14 +35,14 @@ def _flags(rules: Sequence[Rule]) -> dict[str, Column]:
 def validate(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Add one boolean column per rule and ``validation_passed``."""
     flagged = df.withColumns(_flags(rules))
-    return flagged.withColumn(PASSED, _verdict(F.col(r.flag) for r in rules))
+    return flagged.withColumn(PASSED, _verdict(r.flag for r in rules))
 
 
 def extend_validation(df: DataFrame, base: RuleSet, extra: RuleSet) -> DataFrame:
     """Tighten an existing verdict by further rules; runs the base rules first if they are missing."""
     judged = df if PASSED in df.columns else validate(df, base)
     flagged = judged.withColumns(_flags(extra))
-    return flagged.withColumn(PASSED, _verdict([F.col(PASSED), *(F.col(r.flag) for r in extra)]))
+    return flagged.withColumn(PASSED, _verdict([PASSED, *(r.flag for r in extra)]))
 
 
 def explain_failures(df: DataFrame, rules: RuleSet) -> DataFrame:
@@ -74,7 +73,7 @@ def passing(df: DataFrame, rules: RuleSet) -> DataFrame:
     Stated as one conjunct per rule, which Catalyst can split and push into the scan; the
     single verdict column hides them behind a ``coalesce``.
     """
-    return df.filter(reduce(lambda a, b: a & b, [F.col(r.flag) for r in rules]))
+    return df.filter(" AND ".join(r.flag for r in rules))
 
 
 def failing(df: DataFrame) -> DataFrame:
