@@ -72,7 +72,7 @@ def piece_counter(path: str) -> tuple[Counts, re.Pattern]:
     """Counts by the pieces of a sentencepiece BPE model, and a pattern of the words it never merges across.
 
     A word is a run of spaces with what follows up to the next space or line end and, if no piece
-    joins ``SIGNS`` to anything else, up to the next change between these and others. The model must
+    joins letters or digits to ``SIGNS``, up to the next change between these. The model must
     have byte fallback, the identity normalizer with a space put before the text, and no
     piece that would cross words; anything else is refused.
     """
@@ -93,10 +93,11 @@ def piece_counter(path: str) -> tuple[Counts, re.Pattern]:
         raise ValueError(f"{path}: a model of this kind is not supported")
     order = sorted({score for _, score in pieces}, reverse=True)
     rank = {score: i for i, score in enumerate(order)}
-    joined = any(a != SPACE and (a in SIGNS) != (b in SIGNS) for p, _ in pieces for a, b in zip(p, p[1:]))
-    signs = re.escape(SIGNS)
-    words = f"[^{SPACE}\n]+" if joined else f"(?:[{signs}]+|[^{signs}{SPACE}\n]+)"
-    return Counts({p: rank[s] for p, s in pieces}), re.compile(f"{SPACE}*{words}|\n|{SPACE}+")
+    joined = any(a.isalnum() and b in SIGNS or a in SIGNS and b.isalnum() for p, _ in pieces for a, b in zip(p, p[1:]))
+    signs, end = f"[{re.escape(SIGNS)}]", f"[{SPACE}\n]|$"
+    words = [] if joined else [f"[^\\W_]+(?={signs}|{end})", f"{signs}+(?=[^\\W_]|{end})"]
+    pattern = "|".join(f"{SPACE}*{w}" for w in [*words, f"[^{SPACE}\n]+"])
+    return Counts({p: rank[s] for p, s in pieces}), re.compile(f"{pattern}|\n|{SPACE}+")
 
 
 def count_pieces(text: str, counts: Counts, words: re.Pattern) -> int:
