@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakeward.workload import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -12,7 +13,7 @@ TABLES = (
 ).split()
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
