@@ -39,3 +39,17 @@ def components(links: DataFrame) -> DataFrame:
             edges = edges.join(root, end)
         edges = staged(edges.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b").distinct(), "links")
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` with the components that further ``links`` join made one; only components are linked anew."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+        ends = ends.join(own, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    up = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    joined = labels.join(up.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+    old = joined.select("node", F.coalesce("root", "component").alias("component"))
+    # Nodes linked for the first time were components of their own.
+    new = up.join(labels, "node", "left_anti")
+    return staged(old.unionByName(new), "labels")

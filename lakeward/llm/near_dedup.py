@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
-from lakeward.llm.components import components
+from lakeward.llm.components import components, relabelled
 from lakeward.llm.shingles import minhash, mix, shingle_set
 
 BANDS, ROWS = 24, 5
 SKETCH_WORDS = 4
-CENTERS = 16
-# An estimate this far below the threshold is over six standard errors off at 120 samples.
-MARGIN = 0.3
+CENTERS = 64
+# An estimate this far below the threshold is about five standard errors off at 120 samples.
+MARGIN = 0.2
 
 _SKETCH = [f"k{i}" for i in range(SKETCH_WORDS)]
 _SIGNED = (
@@ -161,11 +161,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     tested = entries.where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     tested = staged(tested, "pairs")
-    links = compared(tested)
-    labels = components(links)
+    labels = components(compared(tested))
     done = entries.select("bucket", F.col("first").alias("x")).distinct()
     while True:
         placed = entries.join(labels, "node", "left").select("bucket", "first", "node", F.coalesce("component", "node").alias("component"))
+        placed = staged(placed, "placed")
+        # Only buckets with members of several components matter from here on.
         main = placed.where("node = first").select("bucket", F.col("component").alias("main"))
         outside = placed.join(main, "bucket").where("component <> main")
         waiting = outside.select("bucket", F.col("node").alias("x"), F.col("component").alias("cx")).join(done, ["bucket", "x"], "left_anti")
@@ -174,13 +175,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         if centers.isEmpty():
             break
         done = done.unionByName(centers.select("bucket", "x"))
+        entries = placed.join(centers.select("bucket").distinct(), "bucket", "left_semi").drop("component")
         met = placed.join(centers, "bucket").where("component <> cx")
         met = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         pairs = staged(met.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            links = links.unionByName(compared(pairs))
             tested = tested.unionByName(pairs)
-            labels = components(links)
+            labels = relabelled(labels, compared(pairs))
 
     named = shingled.select("doc_id", "n_shingles", "s1", "s2").join(classes.select("s1", "s2", "node"), ["s1", "s2"])
     named = named.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -10,8 +10,9 @@ first, and a suffix that is alone in its group is dropped at once:
    run's windows does.
 3. What is left are runs whose anchor repeats in differing surroundings. One run for each
    differing surrounding is sorted further, digit by digit. Surroundings of one anchor are few
-   as a rule and are sorted in one task, up to ``GROUP`` of them; windows of an anchor with
-   more are counted by digest over all tasks.
+   as a rule and are sorted in one task, up to ``GROUP`` of them. Those of an anchor with more
+   are sorted over all tasks, in two digits: what ``PART`` neighbouring windows cover, then
+   single windows of the covers that differ but share their core.
 
 Texts are moved once, to meet the ranges that go; until then they are only scanned.
 """
@@ -30,12 +31,15 @@ from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged, text
 from lakeward.llm.windows import digests, runs
 
 WIDTH = 200
-GROUP = 256
+GROUP = 2048
 DIGIT = 40
+PART = 12
 
 _RUN = "_a bigint, _b int, v bigint, u1 bigint, u2 bigint, first bigint, last bigint"
 _CUT = "_a bigint, _b int, v bigint, first bigint, place bigint, cut binary"
 _RANGE = "_a bigint, _b int, first bigint, last bigint"
+_WINDOW = "w1 bigint, w2 bigint, _a bigint, _b int, first bigint"
+_PART = "w1 bigint, w2 bigint, core bigint, _a bigint, _b int, first bigint, last bigint, cut binary"
 _RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
 Batches = Iterator[pa.RecordBatch]
@@ -159,6 +163,37 @@ def _sorted_groups(width: int):
     return mapped
 
 
+def _parts(width: int):
+    """Cuts in parts of ``PART`` windows with neighbouring anchor offsets, the same offsets in every cut.
+
+    w1, w2 digest all that the windows of a part cover, core what they all share.
+    """
+
+    def mapped(batches: Batches) -> Batches:
+        for batch in batches:
+            for a, b, first, place, cut in zip(*(batch[c].to_pylist() for c in ("_a", "_b", "first", "place", "cut"))):
+                most = len(cut) - width
+                lows, highs, cores = [], [], []
+                for part in range((place - most) // PART, place // PART + 1):
+                    low, high = place - part * PART - PART + 1, place - part * PART
+                    lows.append(max(low, 0))
+                    highs.append(min(high, most))
+                    cores.append(cut[high : low + width])
+                w = digests(memoryview(cut), lows, [h + width for h in highs])
+                core = digests(memoryview(b"".join(cores)), *_bounds(cores))[:, 0]
+                n = len(lows)
+                held = pa.array([cut[i : j + width] for i, j in zip(lows, highs)], pa.binary())
+                ends = (np.array(x) + first for x in (lows, highs))
+                yield _batch(_PART, w[:, 0], w[:, 1], core, np.full(n, a, np.int64), np.full(n, b, np.int32), *ends, held)
+
+    return mapped
+
+
+def _bounds(pieces: list[bytes]) -> tuple[list[int], list[int]]:
+    ends = np.cumsum([len(p) for p in pieces]).tolist()
+    return [0, *ends[:-1]], ends
+
+
 def _window_digests(width: int):
     def mapped(batches: Batches) -> Batches:
         for batch in batches:
@@ -166,10 +201,7 @@ def _window_digests(width: int):
                 starts = range(len(cut) - width + 1)
                 w = digests(memoryview(cut), list(starts), [s + width for s in starts])
                 n = len(w)
-                yield _batch(
-                    "w1 bigint, w2 bigint, _a bigint, _b int, first bigint",
-                    w[:, 0], w[:, 1], np.full(n, a, np.int64), np.full(n, b, np.int32), first + np.arange(n),
-                )
+                yield _batch(_WINDOW, w[:, 0], w[:, 1], np.full(n, a, np.int64), np.full(n, b, np.int32), first + np.arange(n))
 
     return mapped
 
@@ -222,11 +254,16 @@ def remove_repeated_strings(docs: DataFrame, width: int = WIDTH, group: int = GR
     repeated = covers.where("n > 1").select("v", "u1", "u2")
     whole = runs_.join(repeated, ["v", "u1", "u2"], "left_semi").select(*KEY, "first", "last")
     few = cuts.where(F.col("m") <= group).repartition("v").sortWithinPartitions("v").mapInArrow(_sorted_groups(width), _RANGE)
-    windows = cuts.where(F.col("m") > group).mapInArrow(
-        _window_digests(width), "w1 bigint, w2 bigint, _a bigint, _b int, first bigint"
-    )
+    parts = staged(cuts.where(F.col("m") > group).mapInArrow(_parts(width), _PART), "suffix-parts")
+    same = parts.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    alike = parts.join(same, ["w1", "w2"], "left_semi").select(*KEY, "first", "last")
+    # One of each cover whose core stands in another cover too is sorted to its windows.
+    covering = parts.dropDuplicates(["w1", "w2"])
+    shared = parts.groupBy("core").agg(F.min("w1").alias("low"), F.max("w1").alias("high")).where("low <> high")
+    mixed_parts = staged(covering.join(shared, "core", "left_semi").select(*KEY, "first", "cut"), "suffix-parts")
+    windows = mixed_parts.mapInArrow(_window_digests(width), _WINDOW)
     again = windows.groupBy("w1", "w2").count().where("count > 1")
     many = windows.join(again, ["w1", "w2"], "left_semi").select(*KEY, "first", F.col("first").alias("last"))
 
-    ranges = whole.unionByName(few).unionByName(many).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    ranges = whole.unionByName(few).unionByName(alike).unionByName(many).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     return texts.join(ranges, KEY, "left").select("doc_id", "text", "ranges").mapInArrow(_cut_out(width), _RESULT)
