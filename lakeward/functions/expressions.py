@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, IntegralType
 
 ColumnOrName = Column | str
 
@@ -25,8 +25,14 @@ def clean_text(value: ColumnOrName) -> Column:
 
 
 def tolerant_cast(value: ColumnOrName, data_type: DataType) -> Column:
-    """Cast that yields NULL for unreadable input; under ANSI mode a plain cast fails the job."""
-    return as_column(value).try_cast(data_type)
+    """Cast that yields NULL for unreadable input; under ANSI mode a plain cast fails the job.
+
+    A whole number may be written with a point (``5.0``); a fraction (``5.5``) is not one and yields NULL.
+    """
+    text = as_column(value)
+    if isinstance(data_type, IntegralType):
+        text = F.regexp_replace(text.cast("string"), r"^(\s*[+-]?\d+)\.0*(\s*)$", "$1$2")
+    return text.try_cast(data_type)
 
 
 def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:

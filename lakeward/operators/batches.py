@@ -93,10 +93,15 @@ def start_batch(spark: SparkSession, events: DataFrame, run_ts: datetime, pipeli
     """Events that fail the stale batches and open a new one.
 
     Ids have a resolution of one second; opening a batch whose id is taken would merge two
-    runs, so such an event is left out and the stale batches alone are failed.
+    runs, so that fails the query.
     """
-    opened = open_event(spark, run_ts, pipeline_name).join(events.select("batch_id"), "batch_id", "left_anti")
-    return stale_events(batch_state(events), run_ts).unionByName(opened)
+    batch_id = run_ts.strftime("%Y%m%d%H%M%S")
+    taken = events.filter(F.col("batch_id") == batch_id).select(F.count(F.lit(1)).alias("n")).scalar() > 0
+    opened = open_event(spark, run_ts, pipeline_name).withColumn(
+        "batch_id",
+        F.when(taken, F.raise_error(F.lit(f"batch {batch_id} exists already")).cast("string")).otherwise(F.col("batch_id")),
+    )
+    return stale_events(batch_state(events), run_ts).unionByName(_as_events(opened))
 
 
 def batch_totals(bronze: Mapping[str, DataFrame]) -> DataFrame:

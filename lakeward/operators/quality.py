@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS, Dataset
 from lakeward.functions.expressions import joined_key
+from lakeward.operators.refine import RECENCY, TIE_BREAKER, latest_by
 from lakeward.operators.rules import PASSED, passing
 from lakeward.schemas import SERIALIZATION_ERRORS
 
@@ -21,25 +22,28 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def quality_metrics(validated: DataFrame, silver: DataFrame, dataset: Dataset, rejected_at: datetime) -> DataFrame:
+def quality_metrics(validated: DataFrame, silver: DataFrame, quarantine: DataFrame, dataset: Dataset) -> DataFrame:
     """One row per batch: received = valid + quarantined + duplicates removed.
 
-    ``validated`` is read once for the received, passing and rejected counts; ``silver`` gives
-    what is left after deduplication. ``rejected_at`` is the time this run stamps on the rows
-    it quarantines.
+    Each term is counted where it stands: received in ``validated``, valid in the silver table,
+    quarantined in the quarantine table, and duplicates among the keys of the passing rows. Rows
+    lost from either table therefore fail the reconciliation.
     """
+    passed = passing(validated, dataset.all_rules).select("batch_id", *dataset.keys, *RECENCY, TIE_BREAKER)
+    newest = latest_by(passed, dataset.keys).groupBy("batch_id").agg(F.count(F.lit(1)).alias("_newest"))
+    rejected = quarantine.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("_rejected"), F.max("rejection_timestamp").alias("_rejected_end")
+    )
     bronze = validated.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("records_received"),
         F.count_distinct("record_hash").alias("records_distinct"),
         F.min("processed_timestamp").alias("processing_start"),
         F.count_if(F.col(PASSED)).alias("_valid_before"),
-        F.count_if(~F.col(PASSED)).alias("records_quarantined"),
     )
     kept = silver.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("_valid"),
         F.max("silver_processed_timestamp").alias("_silver_end"),
     )
-    rejected_end = F.when(F.col("records_quarantined") > 0, F.lit(rejected_at))
 
     def share(count: str):
         return F.round(
@@ -47,16 +51,17 @@ def quality_metrics(validated: DataFrame, silver: DataFrame, dataset: Dataset, r
         )
 
     # ``greatest`` skips NULLs, so it also serves when only one side has an end time.
-    counted = bronze.join(kept, "batch_id", "left").select(
+    parts = bronze.join(kept, "batch_id", "left").join(rejected, "batch_id", "left").join(newest, "batch_id", "left")
+    counted = parts.select(
         "batch_id",
         F.lit(dataset.name).alias("dataset_name"),
         "records_received",
         F.coalesce("_valid", F.lit(0)).alias("records_valid"),
-        "records_quarantined",
+        F.coalesce("_rejected", F.lit(0)).alias("records_quarantined"),
         "records_distinct",
-        F.greatest(F.lit(0), F.col("_valid_before") - F.coalesce("_valid", F.lit(0))).alias("duplicates_removed"),
+        (F.col("_valid_before") - F.coalesce("_newest", F.lit(0))).alias("duplicates_removed"),
         "processing_start",
-        F.coalesce(F.greatest(F.col("_silver_end"), rejected_end), F.col("processing_start")).alias("processing_end"),
+        F.coalesce(F.greatest("_silver_end", "_rejected_end"), F.col("processing_start")).alias("processing_end"),
     )
     accounted = F.col("records_valid") + F.col("records_quarantined") + F.col("duplicates_removed")
     return counted.withColumns(
@@ -70,16 +75,16 @@ def quality_metrics(validated: DataFrame, silver: DataFrame, dataset: Dataset, r
 
 
 def data_quality_metrics(
-    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], rejected_at: datetime
+    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
 ) -> DataFrame:
     """``quality_metrics`` of every feed, keyed by dataset name."""
-    return union_by_name([quality_metrics(validated[d.name], silver[d.name], d, rejected_at) for d in DATASETS])
+    return union_by_name([quality_metrics(validated[d.name], silver[d.name], quarantine[d.name], d) for d in DATASETS])
 
 
 def duplicate_recount(validated: Mapping[str, DataFrame], metrics: DataFrame) -> DataFrame:
     """Duplicates per dataset counted a second way: valid rows less distinct valid keys.
 
-    ``quality_metrics`` derives duplicates from the silver table; this one never looks at it.
+    ``quality_metrics`` counts them per batch, by the newest row of each key; this one by keys alone.
     """
     recounts = []
     for d in DATASETS:

@@ -77,6 +77,7 @@ def refresh(
     side_by_side(spark, [lambda d=d, act=act: act(d) for d in DATASETS for act in (keep, reject)])
 
     kept = {d.name: tables[d.silver_table] for d in DATASETS}
+    rejected = {d.name: tables[d.quarantine_table] for d in DATASETS}
     services, schedule, patients = kept[SERVICES.name], kept[STAFF_SCHEDULE.name], kept[PATIENTS.name]
     layout = {"partition_by": ("batch_id",), "sort_by": ("service",)}
 
@@ -87,7 +88,7 @@ def refresh(
     side_by_side(
         spark,
         [
-            lambda: store("data_quality_metrics", quality.data_quality_metrics(staged, kept, run_ts)),
+            lambda: store("data_quality_metrics", quality.data_quality_metrics(staged, kept, rejected)),
             lambda: store("file_inventory", quality.file_inventory(bronze)),
             lambda: store("serialization_errors", quality.serialization_errors(spark, bronze)),
             lambda: store("patient_flow", gold.patient_flow(patients, run_ts), **layout),

@@ -16,6 +16,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lakeward.functions.expressions import tolerant_cast
 
 CORRUPT = "_corrupt_record"
+
+
+def _object_pattern(depth: int) -> str:
+    """A JSON object with up to ``depth`` levels of objects inside. Possessive: no backtracking, no recursion."""
+    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    pattern = rf'\{{[^{{}}"]*+(?:{quoted}[^{{}}"]*+)*+\}}'
+    for _ in range(depth):
+        pattern = rf'\{{[^{{}}"]*+(?:(?:{quoted}|{pattern})[^{{}}"]*+)*+\}}'
+    return f"(?s){pattern}"
+
+
+# Objects nested more deeply than this are rescued as text.
+OBJECT = _object_pattern(6)
 FILE_METADATA = ("file_name", "file_path", "file_size", "file_modification_time")
 
 
@@ -91,23 +104,26 @@ def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) ->
     """Rows of a JSON folder through ``spark.read`` or ``spark.readStream``.
 
     Objects are read as maps, so no inference pass is needed and a new field can appear in any
-    file. ``multi_line`` files hold one document each (an object or an array of objects) and
-    are not split; for files beyond some hundred megabytes write one object per line and pass
+    file. A ``multi_line`` file may hold an object, arrays of objects, an object per line, or
+    several of these one after another. An object that cannot be read is rescued by itself, and
+    so is what stands between objects; the others of the file stay rows. Such files are not
+    split; for files beyond some hundred megabytes write one object per line and pass
     ``multi_line=False``.
     """
     text = reader.format("text").option("wholetext", multi_line).load(path)
     df = text.select(F.col("value").alias("_text"), *_file_metadata()).filter(F.col("_text").rlike(r"\S"))
     one = F.from_json("_text", "map<string,string>")
     if multi_line:
-        many = F.from_json("_text", "array<map<string,string>>")
-        records = F.when(F.col("_text").rlike(r"^\s*\["), many).otherwise(F.array(one))
-        df = df.withColumn("_records", F.filter(records, lambda r: r.isNotNull()))
-        # Only a document that cannot be read keeps its text: the explode copies every other
-        # column into each row.
-        unread = F.when(F.coalesce(F.size("_records"), F.lit(0)) == 0, F.col("_text"))
-        df = df.withColumn("_unread", F.when(~F.col("_text").rlike(r"^\s*\[\s*\]\s*$"), unread)).drop("_text")
-        df = df.select(*FILE_METADATA, "_unread", F.explode_outer("_records").alias("_fields"))
-        df = df.filter(F.col("_fields").isNotNull() | F.col("_unread").isNotNull())
+        found = F.regexp_extract_all("_text", F.lit(OBJECT), F.lit(0))
+        rest = F.regexp_replace(F.regexp_replace("_text", OBJECT, ""), r"^[\s,\[\]]+|[\s,\[\]]+$", "")
+        # A text without any object is rescued as it is.
+        rest = F.when(rest != "", F.when(F.size("_found") == 0, F.col("_text")).otherwise(rest))
+        readable = F.transform("_found", lambda t: F.struct(F.from_json(t, "map<string,string>").alias("fields"), t.alias("text")))
+        unread = F.array(F.struct(F.lit(None).cast("map<string,string>").alias("fields"), rest.alias("text")))
+        records = F.concat(readable, F.filter(unread, lambda r: r["text"].isNotNull()))
+        df = df.withColumn("_found", found).select(*FILE_METADATA, F.explode(records).alias("_record"))
+        fields = F.col("_record.fields")
+        df = df.select(*FILE_METADATA, fields.alias("_fields"), F.when(fields.isNull(), F.col("_record.text")).alias("_unread"))
     else:
         df = df.withColumn("_fields", one)
         df = df.select(*FILE_METADATA, "_fields", F.when(F.col("_fields").isNull(), F.col("_text")).alias("_unread"))

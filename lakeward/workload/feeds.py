@@ -125,7 +125,19 @@ def write_csv(rows: DataFrame, path: str) -> str:
 
 
 def write_json_documents(rows: DataFrame, key: str, columns: Sequence[str], path: str) -> str:
-    """Write one JSON array per file, each of about ``ROWS_PER_DOCUMENT`` rows.
+    """Write one JSON array per file, each of about ``ROWS_PER_DOCUMENT`` rows."""
+    return _write_documents(rows, key, columns, path, "[\n", ",\n", "\n]")
+
+
+def write_json_lines(rows: DataFrame, key: str, columns: Sequence[str], path: str) -> str:
+    """Write files of one JSON object per line, each after an object that was not finished."""
+    return _write_documents(rows, key, columns, path, '{"unfinished": }\n', "\n", "\n")
+
+
+def _write_documents(
+    rows: DataFrame, key: str, columns: Sequence[str], path: str, start: str, between: str, end: str
+) -> str:
+    """Write files that hold the JSON objects of some rows between the given texts.
 
     Rows are dealt to documents by a hash of their unique key, so documents are alike in size
     and a task that runs again deals its rows the same way.
@@ -134,7 +146,7 @@ def write_json_documents(rows: DataFrame, key: str, columns: Sequence[str], path
     lines = rows.select(
         F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document"), F.to_json(F.struct(*columns)).alias("_line")
     )
-    body = F.concat(F.lit("[\n"), F.array_join(F.collect_list("_line"), ",\n"), F.lit("\n]"))
+    body = F.concat(F.lit(start), F.array_join(F.collect_list("_line"), between), F.lit(end))
     arrays = lines.groupBy("_document").agg(body.alias("value")).select("value")
     arrays.write.option("maxRecordsPerFile", 1).text(path)
     return path

@@ -411,6 +411,21 @@ def _results() -> dict[str, str]:
         "batch_id dataset_name records_received records_valid records_quarantined records_distinct duplicates_removed "
         "processing_start processing_end duration_seconds success_rate failure_rate reconciliation_passed",
     )
+    # Each silver or quarantine row of the service is one that the batch's reconciliation misses.
+    lost = """SELECT '{lost}' AS lost, batch_id, records_valid - {silver} AS records_valid,
+ records_quarantined - {quarantine} AS records_quarantined,
+ CAST({silver} + {quarantine} = 0 AS VARCHAR) AS reconciliation_passed FROM metrics_staff m"""
+    missing = "(SELECT count(*) FROM {table} t WHERE t.batch_id = m.batch_id AND t.service = 'svc1')"
+    staff_tables = {"silver": STAFF.silver_table, "quarantine": STAFF.quarantine_table}
+    q["reconciliation_detects_loss"] = _union(
+        lost.format(lost=name, **{n: missing.format(table=t) if n == name else "0" for n, t in staff_tables.items()})
+        for name in ("none", "silver", "quarantine")
+    )
+    q["ingest_json_mixed"] = _union(
+        f"SELECT '{d.name}' AS dataset_name, count(*) AS rows, CAST(count(*) > 0 AS VARCHAR) AS broken_rescued "
+        f"FROM keyed_{d.feed} WHERE source_format = 'json'"
+        for d in DATASETS
+    )
     q["duplicate_recount"] = _union(
         f"""SELECT '{d.name}' AS dataset_name,
  (SELECT CAST(sum(duplicates_removed) AS BIGINT) FROM metrics_{d.name}) AS reported,

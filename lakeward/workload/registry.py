@@ -112,7 +112,8 @@ class Session:
     def quality_metrics(self) -> DataFrame:
         validated = {d.name: self.processed(d) for d in DATASETS}
         silver = {d.name: refine.silver(validated[d.name], d, RUN_TS) for d in DATASETS}
-        return quality.data_quality_metrics(validated, silver, RUN_TS)
+        quarantined = {d.name: refine.quarantine(validated[d.name], d, RUN_TS) for d in DATASETS}
+        return quality.data_quality_metrics(validated, silver, quarantined)
 
     def events(self) -> DataFrame:
         return feeds.control_events(self.spark, self.sf_dir)
@@ -196,6 +197,31 @@ def _schema_evolution_union(spark, sf_dir):
     return wide.select(*names, "ward")
 
 
+def _reconciliation_detects_loss(spark, sf_dir):
+    """Metrics of the staff feed when each table lacks the rows of one service."""
+    s, d = Session(spark, sf_dir), STAFF
+    judged = s.processed(d)
+    tables = {"silver": refine.silver(judged, d, RUN_TS), "quarantine": refine.quarantine(judged, d, RUN_TS)}
+    results = []
+    for lost in ("none", "silver", "quarantine"):
+        left = {n: t.filter(~F.col("service").eqNullSafe("svc1")) if n == lost else t for n, t in tables.items()}
+        metrics = quality.quality_metrics(judged, left["silver"], left["quarantine"], d)
+        results.append(metrics.select(F.lit(lost).alias("lost"), "batch_id", "records_valid", "records_quarantined", "reconciliation_passed"))
+    return quality.union_by_name(results)
+
+
+def _ingest_json_mixed(spark, sf_dir):
+    """JSON files that hold a broken object, then an object per line: rows and rescued texts of every feed."""
+    counts = []
+    for d in DATASETS:
+        rows = feeds.clean_text_feed(spark, sf_dir, d).filter("source_format = 'json'")
+        path = feeds.write_json_lines(rows, "row_key", d.columns, f"{scratch_root(spark, 'landing')}/{d.feed}")
+        read = json_rows(spark.read, path, d.schema)
+        broken = F.coalesce(F.col("_rescued_data"), F.lit("")).contains("unfinished")
+        counts.append(read.agg(F.count_if(~broken).alias("rows"), (F.count_if(broken) > 0).alias("broken_rescued")).select(F.lit(d.name).alias("dataset_name"), "rows", "broken_rescued"))
+    return quality.union_by_name(counts)
+
+
 def _rescued_data(spark, sf_dir):
     return Session(spark, sf_dir).ingested(PATIENTS, raw=True).select(*PATIENTS.columns, "_rescued_data")
 
@@ -409,6 +435,8 @@ def _build() -> dict[str, Query]:
         "bottleneck_analysis": _of(Session.bottleneck_analysis),
         "refreshed_bottlenecks": _refreshed,
         "data_quality_metrics": _of(Session.quality_metrics),
+        "reconciliation_detects_loss": _reconciliation_detects_loss,
+        "ingest_json_mixed": _ingest_json_mixed,
         "duplicate_recount": _of(
             lambda s: quality.duplicate_recount({d.name: s.processed(d) for d in DATASETS}, s.quality_metrics())
         ),

@@ -82,6 +82,23 @@ def test_json_documents_of_every_shape(spark, tmp_path):
     assert rescued(found[None]) == {"_corrupt_record": '[{"staff_id": "s9"'}
 
 
+def test_json_files_of_several_roots_lose_no_row(spark, tmp_path):
+    put(tmp_path / "json" / "lines.json", '{"staff_id": "s1"}\n{"staff_id": "s2", "staff_name": "a } b \\\\"}\n')
+    put(tmp_path / "json" / "roots.json", '[{"staff_id": "s3"}, 5] [{"staff_id": "s4"}]\n{"staff_id": "s5", "x": {"y": {"z": "}"}}}')
+    put(tmp_path / "json" / "broken.json", '[{"staff_id": "s6"}, {"staff_id": }, {"staff_id": "s7"}]')
+    put(tmp_path / "json" / "long.json", '{"staff_id": "s8", "staff_name": "' + '\\\\n{' * 50_000 + '"}')
+    found = read_landing(spark, STAFF.schema, RUN_TS, json_path=str(tmp_path / "json")).collect()
+    assert sorted(r.staff_id for r in found if r.staff_id) == [f"s{i}" for i in range(1, 9)]
+    assert {r.staff_name[:5] for r in found if r.staff_id == "s2"} == {"a } b"}
+    assert sorted(rescued(r)["_corrupt_record"] for r in found if not r.staff_id) == ["5", '{"staff_id": }']
+
+
+def test_whole_numbers_may_have_a_point(spark, tmp_path):
+    put(tmp_path / "csv" / "a.csv", "week,staff_id,present\n5.0,s1,1.\n5.5,s2, 1 \n1e9.0,s3,-0.00\n")
+    df = read_landing(spark, STAFF_SCHEDULE.schema, RUN_TS, csv_path=str(tmp_path / "csv"))
+    assert {r.staff_id: (r.week, r.present) for r in df.collect()} == {"s1": (5, 1), "s2": (None, 1), "s3": (None, 0)}
+
+
 def test_json_lines(spark, tmp_path):
     put(tmp_path / "json" / "a.json", '{"week": 3, "staff_id": "s1", "present": 1}\n{"week": "w4"}\nnot json\n')
     df = read_landing(spark, STAFF_SCHEDULE.schema, RUN_TS, json_path=str(tmp_path / "json"), multi_line=False)

@@ -90,7 +90,7 @@ def test_every_row_is_kept_superseded_or_quarantined(spark, changes):
     keys = [r.staff_id for r in kept_rows]
     assert len(keys) == len(set(keys))
     assert len({r.quarantine_id for r in dropped_rows}) == len(dropped_rows)
-    metrics = quality.quality_metrics(judged, kept, STAFF, RUN_TS).collect()
+    metrics = quality.quality_metrics(judged, kept, dropped, STAFF).collect()
     assert sum(m.records_received for m in metrics) == len(changes)
     assert sum(m.records_valid for m in metrics) == len(kept_rows)
     assert sum(m.records_quarantined for m in metrics) == len(dropped_rows)
@@ -99,16 +99,33 @@ def test_every_row_is_kept_superseded_or_quarantined(spark, changes):
     assert sum(m.duplicates_removed for m in metrics) == len(valid) - len({c["staff_id"] for c in valid})
 
 
+def both_tables(judged):
+    return refine.silver(judged, STAFF, RUN_TS), refine.quarantine(judged, STAFF, RUN_TS)
+
+
+def test_lost_rows_fail_the_reconciliation(spark):
+    judged = refine.process(rows(spark, STAFF, [{"staff_id": "a"}, {"staff_id": "a"}, {"staff_id": "b"}, {"staff_id": None}]), STAFF)
+    kept, dropped = both_tables(judged)
+
+    def passed(silver, quarantine):
+        return quality.quality_metrics(judged, silver, quarantine, STAFF).first().reconciliation_passed
+
+    assert passed(kept, dropped)
+    assert not passed(kept.filter("staff_id = 'a'"), dropped)
+    assert not passed(kept.limit(0), dropped)
+    assert not passed(kept, dropped.limit(0))
+
+
 def test_metrics_of_a_batch_without_valid_rows(spark):
     judged = refine.process(rows(spark, STAFF, [{"staff_id": None}]), STAFF)
-    row = quality.quality_metrics(judged, refine.silver(judged, STAFF, RUN_TS), STAFF, RUN_TS).first()
+    row = quality.quality_metrics(judged, *both_tables(judged), STAFF).first()
     assert (row.records_valid, row.records_quarantined, row.success_rate, row.failure_rate) == (0, 1, 0.0, 1.0)
     assert row.processing_end == RUN_TS and row.duration_seconds == 2 * 86400
 
 
 def test_metrics_match_the_declared_schema(spark):
     judged = refine.process(rows(spark, STAFF, [{}]), STAFF)
-    df = quality.quality_metrics(judged, refine.silver(judged, STAFF, RUN_TS), STAFF, RUN_TS)
+    df = quality.quality_metrics(judged, *both_tables(judged), STAFF)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.DATA_QUALITY_METRICS]
 
 
