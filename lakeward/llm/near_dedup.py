@@ -8,9 +8,21 @@
 4. The other pairs are compared on their full sets.
 
 Within a bucket not all pairs are made. Its first member is compared with every other; the
-links found make components. Then members outside the first one's component are
-compared with all members of other components, ``CENTERS`` members a round, until none is
-left: every pair of a bucket is then linked, within one component, or compared.
+links found make components, and members outside the first one's are still waiting.
+
+* In a bucket with at most ``FEW`` waiting members, each of them is compared with all members
+  of other components.
+* The members of larger buckets are, for the most part, variants of one text that differ too
+  much from each other. The frequency of each shingle among all of them sorts the links that
+  can still exist into two kinds. Order the shingles of a set from rare to frequent: linked
+  sets share one in the first few (as many as the sets may differ by, and one). If the rarest
+  they share lies in at most ``RARE`` sets, the sets of that shingle give the pair. If not,
+  they share frequent shingles only, and a member without enough of these has no such link.
+  The one richest in frequent shingles is compared with the others of its bucket, then those
+  still waiting with every member whose size and frequent shingles allow a link, ``CENTERS``
+  members a round, until none is left.
+
+Every pair of a bucket is then within one component, compared, or shown to have no link.
 """
 
 from __future__ import annotations
@@ -20,7 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
@@ -29,7 +41,7 @@ from lakeward.llm.shingles import minhash, mix, shingle_set
 
 BANDS, ROWS = 24, 5
 SKETCH_WORDS = 4
-CENTERS = 64
+FEW, RARE, CENTERS = 16, 16, 64
 # An estimate this far below the threshold is about five standard errors off at 120 samples.
 MARGIN = 0.2
 
@@ -81,6 +93,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, text in zip(batch["node"].to_pylist(), batch["text"].to_pylist()):
+            hashes = shingle_set(text).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), node, np.int64)), pa.array(hashes)], ["node", "token"])
+
+
 def _in(places):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,6 +144,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.sortWithinPartitions("a").select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a bigint, b bigint")
 
 
+def _sized(percent: int, n: str, m: str) -> Column:
+    """Whether sets of these sizes can be linked at all."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _rich(percent: int) -> Column:
+    """Whether sets with n and m shingles, ``common`` and ``common_x`` of them frequent, can be linked by frequent ones."""
+    return (100 + percent) * F.least("common", "common_x") >= percent * (F.col("n") + F.col("n_x"))
+
+
+def _frequencies(texts: DataFrame, percent: int) -> DataFrame:
+    """node, its number of frequent shingles, and the repeated rare ones among its first, rare before frequent."""
+    tokens = staged(texts.mapInArrow(_tokens, "node bigint, token bigint"), "tokens")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    rare = F.when(F.col("df") <= RARE, F.struct("df", "token"))
+    of_node = tokens.join(counts, "token").groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("df") > RARE).alias("common"), F.sort_array(F.collect_list(rare)).alias("rare")
+    )
+    first = F.slice("rare", F.lit(1), F.expr(f"cast(n - ceil({percent} * n / 100) + 1 as int)"))
+    repeated = F.transform(F.filter(first, lambda r: r["df"] > 1), lambda r: r["token"])
+    return staged(of_node.select("node", "common", repeated.alias("first")), "frequencies")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
@@ -145,8 +187,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         shingled.drop("doc_id").dropDuplicates(["s1", "s2"]).withColumn("node", F.monotonically_increasing_id()), "classes"
     )
 
-    entries = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
     entries = staged(entries.join(shared.select("bucket", "first"), "bucket"), "buckets")
     members = classes.join(entries.select("node").distinct(), "node", "left_semi")
     sketches = members.select("node", *_SKETCH)
@@ -159,26 +201,68 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     def compared(pairs: DataFrame) -> DataFrame:
         return staged(_verified(_alike(pairs, sketches, percent), texts, percent), "links")
 
+    def placed(entries: DataFrame, labels: DataFrame) -> DataFrame:
+        return entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    def ordered(met: DataFrame) -> DataFrame:
+        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+
     tested = entries.where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     tested = staged(tested, "pairs")
     labels = components(compared(tested))
-    done = entries.select("bucket", F.col("first").alias("x")).distinct()
-    while True:
-        placed = entries.join(labels, "node", "left").select("bucket", "first", "node", F.coalesce("component", "node").alias("component"))
-        placed = staged(placed, "placed")
-        # Only buckets with members of several components matter from here on.
-        main = placed.where("node = first").select("bucket", F.col("component").alias("main"))
-        outside = placed.join(main, "bucket").where("component <> main")
-        waiting = outside.select("bucket", F.col("node").alias("x"), F.col("component").alias("cx")).join(done, ["bucket", "x"], "left_anti")
+
+    now = staged(placed(entries, labels), "placed")
+    main = now.where("node = first").select("bucket", F.col("component").alias("main"))
+    waiting = staged(now.join(main, "bucket").where("component <> main").drop("main"), "waiting")
+    open_buckets = waiting.groupBy("bucket").agg(F.count(F.lit(1)).alias("waiting"))
+    open_buckets = staged(open_buckets, "open")
+    x = [F.col(c).alias(f"{c}_x") for c in ("n", "component")]
+    few = waiting.join(open_buckets.where(F.col("waiting") <= FEW), "bucket").select("bucket", F.col("node").alias("x"), *x)
+    pairs = ordered(now.join(few, "bucket").where((F.col("component") != F.col("component_x")) & _sized(percent, "n", "n_x")))
+
+    many = open_buckets.where(F.col("waiting") > FEW).select("bucket")
+    crowded = not many.isEmpty()
+    if crowded:
+        entries = staged(now.join(many, "bucket", "left_semi"), "many")
+        own = _frequencies(texts.join(entries.select("node").distinct(), "node", "left_semi"), percent)
+        # Links whose rarest shared shingle is rare, in whatever buckets.
+        nodes = entries.select("node", "n", "component").distinct()
+        firsts = own.select("node", F.explode("first").alias("token")).join(nodes, "node")
+        others = firsts.select("token", F.col("node").alias("x"), *x)
+        kin = firsts.join(others, "token").where((F.col("x") < F.col("node")) & (F.col("component") != F.col("component_x")))
+        pairs = pairs.unionByName(ordered(kin.where(_sized(percent, "n", "n_x"))))
+        # Links by frequent shingles, within buckets.
+        able = entries.drop("component").join(own.select("node", "common"), "node").where(100 * F.col("common") >= percent * F.col("n"))
+        richest = able.groupBy("bucket").agg(F.max_by(F.struct("node", "n", "common"), F.struct(F.col("common") / F.col("n"), "node")).alias("top"))
+        richest = richest.select("bucket", F.col("top.node").alias("x"), F.col("top.n").alias("n_x"), F.col("top.common").alias("common_x"))
+        able = staged(able.drop("first"), "able")
+        richest = staged(richest, "richest")
+        star = able.join(richest, "bucket").where((F.col("x") != F.col("node")) & _rich(percent))
+        pairs = pairs.unionByName(ordered(star))
+
+    pairs = staged(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        tested = tested.unionByName(pairs)
+        labels = relabelled(labels, compared(pairs))
+    if crowded:
+        done = richest.select("bucket", "x")
+    while crowded:
+        now = staged(placed(able, labels), "placed")
+        main = now.join(richest, (now["bucket"] == richest["bucket"]) & (now["node"] == richest["x"])).select(now["bucket"], F.col("component").alias("main"))
+        x = [F.col(c).alias(f"{c}_x") for c in ("n", "common", "component")]
+        outside = now.join(main, "bucket").where("component <> main").select("bucket", F.col("node").alias("x"), *x)
+        # Members with a partner by size and number of frequent shingles; they count as their own if another is like them.
+        kinds = now.groupBy("bucket", "n", "common").agg(F.count(F.lit(1)).alias("alike")).alias("k")
+        another = (F.col("alike") > 1) | (F.col("n") != F.col("n_x")) | (F.col("common") != F.col("common_x"))
+        same = outside.alias("o").join(kinds, (F.col("o.bucket") == F.col("k.bucket")) & _rich(percent) & another, "left_semi")
+        left = same.select("bucket", "x", "n_x", "common_x", "component_x").join(done, ["bucket", "x"], "left_anti")
         place = F.row_number().over(Window.partitionBy("bucket").orderBy("x"))
-        centers = staged(waiting.withColumn("place", place).where(F.col("place") <= CENTERS).drop("place"), "centers")
+        centers = staged(left.withColumn("place", place).where(F.col("place") <= CENTERS).drop("place"), "centers")
         if centers.isEmpty():
             break
         done = done.unionByName(centers.select("bucket", "x"))
-        entries = placed.join(centers.select("bucket").distinct(), "bucket", "left_semi").drop("component")
-        met = placed.join(centers, "bucket").where("component <> cx")
-        met = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        pairs = staged(met.join(tested, ["a", "b"], "left_anti"), "pairs")
+        met = now.join(centers, "bucket").where((F.col("component") != F.col("component_x")) & _rich(percent))
+        pairs = staged(ordered(met).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
             labels = relabelled(labels, compared(pairs))

@@ -37,9 +37,11 @@ def brute_near(rows, percent):
     return out
 
 
-@pytest.mark.parametrize("percent,centers", [(85, 16), (85, 1), (80, 2)])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent, centers):
+@pytest.mark.parametrize("percent,centers,few,rare", [(85, 16, 16, 16), (85, 1, 0, 3), (80, 2, 0, 1), (80, 4, 1, 200)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent, centers, few, rare):
     monkeypatch.setattr(near_dedup, "CENTERS", centers)
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    monkeypatch.setattr(near_dedup, "RARE", rare)
     rng = random.Random(percent + centers)
     rows = []
     for group in range(6):
@@ -50,6 +52,13 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent, centers)
             text = list(text)
             for _ in range(rng.randint(0, 2)):
                 text[rng.randrange(len(text))] = rng.choice(WORDS)
+    # Variants of one text, most of them too far from each other, some shortened.
+    text = [f"{rng.choice(WORDS)}{i}" for i in range(80)]
+    for _ in range(40):
+        variant = text[: rng.choice([60, 70, 80, 80, 80])]
+        for at in rng.sample(range(len(variant)), rng.randint(0, 6)):
+            variant[at] += rng.choice("ab")
+        rows.append((1000 + len(rows), " ".join(variant)))
     rows += [(900 + i, " ".join(rng.choices(WORDS, k=30))) for i in range(20)]
     rows += [rows[0], (rows[0][0], "another text with the same id here"), (None, rows[5][1]), (None, "no id at all in this one"), (990, None),
              (991, ""), (992, " \n\t"), (993, "One two"), (994, "one two"), (995, "ONE TWO"), (996, "w " * 30_000)]
