@@ -47,6 +47,7 @@ def arrival_status(
     )
     count, wanted = F.col("received_count"), F.col("expected_count")
     failed = F.col("error_message").isNotNull()
+    # The status and reason texts that readers of the audit table expect.
     status = (
         F.when(failed, "Error")
         .when(count == wanted, "Received")

@@ -106,7 +106,10 @@ def start_batch(spark: SparkSession, events: DataFrame, run_ts: datetime, pipeli
 
 def batch_totals(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Records and distinct source files of every batch over the bronze tables."""
-    rows = union_by_name([df.select("batch_id", "file_path") for df in bronze.values()])
+    return _totals(union_by_name([df.select("batch_id", "file_path") for df in bronze.values()]))
+
+
+def _totals(rows: DataFrame) -> DataFrame:
     # Counting per file first leaves one row per file for the distinct count.
     per_file = rows.groupBy("batch_id", "file_path").agg(F.count(F.lit(1)).alias("_rows"))
     return per_file.groupBy("batch_id").agg(
@@ -124,14 +127,15 @@ def close_events(
 ) -> DataFrame:
     """The closing event of the newest running batch, with its totals; none if nothing runs.
 
-    The batch id reaches each bronze scan as a scalar subquery, so a table partitioned by batch
-    reads one partition.
+    The bronze tables are united and joined to the one row of the current batch, which prunes
+    the partitions of tables partitioned by batch.
     """
     if status not in (COMPLETED, FAILED):
         raise ValueError(f"a batch closes as {COMPLETED} or {FAILED}, not {status!r}")
     current = current_batch(state).select("batch_id", "pipeline_name")
-    wanted = current.select("batch_id").scalar()
-    totals = batch_totals({name: df.filter(F.col("batch_id") == wanted) for name, df in bronze.items()})
+    rows = union_by_name([df.select("batch_id", "file_path") for df in bronze.values()])
+    # One row at most, so its broadcast is bounded.
+    totals = _totals(rows.join(F.broadcast(current.select("batch_id")), "batch_id"))
     return _as_events(
         current.join(totals, "batch_id", "left").withColumns(
             {

@@ -125,13 +125,20 @@ def file_inventory(bronze: Mapping[str, DataFrame]) -> DataFrame:
         )
         for d in DATASETS
     ]
+    file = [*columns[:5], "bronze_table", "silver_table"]
+    # Counts and times per batch first: a hash aggregate over all rows. The largest batch id, a
+    # text, would make it a sort; it is taken from the few rows left.
+    per_batch = union_by_name(tagged).groupBy(*file, "batch_id").agg(
+        F.min("ingestion_timestamp").alias("arrival_time"),
+        F.max("processed_timestamp").alias("processing_end_time"),
+        F.count(F.lit(1)).alias("record_count"),
+    )
     return (
-        union_by_name(tagged)
-        .groupBy(*columns[:5], "bronze_table", "silver_table")
+        per_batch.groupBy(*file)
         .agg(
-            F.min("ingestion_timestamp").alias("arrival_time"),
-            F.max("processed_timestamp").alias("processing_end_time"),
-            F.count(F.lit(1)).alias("record_count"),
+            F.min("arrival_time").alias("arrival_time"),
+            F.max("processing_end_time").alias("processing_end_time"),
+            F.sum("record_count").alias("record_count"),
             F.max("batch_id").alias("batch_id"),
         )
         .select(

@@ -14,7 +14,7 @@ from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF_SCHEDULE, Data
 from lakeward.operators import gold, quality
 from lakeward.operators.refine import process, quarantine, silver, with_payload
 from lakeward.operators.rules import PASSED
-from lakeward.plans.scratch import scratch_root
+from lakeward.plans.scratch import drop_folder, scratch_root
 from lakeward.sources.tables import write_path
 
 CONCURRENT_WRITES = 4
@@ -51,8 +51,10 @@ def refresh(
     Validation is staged once, split by its verdict: silver then reads only the passing part
     and quarantine only the rejected part. Silver is written before gold reads it, so each
     deduplication runs once. A lost executor costs the tasks it held, and a failed run is
-    simply run again, because every write overwrites.
+    simply run again, because every write overwrites. Staging in a folder of its own is
+    dropped at the end; a folder that was given stays.
     """
+    own_staging = staging is None
     staging = staging or scratch_root(spark, "validated")
     tables: dict[str, DataFrame] = {}
     staged: dict[str, DataFrame] = {}
@@ -97,4 +99,6 @@ def refresh(
             efficiency,
         ],
     )
+    if own_staging:
+        drop_folder(spark, staging)
     return tables

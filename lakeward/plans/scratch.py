@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -18,5 +20,13 @@ def scratch_root(spark: SparkSession, label: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/lakeward/{label}-{uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"lakeward-{label}-")
+        folder = tempfile.mkdtemp(prefix=f"lakeward-{label}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables in whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -32,9 +33,18 @@ OBJECT = _object_pattern(6)
 FILE_METADATA = ("file_name", "file_path", "file_size", "file_modification_time")
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV folder, from the first header line; no data is scanned."""
-    return spark.read.option("header", True).csv(path).columns
+def csv_header(spark: SparkSession, path: str, schema: StructType | None = None) -> list[str]:
+    """Column names of a CSV folder, from the first header line; no data is scanned.
+
+    A folder without any file has the columns of ``schema``, if given: a stream may start
+    before the first file.
+    """
+    try:
+        return spark.read.option("header", True).csv(path).columns
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return schema.fieldNames()
 
 
 def _text_schema(columns: Sequence[str]) -> StructType:
@@ -164,7 +174,7 @@ def read_landing(
 
     feeds = []
     if csv_path:
-        feeds.append(tag_source(csv_rows(reader(), csv_path, schema, csv_header(spark, csv_path)), "csv", run_ts))
+        feeds.append(tag_source(csv_rows(reader(), csv_path, schema, csv_header(spark, csv_path, schema)), "csv", run_ts))
     if json_path:
         feeds.append(tag_source(json_rows(reader(), json_path, schema, multi_line), "json", run_ts))
     if not feeds:

@@ -67,15 +67,17 @@ def create_tables(spark: SparkSession, prefix: str = "", partition_by: str = "ba
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer tasks than the session has cores one partition per core.
+    """Give a table that fits into one scan partition one partition per core.
 
     A small file with a single row group is read by one task, whatever follows. ``keys``
     identify a row, so the partitions are even and a task that runs again sends its rows the
-    same way. A table that already fills the cores is returned unchanged: there the shuffle
-    would only cost. Asking for the number of scan tasks plans the scan but reads nothing.
+    same way. A table beyond ``spark.sql.files.maxPartitionBytes`` is returned unchanged, so
+    no more than that is ever shuffled here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    session = df.sparkSession
+    limit = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(session.sparkContext.defaultParallelism, *keys) if size <= limit else df
 
 
 def preview(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:

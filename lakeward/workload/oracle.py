@@ -14,6 +14,7 @@ from lakeward.workload import feed_sql
 
 RUN = "TIMESTAMP '2026-01-07 00:00:00'"
 BATCH_ID = "20260107000000"
+ROWS_PER_DOCUMENT = 50_000
 
 FILE = "file_name file_path file_size file_modification_time source_format"
 TAIL = f"{FILE} ingestion_timestamp batch_id pipeline_stage record_hash"
@@ -355,9 +356,9 @@ def _results() -> dict[str, str]:
     )
     q["file_metadata"] = "SELECT row_key AS staff_id, source_format, 'true' AS file_columns_filled FROM keyed_staff"
     q["arrival_listing"] = _union(
-        f"SELECT '{d.feed}' AS dataset, CAST(count(*) > 0 AS VARCHAR) AS has_files, 'true' AS files_sound "
-        f"FROM keyed_{d.feed}"
-        for d in (STAFF, STAFF_SCHEDULE)
+        f"SELECT '{d.feed}' AS dataset, CAST(ceil(count(*) FILTER (source_format = 'json') / {ROWS_PER_DOCUMENT}.0) AS BIGINT) "
+        f"AS json_documents, 'true' AS files_read_are_listed FROM keyed_{d.feed} HAVING count(*) > 0"
+        for d in DATASETS
     )
     hashed = ["file_name", "file_modification_time", *STAFF_SCHEDULE.columns, "copy_number"]
     pieces = ", ".join(

@@ -244,16 +244,23 @@ def _file_metadata(spark, sf_dir):
 
 
 def _arrival_listing(spark, sf_dir):
-    """Landed feeds per folder: every listed file is named, dated and not empty."""
-    s = Session(spark, sf_dir)
+    """Landed feeds per folder: how many JSON documents are listed, and whether every file that
+    holds rows is listed with its size."""
     root = scratch_root(spark, "landing")
-    for d in (STAFF, STAFF_SCHEDULE):
-        feeds.land(feeds.clean_text_feed(spark, sf_dir, d), d.columns, root, d.feed)
-    listed = landed_files(spark, root).filter(F.col("file_name").startswith("part-"))
-    sound = F.col("modified_time").isNotNull() & (F.col("size") > 0)
-    return listed.groupBy("dataset").agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), F.bool_and(sound).alias("files_sound")
+    found = []
+    for d in DATASETS:
+        paths = feeds.land(feeds.clean_text_feed(spark, sf_dir, d), d.columns, root, d.feed)
+        read = read_landing(spark, d.schema, RUN_TS, **paths).select("file_name", "file_size").distinct()
+        found.append(read.withColumn("dataset", F.lit(d.feed)))
+    listed = landed_files(spark, root).where("modified_time IS NOT NULL")
+    sizes = listed.select("dataset", "file_name", "size")
+    missed = quality.union_by_name(found).join(sizes, ["dataset", "file_name"], "left").groupBy("dataset").agg(
+        F.bool_and(F.col("file_size").eqNullSafe(F.col("size"))).alias("files_read_are_listed")
+    )
+    documents = listed.groupBy("dataset").agg(
+        F.count_if(F.col("file_name").startswith("part-") & F.col("file_name").endswith(".txt")).alias("json_documents")
     )
+    return documents.join(missed, "dataset")
 
 
 def _lineage_record_hash(spark, sf_dir):

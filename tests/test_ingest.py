@@ -12,7 +12,7 @@ from lakeward.operators.arrivals import files_of_day
 from lakeward.operators.lineage import add_batch_lineage
 from lakeward.operators.quality import serialization_errors
 from lakeward.plans.scratch import scratch_root
-from lakeward.sources.landing import read_landing
+from lakeward.sources.landing import csv_header, read_landing
 from lakeward.sources.listing import landed_files
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 
@@ -179,3 +179,11 @@ def test_run_time_is_stamped(spark, tmp_path):
     put(tmp_path / "csv" / "a.csv", "staff_id\ns1\n")
     df = read_landing(spark, STAFF.schema, datetime(2026, 1, 7, 1), csv_path=str(tmp_path / "csv"))
     assert df.first().ingestion_timestamp == datetime(2026, 1, 7, 1)
+
+
+def test_csv_folder_may_be_empty_at_first(spark, tmp_path):
+    rows = read_landing(spark, STAFF.schema, RUN_TS, csv_path=str(tmp_path))
+    assert rows.count() == 0
+    assert rows.columns[: len(STAFF.columns)] == list(STAFF.columns)
+    (tmp_path / "a.csv").write_text(",".join(STAFF.columns) + "\n")
+    assert csv_header(spark, str(tmp_path)) == list(STAFF.columns)
