@@ -28,8 +28,12 @@ TIE_BREAKER = "record_hash"
 
 def normalize(df: DataFrame, dataset: Dataset) -> DataFrame:
     """Clean the text columns, give every other declared column its type, add derived columns."""
+    # Only text needs the tolerant reading of numbers; a typed column keeps a cast that filters pass through.
+    text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
     typed = {
-        f.name: tolerant_cast(f.name, f.dataType) for f in dataset.schema if not isinstance(f.dataType, StringType)
+        f.name: tolerant_cast(f.name, f.dataType) if f.name in text else F.col(f.name).try_cast(f.dataType)
+        for f in dataset.schema
+        if not isinstance(f.dataType, StringType)
     }
     cleaned = {name: clean_text(name) for name in dataset.text_columns}
     out = df.withColumns(typed | cleaned)
