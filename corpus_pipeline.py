@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm import bpe_automaton, decontamination, language_id, line_dedup, near_dedup
-from lakeward.llm.common import read
+from lakeward.llm.common import KEY, read, row_key
 from lakeward.plans.scratch import scratch_root
 
 # Near duplicates in the pipeline: five-word shingles, a similarity of 0.8.
@@ -23,17 +23,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates.
+    """One document of each group of near duplicates, of those with its smallest doc_id; null is larger than any.
 
-    Rows that share a doc_id are told apart by text; equal rows and null ids leave one row each,
-    the first by text.
+    Rows are told apart by doc_id and text, so rows that share an id or have none stay unless they are
+    linked. Of several rows with a group's smallest id the first by key stays, once if it repeats. A
+    text without words is linked with nothing: each such row stays.
     """
-    judged = near_dedup.near_duplicates(docs, SIMILAR_PERCENT)
-    kept = judged.where("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("_kept_id")).distinct()
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    held = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("_kept_id"), F.col("text").alias("_kept_text"), row.alias("_row"))
-    place = F.row_number().over(Window.partitionBy("_kept_id").orderBy("_kept_text"))
-    return held.join(kept, "_kept_id", "left_semi").withColumn("_place", place).where("_place = 1").select("_row.*")
+    judged = near_dedup.judged_rows(docs, SIMILAR_PERCENT).where("kept and component is not null")
+    chosen = judged.groupBy("component").agg(F.min(F.struct(*KEY)).alias("key")).select("key.*")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    worded = F.coalesce(F.col("text").rlike(r"[^\t-\r ]"), F.lit(False))
+    held = docs.where(worded).select(*row_key("doc_id", "text"), row)
+    # Equal rows first: one that a third of the table repeats brings a row per map task to the join.
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy("_a"))
+    held = held.withColumn("_place", place).where("_place = 1").join(chosen, KEY, "left_semi")
+    return held.select("_row.*").union(docs.where(~worded))
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,18 +167,10 @@ def _frequencies(texts: DataFrame, percent: int) -> DataFrame:
     return staged(of_node.select("node", "common", repeated.alias("first")), "frequencies")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
+def judged_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """What ``near_duplicates`` says of every row, with the row's key (_a, _b) and its component's number.
 
-    Words are cut as in ``ascii_words``; a document's set is its distinct five-word shingles, or
-    the whole sequence if it has fewer words. Documents whose intersection is at least
-    ``percent`` / 100 of their union are linked. component_id is the smallest doc_id reachable
-    by links, itself included, and kept tells whether it is the row's own. A null or wordless
-    text has no shingles, is linked with nothing and has its own doc_id. A null doc_id is
-    larger than any other: such a row is kept only if its component has no doc_id at all. Rows
-    that repeat, or share a doc_id, are copies or texts like any other. Other columns are not read.
-
-    A pair at the threshold shares no band with probability (1 - 0.85 ** 5) ** 24, below 1e-6.
+    Rows are linked if they have one component; it is null in rows without shingles.
     """
     keyed = docs.select("doc_id", *row_key("doc_id", "text"), "text")
     signed = staged(keyed.mapInArrow(_sign, _SIGNED), "signed")
@@ -267,11 +259,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             tested = tested.unionByName(pairs)
             labels = relabelled(labels, compared(pairs))
 
-    named = shingled.select("doc_id", "n_shingles", "s1", "s2").join(classes.select("s1", "s2", "node"), ["s1", "s2"])
+    named = shingled.select("doc_id", *KEY, "n_shingles", "s1", "s2").join(classes.select("s1", "s2", "node"), ["s1", "s2"])
     named = named.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    judged = named.join(least, "component").select("doc_id", "n_shingles", "component_id")
-    empty = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    columns = ["doc_id", *KEY, "n_shingles", "component", "component_id"]
+    judged = named.join(least, "component").select(*columns)
+    alone = {"component": F.lit(None).cast("bigint"), "component_id": F.col("doc_id")}
+    empty = signed.where("n_shingles = 0").withColumns(alone).select(*columns)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return judged.unionByName(empty).withColumn("kept", kept)
 
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row.
+
+    Words are cut as in ``ascii_words``; a document's set is its distinct five-word shingles, or
+    the whole sequence if it has fewer words. Documents whose intersection is at least
+    ``percent`` / 100 of their union are linked. component_id is the smallest doc_id reachable
+    by links, itself included, and kept tells whether it is the row's own. A null or wordless
+    text has no shingles, is linked with nothing and has its own doc_id. A null doc_id is
+    larger than any other: such a row is kept only if its component has no doc_id at all. Rows
+    that repeat, or share a doc_id, are copies or texts like any other. Other columns are not read.
+
+    A pair at the threshold shares no band with probability (1 - 0.85 ** 5) ** 24, below 1e-6.
+    """
+    return judged_rows(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")

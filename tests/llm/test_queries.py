@@ -71,3 +71,20 @@ def test_stages_on_odd_rows(spark):
             docs = out
         assert docs.count() == (19 if rows and docs.head() else 0)
         assert corpus_pipeline.encode(spark, docs, SF).count() == docs.count()
+
+
+def test_near_duplicate_stage_loses_no_unlinked_row(spark):
+    def text(word):
+        return " ".join(f"{word}{i}" for i in range(30))
+
+    unlinked = [(3, text("a")), (7, text("b")), (8, text("c")), (8, text("d")), (None, text("e")), (None, text("f")), (-1, text("g")), (-1, text("h"))]
+    linked = [(7, text("a")), (None, text("b")), (9, text("c") + " more"), (None, text("f")), (3, text("a"))]
+    empty = [(7, None), (None, None), (None, " \n"), (8, ""), (None, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(unlinked + linked + empty)], "doc_id bigint, text string, _a int")
+    out = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, unlinked + empty))
+    # A component that has one id in two linked texts, or none at all, keeps one row.
+    pairs = [(5, text("a")), (5, text("a") + " z"), (None, text("b")), (None, text("b") + " z")]
+    out = corpus_pipeline.keep_one_of_near_duplicates(spark, spark.createDataFrame(pairs, "doc_id bigint, text string"), SF)
+    assert sorted((str(r.doc_id), r.text[0]) for r in out.collect()) == [("5", "a"), ("None", "b")]
