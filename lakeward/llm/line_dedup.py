@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from lakeward.llm.common import KEY, row_key
 
 LINE, PARAGRAPH = r"[^\n]*(?:\n|$)", r"(?s).+?(?:\n[ \t]*\n\s*|$)"
-# Shorter units repeat by chance in unrelated texts.
-MIN_WORDS = 10
+# Every unit with a word counts, however short.
+MIN_WORDS = 1
 
 _UNIT = "d1 bigint, d2 bigint, doc_id bigint, _a bigint, _b int, start bigint, end bigint"
 

@@ -129,3 +129,10 @@ def test_lines_equal_brute_force(spark):
 def test_paragraphs(spark):
     docs = spark.createDataFrame([(1, "one two\nthree\n\nfour five\n"), (2, "x y\n\nONE  two three\n \nz w")], "doc_id bigint, text string")
     assert [r.text for r in remove_repeated_units(docs, PARAGRAPH, 2).orderBy("doc_id").collect()] == ["one two\nthree\n\nfour five\n", "x y\n\nz w"]
+
+
+def test_short_lines_are_units_too(spark):
+    docs = spark.createDataFrame([(1, "}\na b\n\n"), (2, "x\n}\n\n A  B\n"), (3, "}"), (4, "\n \n")], "doc_id bigint, text string")
+    result = remove_repeated_units(docs).orderBy("doc_id").collect()
+    assert [r.text for r in result] == ["}\na b\n\n", "x\n\n", "", "\n \n"]
+    assert [[tuple(s) for s in r.removed_spans] for r in result] == [[], [(2, 4), (5, 11)], [(0, 1)], []]
