@@ -1,8 +1,8 @@
 """Near-duplicate documents by MinHash bands, odd sketches and exact comparison of shingle sets.
 
 1. Documents with equal shingle sets are one class.
-2. A class has ``BANDS * ROWS`` MinHash samples. Classes that agree on all samples of a band
-   share its bucket.
+2. A class has bands of MinHash samples, as many as ``scheme`` gives for the threshold. Classes
+   that agree on all samples of a band share its bucket.
 3. Each sample also flips one bit of a bitmap, its odd sketch. The bits in which two sketches
    differ estimate how many samples differ; pairs that are clearly apart are dropped.
 4. The other pairs are compared on their full sets.
@@ -27,8 +27,11 @@ Every pair of a bucket is then within one component, compared, or shown to have
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +42,12 @@ from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
 from lakeward.llm.components import components, relabelled
 from lakeward.llm.shingles import minhash, mix, shingle_set
 
-BANDS, ROWS = 24, 5
+# Samples of a band and of all bands, at most.
+ROWS, SAMPLES = 5, 192
 SKETCH_WORDS = 4
 FEW, RARE, CENTERS = 16, 16, 64
-# An estimate this far below the threshold is about five standard errors off at 120 samples.
-MARGIN = 0.2
+# Probabilities to miss a pair at the threshold, at most; below 1e-6 together.
+MISSED_BY_BANDS, MISSED_BY_SKETCH = 8e-7, 1.5e-7
 
 _SKETCH = [f"k{i}" for i in range(SKETCH_WORDS)]
 _SIGNED = (
@@ -52,11 +56,46 @@ _SIGNED = (
 )
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
+class Scheme(NamedTuple):
+    bands: int
+    rows: int  # samples of a band
+    most: int  # bits in which the sketches of compared pairs differ, at most
+
+
+@cache
+def scheme(percent: int) -> Scheme:
+    """Bands of as many samples as ``SAMPLES`` allow, and the sketch's cut, to miss no more than the probabilities above."""
+    share = percent / 100
+    for rows in range(ROWS, 0, -1):
+        alike = share**rows
+        bands = math.ceil(math.log(MISSED_BY_BANDS) / math.log1p(-alike)) if 0 < alike < 1 else 1
+        if share > 0 and bands * rows <= SAMPLES:
+            return Scheme(bands, rows, _cut(share, bands * rows))
+    raise ValueError(f"{percent} % is too low a threshold for {SAMPLES} samples")
+
+
+def _cut(share: float, samples: int) -> int:
+    """The least number of bits that the sketches of a pair at the threshold exceed with ``MISSED_BY_SKETCH`` at most.
+
+    A sample differs with probability 1 - share, and flips a bit in each sketch then.
+    """
+    bits = SKETCH_WORDS * 64
+    odd, apart, k = np.zeros(bits + 1), np.zeros(bits + 1), np.arange(bits + 1)
+    odd[0] = 1
+    for differ in range(samples + 1):
+        apart += math.comb(samples, differ) * (1 - share) ** differ * share ** (samples - differ) * odd
+        for _ in range(2):
+            up, down = odd * (bits - k) / bits, odd * k / bits
+            odd = np.append(0, up[:-1]) + np.append(down[1:], 0)
+    beyond = apart[::-1].cumsum()[::-1]  # of at least so many bits
+    return int(np.argmax(np.append(beyond[1:], 0) <= MISSED_BY_SKETCH))
+
+
+def band_keys(samples: np.ndarray, bands: int) -> np.ndarray:
     """One key for each band of samples; keys of different bands differ."""
-    grid = samples.reshape(BANDS, ROWS)
-    key = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for i in range(ROWS):
+    grid = samples.reshape(bands, -1)
+    key = mix(np.arange(1, bands + 1, dtype=np.uint64))
+    for i in range(grid.shape[1]):
         key = mix(key + grid[:, i])
     return key.view(np.int64)
 
@@ -69,28 +108,31 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts, sets, bands, sketches = [], [], [], []
-        for text in batch["text"].to_pylist():
-            hashes = shingle_set(text)
-            counts.append(len(hashes))
-            sets.append(blake2b(hashes.tobytes(), digest_size=16).digest())
-            samples = minhash(hashes, BANDS * ROWS)
-            bands.append(band_keys(samples))
-            sketches.append(odd_sketch(samples))
-        halves = np.frombuffer(b"".join(sets), np.int64).reshape(-1, 2)
-        sketch = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
-        offsets = pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS)
-        flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"].cast(pa.int64()), batch["_a"], batch["_b"], pa.array(counts, pa.int64()),
-                pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.ListArray.from_arrays(offsets, flat),
-                *(pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)),
-            ],
-            [field.split()[0] for field in _SIGNED.split(", ")],
-        )
+def _sign(n_bands: int, rows: int):
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, sets, bands, sketches = [], [], [], []
+            for text in batch["text"].to_pylist():
+                hashes = shingle_set(text)
+                counts.append(len(hashes))
+                sets.append(blake2b(hashes.tobytes(), digest_size=16).digest())
+                samples = minhash(hashes, n_bands * rows)
+                bands.append(band_keys(samples, n_bands))
+                sketches.append(odd_sketch(samples))
+            halves = np.frombuffer(b"".join(sets), np.int64).reshape(-1, 2)
+            sketch = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
+            offsets = pa.array(np.arange(len(bands) + 1, dtype=np.int32) * n_bands)
+            flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc_id"].cast(pa.int64()), batch["_a"], batch["_b"], pa.array(counts, pa.int64()),
+                    pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.ListArray.from_arrays(offsets, flat),
+                    *(pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)),
+                ],
+                [field.split()[0] for field in _SIGNED.split(", ")],
+            )
+
+    return mapped
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,11 +173,8 @@ def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     for end in ("a", "b"):
         own = sketches.select(F.col("node").alias(end), *(F.col(k).alias(f"{k}_{end}") for k in _SKETCH))
         pairs = pairs.join(own, end)
-    bits, samples = SKETCH_WORDS * 64, BANDS * ROWS
     apart = sum((F.bit_count(F.col(f"{k}_a").bitwiseXOR(F.col(f"{k}_b"))) for k in _SKETCH), F.lit(0))
-    # similarity = 1 + bits / (4 samples) * ln(1 - 2 apart / bits), turned round
-    most = bits / 2 * (1 - np.exp((percent / 100 - MARGIN - 1) * 4 * samples / bits))
-    return pairs.where(apart <= F.lit(float(most))).select("a", "b")
+    return pairs.where(apart <= scheme(percent).most).select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +212,8 @@ def judged_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
     Rows are linked if they have one component; it is null in rows without shingles.
     """
     keyed = docs.select("doc_id", *row_key("doc_id", "text"), "text")
-    signed = staged(keyed.mapInArrow(_sign, _SIGNED), "signed")
+    n_bands, rows, _ = scheme(percent)
+    signed = staged(keyed.mapInArrow(_sign(n_bands, rows), _SIGNED), "signed")
     shingled = signed.where("n_shingles > 0")
     classes = staged(
         shingled.drop("doc_id").dropDuplicates(["s1", "s2"]).withColumn("node", F.monotonically_increasing_id()), "classes"
@@ -281,6 +321,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     larger than any other: such a row is kept only if its component has no doc_id at all. Rows
     that repeat, or share a doc_id, are copies or texts like any other. Other columns are not read.
 
-    A pair at the threshold shares no band with probability (1 - 0.85 ** 5) ** 24, below 1e-6.
+    Bands and sketches together miss a pair at the threshold with a probability below 1e-6, whatever ``percent``;
+    if that is too low for it, ValueError.
     """
     return judged_rows(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")

@@ -80,6 +80,30 @@ def test_odd_sketches_estimate():
         assert abs(estimate - share) < 0.15 or (share < 0.6 and estimate < 0.65)
 
 
+@pytest.mark.parametrize("percent", [8, 50, 80, 85, 99, 100])
+def test_pairs_at_the_threshold_are_hardly_missed(percent):
+    bands, rows, most = near_dedup.scheme(percent)
+    share, bits = percent / 100, near_dedup.SKETCH_WORDS * 64
+    by_bands = (1 - share**rows) ** bands
+    # Bits apart after each sample, by their probability.
+    apart = {0: 1.0}
+    for _ in range(bands * rows):
+        after = {k: p * share for k, p in apart.items()}
+        for k, p in apart.items():
+            once = ((k + 1, (bits - k) / bits), (k - 1, k / bits))
+            for j, q in once:
+                for i, r in ((j + 1, (bits - j) / bits), (j - 1, j / bits)):
+                    if q and r:
+                        after[i] = after.get(i, 0) + p * (1 - share) * q * r
+        apart = after
+    by_sketch = sum(p for k, p in apart.items() if k > most)
+    assert abs(sum(apart.values()) - 1) < 1e-9 and by_bands + by_sketch < 1e-6
+    if percent < 100:
+        assert sum(p for k, p in apart.items() if k > most - 2) > near_dedup.MISSED_BY_SKETCH
+    with pytest.raises(ValueError, match="too low"):
+        near_dedup.scheme(2)
+
+
 def brute_contained(docs, items, least=0.8):
     def shingles(text):
         w = letter_words(text or "")
