@@ -22,6 +22,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A key with more than one in HOT_SHARE of all rows is hot; fewer than HOT_SHARE keys can be.
+HOT_SHARE = 10_000
+
+
+def hot_and_cold(table: DataFrame, weight: str) -> tuple[DataFrame, DataFrame]:
+    """A table of keys, ``weight`` counting the rows of each, as (hot keys to broadcast, the others).
+
+    At most HOT_SHARE keys are hot at any size of the input, so the broadcast is bounded; what joins
+    the others by shuffle brings at most one in HOT_SHARE of all rows to a task for one key.
+    ``table`` is read three times: stage it.
+    """
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
+    is_hot = F.col(weight) > total // HOT_SHARE
+    return F.broadcast(table.where(is_hot)), table.where(~is_hot)
+
+
 def row_key(*columns: str) -> list[Column]:
     """Two columns, 96 bits, that stand for the values of ``columns``; equal rows have equal keys."""
     return [F.xxhash64(*columns).alias("_a"), F.hash(*reversed(columns)).alias("_b")]

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import bpe_automaton, decontamination, language_id, line_dedup, near_dedup, suffix_dedup, token_counts
-from lakeward.llm import topk, url_rules, warc
+from lakeward.llm import bpe_automaton, chunk_dedup, collocations, decontamination, hard_negatives, language_id, line_dedup
+from lakeward.llm import near_dedup, suffix_dedup, token_counts, topk, url_rules, warc
 from lakeward.llm.common import read
 from lakeward.plans.scratch import scratch_root
 
@@ -74,12 +74,27 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (
         op1_warc, op2_decontamination, op3_substring_dedup, op4_url_filters, op5_token_counts,
         op6_bpe, op7_language_id, op8_suffix_dedup, op9_topk, op10_near_dedup,
+        op11_collocations, op12_exact_dedup, op13_hard_negatives,
     )
     return {query.__name__: query for query in own} | {"pipeline": corpus_pipeline.run}
 
@@ -139,4 +154,39 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(
  FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+        "op11_collocations": """
+WITH p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM
+  (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece FROM documents)),
+ g AS (SELECT lang, w[i:i + m - 1] AS w, m, count(*) AS f FROM
+  (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) t(m)) GROUP BY ALL),
+ n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE m = 1 GROUP BY lang),
+ c AS (SELECT * FROM g WHERE m > 1 AND f >= 30),
+ inner_parts AS (SELECT lang, w[i:i + k - 1] AS w, max(f) AS over FROM
+  (SELECT lang, w, f, k, unnest(range(1, m - k + 2)) AS i FROM c, (VALUES (2), (3)) t(k) WHERE k < m) GROUP BY ALL),
+ cut AS (SELECT lang, w, m, f, unnest(range(1, m)) AS k FROM c),
+ s AS (SELECT cut.*, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * cut.f // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score FROM cut
+  JOIN g l ON l.lang = cut.lang AND l.w = cut.w[1:k] JOIN g r ON r.lang = cut.lang AND r.w = cut.w[k + 1:cut.m]),
+ best AS (SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, k) AS place FROM s),
+ left_over AS (SELECT lang, array_to_string(w, ' ') AS phrase, f AS a, l, r, score FROM best LEFT JOIN inner_parts USING (lang, w)
+  WHERE place = 1 AND NOT coalesce(100 * CAST(over AS HUGEINT) >= 80 * CAST(f AS HUGEINT), false)),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+        "op12_exact_dedup": """
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g') AS x FROM documents),
+ g AS (SELECT doc_id, x, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM g""",
+        "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, CAST(list_dot_product(a.e, d.e) AS BIGINT) AS score
+  FROM v a JOIN v d ON a.vec_id % 100 = 0 AND a.vec_id <> d.vec_id),
+ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+  row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+ n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE place <= 5 AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
     }

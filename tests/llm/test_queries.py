@@ -16,7 +16,7 @@ from test_archive_rules_lines import brute_lines
 from test_search_and_learning import brute_contained, brute_near
 
 SF = "/root/testdata/sf0.001"
-TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
