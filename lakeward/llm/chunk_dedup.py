@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import hot_and_cold, staged, text_buffer
+from lakeward.llm.common import hot_and_cold, sliced, staged, text_buffer
 
 # A chunk ends after a byte whose rolling hash has CUT_BITS leading zeros, one in 2**CUT_BITS.
 CUT_BITS = 10
 LEAST_BYTES, MOST_BYTES = 256, 8192
 DIGEST_BYTES, LONGEST_DIGEST = 16, 64
 COPIES_PER_GROUP = 100_000
+# Text a task works on at once; the arrays for it take some 40 times as much.
+BYTES_AT_ONCE = 1 << 21
 
 _WINDOW = 32  # bytes the rolling hash depends on
 _GEAR = np.random.default_rng(20240607).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -71,7 +73,7 @@ def _name(chunk: bytes, size: int) -> bytes:
 
 def _recipes(size: int):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, BYTES_AT_ONCE):
             data, bounds = normalised(batch["text"])
             view = memoryview(np.ascontiguousarray(data))
             recipes, digests = [], []
@@ -85,10 +87,10 @@ def _recipes(size: int):
 
 
 def _chunks(size: int):
-    """Names and contents of the chunks, each once per batch."""
+    """Names and contents of the chunks, each once per run of texts."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, BYTES_AT_ONCE):
             data, bounds = normalised(batch["text"])
             view = memoryview(np.ascontiguousarray(data))
             found = set()

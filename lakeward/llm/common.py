@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.plans.scratch import scratch_root
+from lakeward.plans.scratch import drop_folder, scratch_root
 
 # Bits of a filter. At one bit for each repeated value, a filter that is full only lets more
 # rows through to the exact step after it; it never grows.
@@ -19,7 +21,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the cluster's shared folder and read back: one evaluation, no lineage."""
     path = scratch_root(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        drop_folder(table.sparkSession, table._staged_at)
 
 
 # A key with more than one in HOT_SHARE of all rows is hot; fewer than HOT_SHARE keys can be.
@@ -76,5 +86,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows whose texts together have about ``size`` bytes; a longer text comes by itself."""
+    for batch in batches:
+        _, bounds = text_buffer(batch["text"])
+        start = 0
+        while start < len(batch):
+            end = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, "right")) - 1)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
