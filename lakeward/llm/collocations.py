@@ -17,11 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import hot_and_cold, staged
+from lakeward.llm.common import discard, filter_of, hot_and_cold, in_filter, staged
+from lakeward.llm.shingles import mix
 
 LEAST_COUNT = 30
 LONGEST = 4
@@ -31,8 +33,8 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 NO_LANGUAGE = "und"
 
-# Words per block; a document is cut between blocks only at its end.
-BLOCK_WORDS = 1 << 20
+# Words per block of a language, and of all that a task holds; a block ends with a document.
+BLOCK_WORDS, HELD_WORDS = 1 << 21, 1 << 23
 BATCH_CHARS = 1 << 21
 TILE = 512
 # A tile with at least one pair for so many addresses is counted directly.
@@ -66,6 +68,14 @@ class _Ids(dict):
         return number
 
 
+def _packed(stream: np.ndarray) -> pa.Array:
+    return pa.array([zstandard.compress(stream.tobytes(), 1)], pa.binary())
+
+
+def _unpacked(stream: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(stream), np.int32)
+
+
 def _number() -> Iterator[int]:
     number = TaskContext.get().partitionId() << 32
     while True:
@@ -77,45 +87,45 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers = _number()
     held: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
     waiting: dict[str, list[str]] = {}
-    chars = n_words = 0
+    sizes: dict[str, int] = {}
+    chars = 0
 
-    def number_waiting() -> int:
-        new = 0
+    def number_waiting() -> None:
         for lang, texts in waiting.items():
             ids, parts = held.setdefault(lang, (_Ids(), []))
             words = words_of("\n".join(["", *texts, ""]))
             parts.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
-            new += len(words)
+            sizes[lang] = sizes.get(lang, 0) + len(words)
         waiting.clear()
-        return new
-
-    def blocks() -> Iterator[pa.RecordBatch]:
-        for lang, (ids, parts) in held.items():
-            stream = np.concatenate(parts)
-            counts = np.bincount(stream, minlength=len(ids))
-            if len(ids) > 1:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([next(numbers)]), pa.array([lang]),
-                        pa.array([[w.decode() for w in ids if w != _BREAK]], pa.list_(pa.string())),
-                        pa.array([counts[1:]], pa.list_(pa.int64())), pa.array([stream.tobytes()], pa.binary()),
-                    ],
-                    [f.split()[0] for f in _WORDS.split(", ")],
-                )
-        held.clear()
+
+    def block(lang: str) -> Iterator[pa.RecordBatch]:
+        ids, parts = held.pop(lang)
+        del sizes[lang]
+        stream = np.concatenate(parts)
+        counts = np.bincount(stream, minlength=len(ids))
+        if len(ids) > 1:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([next(numbers)]), pa.array([lang]),
+                    pa.array([[w.decode() for w in ids if w != _BREAK]], pa.list_(pa.string())),
+                    pa.array([counts[1:]], pa.list_(pa.int64())), _packed(stream),
+                ],
+                [f.split()[0] for f in _WORDS.split(", ")],
+            )
 
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
             waiting.setdefault(lang, []).append(text)
             chars += len(text) + 1
             if chars >= BATCH_CHARS:
-                n_words += number_waiting()
+                number_waiting()
                 chars = 0
-                if n_words >= BLOCK_WORDS:
-                    yield from blocks()
-                    n_words = 0
+                full = sum(sizes.values()) >= HELD_WORDS
+                for known in [lang for lang, n in sizes.items() if full or n >= BLOCK_WORDS]:
+                    yield from block(known)
     number_waiting()
-    yield from blocks()
+    for lang in list(held):
+        yield from block(lang)
 
 
 def tiled_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +172,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams of local symbols and the ranks of the frequent ones, to the pairs of neighbours that both have a rank."""
     for batch in batches:
         for i in range(len(batch)):
-            stream = np.frombuffer(batch["stream"][i].as_py(), np.int32)
+            stream = _unpacked(batch["stream"][i].as_py())
             # A symbol without a rank ends the phrases around it.
             ranks = np.full(int(stream.max(initial=0)) + 1, -1, np.int64)
             known = batch["known"][i].values
@@ -176,7 +186,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             after[at] = place + 1
             arrays = [pa.array([a], pa.list_(pa.int64())) for a in (lefts, rights, counts)]
             yield pa.RecordBatch.from_arrays(
-                [batch["block"].slice(i, 1), batch["lang"].slice(i, 1), *arrays, pa.array([after.tobytes()], pa.binary())],
+                [batch["block"].slice(i, 1), batch["lang"].slice(i, 1), *arrays, _packed(after)],
                 [f.split()[0] for f in _PAIRS.split(", ")],
             )
 
@@ -194,10 +204,35 @@ def _ranked(frequent: DataFrame, label: str) -> DataFrame:
     return staged(placed.join(F.broadcast(starts), "_part").withColumn("rank", rank).drop("_at", "_part", "_start"), label)
 
 
-def _told(blocks: DataFrame, symbols: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)).view(np.int64)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_slot(batch["left"].to_numpy(), batch["right"].to_numpy()))], ["slot"])
+
+
+def _asked(bits: np.ndarray):
+    """The blocks' pairs that the filter lets through."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                left, right = (batch[c][i].values.to_numpy() for c in ("lefts", "rights"))
+                hit = np.flatnonzero(in_filter(bits, _slot(left, right)))
+                columns = [np.full(len(hit), batch["block"][i].as_py(), np.int64), (hit + 1).astype(np.int32), left[hit], right[hit]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["block", "place", "left", "right"])
+
+    return mapped
+
+
+def _told(blocks: DataFrame, asked: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """The blocks' streams with ``known``: place and rank of their symbols that ``table`` has."""
-    hot, cold = hot_and_cold(table.select(*keys, "rank", "blocks"), "blocks")
-    asked = symbols.select("block", "place", *keys)
+    hot, cold = hot_and_cold(table.select(*keys, "rank", "f"), "f")
+    hot, cold = hot.drop("f"), cold.drop("f")
+    asked = asked.select("block", "place", *keys)
     found = asked.join(hot, keys).unionByName(asked.join(hot, keys, "left_anti").join(cold, keys))
     known = found.groupBy("block").agg(F.collect_list(F.struct("place", "rank")).alias("known"))
     return blocks.select("block", "lang", "stream").join(known, "block")
@@ -217,7 +252,7 @@ def _phrase_pairs(counted: DataFrame, table: DataFrame) -> DataFrame:
     y = table.select(F.col("rank").alias("right"), F.col("phrase").alias("_y"), F.col("lasts").alias("_lasts"))
     own = F.array("f")
     return counted.join(x, "left").join(y, "right").select(
-        "lang", "left", "right", "f", "blocks",
+        "lang", "left", "right", "f",
         F.concat("_x", F.lit(" "), F.substring_index("_y", " ", -1)).alias("phrase"),
         F.concat("_firsts", own).alias("firsts"), F.concat("_lasts", own).alias("lasts"),
     )
@@ -252,17 +287,17 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text").where("text is not null")
     blocks = staged(texts.mapInArrow(_streams, _WORDS), "words")
     symbols = _symbols(blocks, ["words"])
-    total, rows = F.sum("counts").alias("f"), F.count(F.lit(1)).alias("blocks")
-    words = symbols.groupBy("lang", "phrase").agg(total, rows)
-    sizes = symbols.groupBy("lang").agg(F.sum("counts").alias("n"))
+    total = F.sum("counts").alias("f")
+    words = symbols.groupBy("lang", "phrase").agg(total)
+    sizes = staged(symbols.groupBy("lang").agg(F.sum("counts").alias("n")), "sizes")
     frequent = words.where(F.col("f") >= least).withColumns({"firsts": F.array("f"), "lasts": F.array("f")})
     table = _ranked(frequent, "ranks")
-    keys, found = ["lang", "phrase"], []
+    asked, keys, found = symbols, ["lang", "phrase"], []
     for length in range(2, LONGEST + 1):
-        told = _told(blocks, symbols, table, keys)
-        blocks = staged(told.mapInArrow(_pairs, _PAIRS), f"pairs{length}")
-        symbols, keys = _symbols(blocks, ["lefts", "rights"]), ["left", "right"]
-        counted = symbols.groupBy(*keys).agg(total, rows).where(F.col("f") >= least)
+        longer_blocks = staged(_told(blocks, asked, table, keys).mapInArrow(_pairs, _PAIRS), "pairs")
+        discard(blocks)
+        blocks, keys = longer_blocks, ["left", "right"]
+        counted = _symbols(blocks, ["lefts", "rights"]).groupBy(*keys).agg(total).where(F.col("f") >= least)
         longer = _phrase_pairs(counted, table)
         longer = _ranked(longer, "ranks") if length < LONGEST else staged(longer, "ranks")
         if length > 2:
@@ -272,7 +307,13 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
             covered = _decimal("over") * 100 >= _decimal("f") * COVERED_PERCENT
             left = table.join(over, "rank", "left").where(~F.coalesce(covered, F.lit(False)))
             found.append(_scored(left, length - 1))
+        if length < LONGEST:
+            # The filter only spares rows: what it lets through wrongly finds no rank.
+            bits = filter_of(longer.select(*keys).mapInArrow(_slots, "slot bigint"), "slot")
+            pairs = blocks.select("block", "lefts", "rights")
+            asked = pairs.mapInArrow(_asked(bits), "block bigint, place int, left bigint, right bigint")
         table = longer
+    discard(blocks)
     found.append(_scored(table, LONGEST))
     scored = found[0].unionByName(found[1]).unionByName(found[2])
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
