@@ -309,7 +309,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
             found.append(_scored(left, length - 1))
         if length < LONGEST:
             # The filter only spares rows: what it lets through wrongly finds no rank.
-            bits = filter_of(longer.select(*keys).mapInArrow(_slots, "slot bigint"), "slot")
+            bits = filter_of(longer.select(*keys).mapInArrow(_slots, "slot bigint"), "slot", longer.count())
             pairs = blocks.select("block", "lefts", "rights")
             asked = pairs.mapInArrow(_asked(bits), "block bigint, place int, left bigint, right bigint")
         table = longer

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from lakeward.plans.scratch import drop_folder, scratch_root
 
-# Bits of a filter. At one bit for each repeated value, a filter that is full only lets more
-# rows through to the exact step after it; it never grows.
+# Bits of a filter: FILTER_BITS, or some 16 for each value if their number is given, within bounds. A
+# fuller filter only lets more rows through to the exact step after it.
 FILTER_BITS = 1 << 26
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 20, 1 << 28
 _BITS_PER_ROW = 32768
 
 
@@ -56,15 +57,18 @@ def row_key(*columns: str) -> list[Column]:
 KEY = ["_a", "_b"]
 
 
-def filter_of(values: DataFrame, column: str) -> np.ndarray:
-    """A bit for each value of a bigint column, at its low bits: FILTER_BITS / 8 bytes, whatever the input."""
-    slot = F.col(column).bitwiseAND(FILTER_BITS - 1) + 1  # bitmap functions count bits from 1
+def filter_of(values: DataFrame, column: str, count: int | None = None) -> np.ndarray:
+    """A bit for each value of a bigint column, at its low bits: MOST_FILTER_BITS / 8 bytes at most, whatever the input."""
+    size = FILTER_BITS
+    if count is not None:
+        size = min(max(LEAST_FILTER_BITS, 1 << (16 * count).bit_length()), MOST_FILTER_BITS)
+    slot = F.col(column).bitwiseAND(size - 1) + 1  # bitmap functions count bits from 1
     rows = (
         values.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
         .groupBy("bucket")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for bucket, bits in rows.toLocalIterator():
         at = (bucket - 1) * _BITS_PER_ROW // 8
         out[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
@@ -72,7 +76,7 @@ def filter_of(values: DataFrame, column: str) -> np.ndarray:
 
 
 def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = values.view(np.int64) & np.int64(FILTER_BITS - 1)
+    slot = values.view(np.int64) & np.int64(8 * len(bits) - 1)
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 

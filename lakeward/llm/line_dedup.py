@@ -1,102 +1,180 @@
-"""Substring deduplication by lines or paragraphs.
+"""Substring deduplication by lines or paragraphs, and by passages inside them.
 
 Texts are cut into units; a unit is normalised and digested; digests are grouped over all texts;
 the occurrence that ranks first stays, and the others are cut out of their texts, with the
-offsets they had.
+offsets they had. Units are the lines (or paragraphs) and, inside longer ones, segments that end
+where their own words say so: a passage that stands in two different lines has the same segments in
+both. A segment goes only as part of a run of repeated words, so a phrase that two texts happen
+to share stays.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from hashlib import blake2b
+from hashlib import blake2b, md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import KEY, row_key
+from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
 
 LINE, PARAGRAPH = r"[^\n]*(?:\n|$)", r"(?s).+?(?:\n[ \t]*\n\s*|$)"
 # Every unit with a word counts, however short.
 MIN_WORDS = 1
+# Units of at least so many words are also cut into segments. A segment ends after each word
+# whose digest starts with one of these digits, 3 of 16, and at the end of its unit.
+SEGMENTED_WORDS = 16
+LAST_WORDS = "012"
+# Repeated segments go where the repeated words around them, without a gap, are at least so many.
+RUN_WORDS = 16
 
-_UNIT = "d1 bigint, d2 bigint, doc_id bigint, _a bigint, _b int, start bigint, end bigint"
+_UNIT = "d1 bigint, d2 bigint, doc_id bigint, _a bigint, _b int, start bigint, end bigint, w0 bigint, w1 bigint, whole boolean"
+_WORD = re.compile(r"\S+")
+_WORDS_KNOWN = 1 << 20
 
 
-def units(text: str, pattern: re.Pattern, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """Where units of at least ``min_words`` words start and end, with what follows them, and their digests.
+def _digest(words: list[str], segment: bool) -> bytes:
+    return blake2b(" ".join(words).encode(), digest_size=16, person=b"segment" if segment else b"").digest()
 
-    Units are alike if they have the same words in lower case, whatever the white space.
+
+class _LastWords(dict):
+    """Whether a segment ends after a word; words met lately are remembered."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= _WORDS_KNOWN:
+            self.clear()
+        self[word] = last = md5(word.encode()).hexdigest()[0] in LAST_WORDS
+        return last
+
+
+_ends_segment = _LastWords()
+
+
+def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
+    """The units of a text: digest, start and end in characters, number of the first word and of the first one
+    after it, and whether it is a whole line (which ends with what follows it) or a segment.
+
+    Units are alike if they have the same words in lower case, whatever the white space. There are
+    no segments if ``run_words`` is 0.
     """
+    before = 0
     for match in pattern.finditer(text):
         words = match.group().lower().split()
-        if len(words) >= max(min_words, 1):
-            yield match.start(), match.end(), blake2b(" ".join(words).encode(), digest_size=16).digest()
+        n = len(words)
+        if n >= max(min_words, 1):
+            yield _digest(words, False), match.start(), match.end(), before, before + n, True
+        if run_words and n >= SEGMENTED_WORDS:
+            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())]
+            first = 0
+            for place in range(n):
+                if place + 1 == n or _ends_segment[words[place]]:
+                    end = bounds[place + 1][0] if place + 1 < n else bounds[place][1]
+                    yield _digest(words[first : place + 1], True), bounds[first][0], end, before + first, before + place + 1, False
+                    first = place + 1
+        before += n
+
+
+def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None = None):
+    """Digests and doc_ids of all units; or, given a filter of digests, all columns of those it lets through."""
+    pattern = re.compile(unit)
 
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, counts = [], []
+            for text in batch["text"].to_pylist():
+                held = len(found)
+                found.extend(units(text, pattern, min_words, run_words))
+                counts.append(len(found) - held)
+            halves = np.frombuffer(b"".join(u[0] for u in found), np.int64).reshape(-1, 2)
+            rows = np.repeat(np.arange(len(counts)), counts)
+            columns = {"d1": halves[:, 0], "d2": halves[:, 1]}
+            if bits is None:
+                columns["doc_id"] = batch["doc_id"].take(pa.array(rows))
+            else:
+                hit = np.flatnonzero(in_filter(bits, np.ascontiguousarray(halves[:, 0])))
+                rows, found = pa.array(rows[hit]), [found[i] for i in hit.tolist()]
+                columns = {c: v[hit] for c, v in columns.items()} | {c: batch[c].take(rows) for c in ("doc_id", *KEY)}
+                columns |= {c: np.array([u[i] for u in found], np.int64) for i, c in enumerate(("start", "end", "w0", "w1"), 1)}
+                columns["whole"] = np.array([u[5] for u in found], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
 
-def _digests(unit: str, min_words: int):
-    pattern = re.compile(unit)
+    return mapped
+
+
+def _merged(run_words: int):
+    """What goes of each text: whole units, and segments in runs of at least ``run_words`` repeated words."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, rows, starts, ends = [], [], [], []
-            for row, text in enumerate(batch["text"].to_pylist()):
-                for start, end, digest in units(text, pattern, min_words):
-                    found.append(digest)
-                    rows.append(row)
-                    starts.append(start)
-                    ends.append(end)
-            halves = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(halves[:, 0]), pa.array(halves[:, 1]),
-                    batch["doc_id"].cast(pa.int64()).take(at), *(batch[k].take(at) for k in KEY),
-                    pa.array(starts, pa.int64()), pa.array(ends, pa.int64()),
-                ],
-                [field.split()[0] for field in _UNIT.split(", ")],
-            )
+            spans = []
+            for repeated in batch["repeated"].to_pylist():
+                gone, run = [], []
+
+                def close():
+                    enough = run and max(u["w1"] for u in run) - run[0]["w0"] >= run_words
+                    gone.extend((u["start"], u["end"]) for u in run if u["whole"] or enough)
+                    run.clear()
+
+                last = -1
+                for u in sorted(repeated, key=lambda u: (u["w0"], -u["w1"])):
+                    if u["w0"] > last:
+                        close()
+                    run.append(u)
+                    last = max(last, u["w1"])
+                close()
+                out: list[list[int]] = []
+                for start, end in sorted(gone):
+                    if out and start <= out[-1][1]:
+                        out[-1][1] = max(out[-1][1], end)
+                    else:
+                        out.append([start, end])
+                spans.append([{"start": a, "end": b} for a, b in out])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in KEY), pa.array(spans, kind)], [*KEY, "spans"])
 
     return mapped
 
 
-def repeated_units(docs: DataFrame, unit: str = LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """The units that go: _a, _b (the row's key) and spans, an ordered array of (start, end) in characters.
+def repeated_units(docs: DataFrame, unit: str = LINE, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """What goes: _a, _b (the row's key) and spans, an ordered array of separate (start, end) in characters.
 
-    Occurrences rank by doc_id (null last), the row's key and place. A digest that a third of
-    all texts hold is counted before the shuffle, and its join is split by adaptive execution.
+    Occurrences rank by doc_id (null last), the row's key and place. Digests are counted first, combined before
+    the shuffle, so one that a third of all texts hold is no hot key; only units whose digest may
+    repeat are then joined, and adaptive execution splits that join.
     """
-    keyed = docs.select(*row_key("doc_id", "text"), "doc_id", "text").where("text is not null")
-    found = keyed.mapInArrow(_digests(unit, min_words), _UNIT).withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    keyed = docs.select(*row_key("doc_id", "text"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
+    keyed = keyed.withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    digests = keyed.mapInArrow(_found(unit, min_words, run_words), "d1 bigint, d2 bigint, doc_id bigint")
     # The first occurrence, one column at a time: plain minima are combined without sorting.
-    counted = found.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("least_id"), F.max("doc_id").alias("most_id"), F.count(F.lit(1)).alias("n")
-    )
-    again = counted.where("n > 1").select("d1", "d2", "least_id")
-    repeats = found.join(again, ["d1", "d2"])
-    later = repeats.where("doc_id > least_id").select(*KEY, "start", "end")
+    counted = digests.groupBy("d1", "d2").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n"))
+    again = staged(counted.where("n > 1").select("d1", "d2", "least_id"), "repeated")
+    bits = filter_of(again, "d1", again.count())
+    repeats = keyed.mapInArrow(_found(unit, min_words, run_words, bits), _UNIT).join(again, ["d1", "d2"])
+    place = ["start", "end", "w0", "w1", "whole"]
+    later = repeats.where("doc_id > least_id").select(*KEY, *place)
     # Occurrences in texts of the least doc_id: a few texts, or copies within one.
     first = F.min(F.struct("_a", "_b", "start"))
     ties = repeats.where("doc_id = least_id")
     kept = ties.groupBy("d1", "d2").agg(first.alias("kept"))
-    tied = ties.join(kept, ["d1", "d2"]).where(F.struct("_a", "_b", "start") != F.col("kept")).select(*KEY, "start", "end")
-    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
-    return later.unionByName(tied).groupBy(*KEY).agg(spans.alias("spans"))
+    tied = ties.join(kept, ["d1", "d2"]).where(F.struct("_a", "_b", "start") != F.col("kept")).select(*KEY, *place)
+    each = later.unionByName(tied).groupBy(*KEY).agg(F.collect_set(F.struct(*place)).alias("repeated"))
+    return each.mapInArrow(_merged(run_words), "_a bigint, _b int, spans array<struct<start:bigint,end:bigint>>")
 
 
-def remove_repeated_units(docs: DataFrame, unit: str = LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every row of ``docs`` with ``text`` cut and ``removed_spans``, the ranges cut from it.
+def remove_repeated_units(docs: DataFrame, unit: str = LINE, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """Every row of ``docs`` with ``text`` cut and ``removed_spans``, the separate ranges cut from it.
 
-    Offsets are in characters of the original text; a unit goes with the line end after it. A
-    null text stays null. Rows with the same doc_id and text are one text here and are cut alike:
+    Offsets are in characters of the original text; a line goes with the line end after it, a
+    segment with the blanks before the next word of its line. A null text stays null. Rows with the same doc_id and text are one text here and are cut alike:
     the unit stays in all of them or in none. Rows that share a doc_id but not the text, or lack
     one, rank by a hash of the row. A unit that repeats within a text stays at its first place.
     All columns are kept, whatever their names; one named removed_spans is replaced.
     """
     held = docs.select(*row_key("doc_id", "text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    joined = held.join(repeated_units(docs, unit, min_words), KEY, "left")
+    joined = held.join(repeated_units(docs, unit, min_words, run_words), KEY, "left")
     text = F.col("row.text")
     # Kept pieces lie between the cuts.
     begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("spans", lambda s: s["end"]))

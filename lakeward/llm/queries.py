@@ -127,17 +127,33 @@ WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') A
  c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN its USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
 FROM c JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
-        "op3_substring_dedup": f"""
-WITH u AS (SELECT doc_id, i, l[i] || CASE WHEN i < len(l) THEN chr(10) ELSE '' END AS unit,
-  list_filter(regexp_split_to_array(lower(l[i]), '\\s+'), lambda x: x <> '') AS w
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
- r AS (SELECT *, len(w) >= {line_dedup.MIN_WORDS} AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, i) > 1 AS gone,
-  coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u)
-SELECT doc_id, coalesce(string_agg(unit, '' ORDER BY i) FILTER (NOT gone), '') AS text,
- CAST(count(*) FILTER (gone) AS INT) AS n_removed,
- coalesce(string_agg(CAST(s AS BIGINT) || '-' || CAST(s + length(unit) AS BIGINT), ',' ORDER BY i) FILTER (gone), '') AS removed_spans
-FROM r GROUP BY doc_id
-UNION ALL SELECT doc_id, text, CAST(0 AS INT), '' FROM documents WHERE text IS NULL""",
+        "op3_substring_dedup": """
+WITH l AS (SELECT doc_id, i, lines[i] || CASE WHEN i < len(lines) THEN chr(10) ELSE '' END AS line
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))),
+ p AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM l),
+ t AS (SELECT doc_id, i, j, s, length(line) AS size, pieces[j] AS piece, lower(regexp_extract(pieces[j], '\\S+')) AS word,
+  length(regexp_extract(pieces[j], '\\S+')) AS n FROM (SELECT *, unnest(range(1, len(pieces) + 1)) AS j
+   FROM (SELECT *, regexp_extract_all(line, '\\s*\\S+') AS pieces FROM p))),
+ w AS (SELECT *, s + sum(length(piece)) OVER line_so_far AS e, s + sum(length(piece)) OVER line_so_far - n AS b,
+  row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS pos, count(*) OVER (PARTITION BY doc_id, i) AS n_words,
+  coalesce(sum(CAST(md5(word)[1] IN ('0', '1', '2') AS INT)) OVER (PARTITION BY doc_id, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS segment
+  FROM t WINDOW line_so_far AS (PARTITION BY doc_id, i ORDER BY j)),
+ f AS (SELECT *, coalesce(lead(b) OVER (PARTITION BY doc_id, i ORDER BY j), e) AS next_b FROM w),
+ u AS (SELECT doc_id, true AS whole, string_agg(word, ' ' ORDER BY j) AS unit, min(s) AS b, min(s) + min(size) AS e, min(pos) AS w0, max(pos) + 1 AS w1
+   FROM f GROUP BY doc_id, i
+  UNION ALL SELECT doc_id, false, string_agg(word, ' ' ORDER BY j), min(b), max(next_b), min(pos), max(pos) + 1 FROM f WHERE n_words >= 16 GROUP BY doc_id, i, segment),
+ r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY whole, unit ORDER BY doc_id, b) AS place FROM u) WHERE place > 1),
+ r2 AS (SELECT *, CAST(w0 > coalesce(max(w1) OVER (PARTITION BY doc_id ORDER BY w0, w1 DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS new FROM r),
+ r3 AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY w0, w1 DESC ROWS UNBOUNDED PRECEDING) AS run FROM r2),
+ r4 AS (SELECT *, max(w1) OVER (PARTITION BY doc_id, run) - min(w0) OVER (PARTITION BY doc_id, run) AS run_words FROM r3),
+ c AS (SELECT *, CAST(b > coalesce(max(e) OVER (PARTITION BY doc_id ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS INT) AS new_cut
+  FROM r4 WHERE whole OR run_words >= 16),
+ c2 AS (SELECT doc_id, min(b) AS b, max(e) AS e FROM (SELECT *, sum(new_cut) OVER (PARTITION BY doc_id ORDER BY b, e ROWS UNBOUNDED PRECEDING) AS cut FROM c) GROUP BY doc_id, cut),
+ k AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS from_c FROM c2),
+ o AS (SELECT doc_id, count(*) AS n, max(k.e) AS last_e, string_agg(CAST(b AS BIGINT) || '-' || CAST(k.e AS BIGINT), ',' ORDER BY b) AS spans,
+  string_agg(substr(text, CAST(from_c + 1 AS BIGINT), CAST(b - from_c AS BIGINT)), '' ORDER BY b) AS kept FROM k JOIN documents USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN n IS NULL THEN text ELSE kept || substr(text, CAST(last_e + 1 AS BIGINT)) END AS text,
+ CAST(coalesce(n, 0) AS INT) AS n_removed, coalesce(spans, '') AS removed_spans FROM documents LEFT JOIN o USING (doc_id)""",
         "op4_url_filters": f"""
 WITH u AS (SELECT row_number() OVER () AS k, page_id,
   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{url_rules.UPPER}', '{url_rules.UPPER.lower()}') AS host,

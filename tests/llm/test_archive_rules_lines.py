@@ -1,6 +1,7 @@
 import base64
 import random
 import re
+from hashlib import md5
 from hashlib import sha1
 from uuid import uuid4
 
@@ -89,22 +90,43 @@ def test_rules_equal_brute_force(spark):
     assert judge_urls(pages.limit(0), RULES).count() == 0
 
 
-def brute_lines(rows, least, cut):
-    """Rows are (doc_id, text); equal rows are one text."""
-    def digest(unit):
-        words = unit.lower().split()
-        return " ".join(words) if len(words) >= least else None
+def brute_lines(rows, least, cut, run_words=0):
+    """Rows are (doc_id, text); equal rows are one text. Works word by word on lists of units (words, characters)."""
+    def units_of(text):
+        out, at, n = [], 0, 0
+        for line in cut(text):
+            spans = [m.span() for m in re.finditer(r"\S+", line)]
+            words = [line[a:b].lower() for a, b in spans]
+            if len(words) >= least:
+                out.append((True, " ".join(words), range(n, n + len(words)), range(at, at + len(line))))
+            if run_words and len(words) >= 16:
+                ends = [i for i, w in enumerate(words[:-1]) if md5(w.encode()).hexdigest()[0] in "012"] + [len(words) - 1]
+                for first, last in zip([0, *(e + 1 for e in ends)], ends):
+                    stop = spans[last + 1][0] if last + 1 < len(words) else spans[last][1]
+                    out.append((False, " ".join(words[first : last + 1]), range(n + first, n + last + 1), range(at + spans[first][0], at + stop)))
+            at, n = at + len(line), n + len(words)
+        return out
 
     first = {}
     texts = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is None, r[0] or 0))
     for doc in texts:
-        for place, unit in enumerate(cut(doc[1])):
-            if digest(unit) is not None:
-                first.setdefault(digest(unit), (doc, place))
+        for unit in units_of(doc[1]):
+            first.setdefault(unit[:2], (doc, unit[3].start))
     out = []
     for doc in rows:
         if doc[1] is not None:
-            doc = (doc[0], "".join(u for place, u in enumerate(cut(doc[1])) if digest(u) is None or first[digest(u)] == (doc, place)))
+            repeated = [u for u in units_of(doc[1]) if first[u[:2]] != (doc, u[3].start)]
+            words = {w for u in repeated for w in u[2]}
+            gone = set()
+            for whole, _, own, chars in repeated:
+                low, high = own[0], own[-1]
+                while low - 1 in words:
+                    low -= 1
+                while high + 1 in words:
+                    high += 1
+                if whole or high + 1 - low >= run_words:
+                    gone |= set(chars)
+            doc = (doc[0], "".join(c for i, c in enumerate(doc[1]) if i not in gone))
         out.append(doc)
     return out
 
@@ -115,7 +137,7 @@ def test_lines_equal_brute_force(spark):
     rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 9)))) for i in range(50)]
     rows += [rows[3], rows[3], (None, "\n".join(lines)), (60, None), (61, ""), (62, "\n\n"), (63, (lines[0] + " x y z\n") * 3000)]
     docs = spark.createDataFrame([(*r, "s", 7, None) for r in rows], "doc_id bigint, text string, start string, _a int, removed_spans string")
-    result = remove_repeated_units(docs, min_words=3)
+    result = remove_repeated_units(docs, min_words=3, run_words=0)
     assert result.columns == docs.columns
     collected = result.collect()
     assert sorted(map(str, ((r.doc_id, r.text) for r in collected))) == sorted(map(str, brute_lines(rows, 3, lambda t: t.splitlines(True))))
@@ -126,9 +148,42 @@ def test_lines_equal_brute_force(spark):
     assert remove_repeated_units(docs.limit(0)).count() == 0
 
 
+def test_passages_inside_lines_equal_brute_force(spark):
+    rng = random.Random(9)
+    vocabulary = [f"Wort{n}" for n in range(400)] + ["the", "é", "x1"]
+
+    def words(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    passages = [words(n) for n in (20, 52, 60, 80, 300)]
+    rows = []
+    for n in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            parts += words(rng.randint(0, 40)) + (rng.choice(passages) if rng.random() < 0.6 else [])
+        text = "".join(w + rng.choice([" ", " ", " ", " ", "  ", "\t", ".\n" if rng.random() < 0.3 else " "]) for w in parts)
+        rows.append((n, text))
+    # A passage of 200 words, in the middle of unlike lines and over their ends.
+    long = words(200)
+    planted = [(100 + n, f"unlike beginning {n} of this line {n}{n} " + " ".join(long[:120]) + "\n" + " ".join(long[120:]) + f" and its end {n} is so") for n in range(4)]
+    rows += planted + [rows[3], rows[3], (None, rows[5][1]), (None, rows[6][1] + " z"), (200, None), (201, ""), (202, " ".join(passages[4]) * 30)]
+    docs = spark.createDataFrame([(*r, "s", 7, None) for r in rows], "doc_id bigint, text string, whole string, _a int, removed_spans string")
+    for run_words in (16, 40):
+        result = remove_repeated_units(docs, run_words=run_words).collect()
+        expected = brute_lines(rows, 1, lambda t: t.splitlines(True), run_words)
+        assert sorted(map(str, ((r.doc_id, r.text) for r in result))) == sorted(map(str, expected))
+    texts = {r.doc_id: r.text for r in result}
+    assert texts[100] == planted[0][1]
+    for doc_id, text in planted[1:]:
+        assert len(texts[doc_id].split()) < 60 and texts[doc_id].startswith(text[:20]) and texts[doc_id].endswith(text[-10:])
+    # A phrase that texts share by chance stays.
+    docs = spark.createDataFrame([(n, f"{' '.join(words(20))} this short phrase here {' '.join(words(20))}") for n in range(5)], "doc_id bigint, text string")
+    assert sorted(map(tuple, remove_repeated_units(docs).select("doc_id", "text").collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_paragraphs(spark):
     docs = spark.createDataFrame([(1, "one two\nthree\n\nfour five\n"), (2, "x y\n\nONE  two three\n \nz w")], "doc_id bigint, text string")
-    assert [r.text for r in remove_repeated_units(docs, PARAGRAPH, 2).orderBy("doc_id").collect()] == ["one two\nthree\n\nfour five\n", "x y\n\nz w"]
+    assert [r.text for r in remove_repeated_units(docs, PARAGRAPH, 2, 0).orderBy("doc_id").collect()] == ["one two\nthree\n\nfour five\n", "x y\n\nz w"]
 
 
 def test_short_lines_are_units_too(spark):

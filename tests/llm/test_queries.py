@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from lakeward.llm import language_id, queries
 from lakeward.llm.common import read
-from lakeward.llm.line_dedup import MIN_WORDS
+from lakeward.llm.line_dedup import MIN_WORDS, RUN_WORDS
 from test_archive_rules_lines import brute_lines
 from test_search_and_learning import brute_contained, brute_near
 
@@ -39,7 +39,7 @@ def replay(spark, docs, rejects, items):
     rows = [r for r in docs if r not in rejects]
     kept = {r[0] for r in brute_near(rows, 80) if r[3]}
     rows = sorted({r for r in rows if r[0] in kept}, key=str)
-    rows = brute_lines(rows, MIN_WORDS, lambda t: t.splitlines(True))
+    rows = brute_lines(rows, MIN_WORDS, lambda t: t.splitlines(True), RUN_WORDS)
     rows = [r for r in rows if not brute_contained([r], items)]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     out = []
