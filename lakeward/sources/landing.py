@@ -8,43 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from lakeward.functions.expressions import tolerant_cast
+from lakeward.sources.headers import column_names, files_by_header, header_table
+from lakeward.sources.json_objects import METADATA as FILE_METADATA
+from lakeward.sources.json_objects import split_files
 
 CORRUPT = "_corrupt_record"
 
 
-def _object_pattern(depth: int) -> str:
-    """A JSON object with up to ``depth`` levels of objects inside. Possessive: no backtracking, no recursion."""
-    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    pattern = rf'\{{[^{{}}"]*+(?:{quoted}[^{{}}"]*+)*+\}}'
-    for _ in range(depth):
-        pattern = rf'\{{[^{{}}"]*+(?:(?:{quoted}|{pattern})[^{{}}"]*+)*+\}}'
-    return f"(?s){pattern}"
-
-
-# Objects nested more deeply than this are rescued as text.
-OBJECT = _object_pattern(6)
-FILE_METADATA = ("file_name", "file_path", "file_size", "file_modification_time")
-
-
-def csv_header(spark: SparkSession, path: str, schema: StructType | None = None) -> list[str]:
-    """Column names of a CSV folder, from the first header line; no data is scanned.
-
-    A folder without any file has the columns of ``schema``, if given: a stream may start
-    before the first file.
-    """
-    try:
-        return spark.read.option("header", True).csv(path).columns
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return schema.fieldNames()
 
 
 def _text_schema(columns: Sequence[str]) -> StructType:
@@ -89,17 +66,14 @@ def project_declared(
     return df.select(*declared, *FILE_METADATA, rescued.alias("_rescued_data"))
 
 
-def csv_rows(reader, path: str, schema: StructType, header: Sequence[str]) -> DataFrame:
-    """Rows of a CSV folder through ``spark.read`` or ``spark.readStream``.
-
-    Columns are matched by position against ``header``; a file whose own header differs fails
-    the read instead of shifting its columns.
-    """
+def _csv_rows_of(reader, path: str | Sequence[str], schema: StructType, written: tuple[str, ...]) -> DataFrame:
+    header = column_names(written)
+    # A file that was replaced since its header was read fails; names told apart by position cannot be checked.
     source = (
         reader.format("csv")
         .schema(_text_schema(header))
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", header != written)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .load(path)
     )
@@ -110,45 +84,73 @@ def csv_rows(reader, path: str, schema: StructType, header: Sequence[str]) -> Da
     return project_declared(df, schema, {c: t for c, t in texts.items() if c in names}, extra)
 
 
-def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
-    """Rows of a JSON folder through ``spark.read`` or ``spark.readStream``.
+def csv_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of a CSV folder. Each file's values are placed by that file's own header.
 
-    Objects are read as maps, so no inference pass is needed and a new field can appear in any
-    file. A ``multi_line`` file may hold an object, arrays of objects, an object per line, or
-    several of these one after another. An object that cannot be read is rescued by itself, and
-    so is what stands between objects; the others of the file stay rows. Such files are not
-    split; for files beyond some hundred megabytes write one object per line and pass
-    ``multi_line=False``.
+    Files with the same header are read together; a header may gain, lose or move columns from
+    one file to the next, and columns nobody declared are rescued. A folder may be empty.
     """
-    text = reader.format("text").option("wholetext", multi_line).load(path)
-    df = text.select(F.col("value").alias("_text"), *_file_metadata()).filter(F.col("_text").rlike(r"\S"))
-    one = F.from_json("_text", "map<string,string>")
-    if multi_line:
-        found = F.regexp_extract_all("_text", F.lit(OBJECT), F.lit(0))
-        rest = F.regexp_replace(F.regexp_replace("_text", OBJECT, ""), r"^[\s,\[\]]+|[\s,\[\]]+$", "")
-        # A text without any object is rescued as it is.
-        rest = F.when(rest != "", F.when(F.size("_found") == 0, F.col("_text")).otherwise(rest))
-        readable = F.transform("_found", lambda t: F.struct(F.from_json(t, "map<string,string>").alias("fields"), t.alias("text")))
-        unread = F.array(F.struct(F.lit(None).cast("map<string,string>").alias("fields"), rest.alias("text")))
-        records = F.concat(readable, F.filter(unread, lambda r: r["text"].isNotNull()))
-        df = df.withColumn("_found", found).select(*FILE_METADATA, F.explode(records).alias("_record"))
-        fields = F.col("_record.fields")
-        df = df.select(*FILE_METADATA, fields.alias("_fields"), F.when(fields.isNull(), F.col("_record.text")).alias("_unread"))
-    else:
-        df = df.withColumn("_fields", one)
-        df = df.select(*FILE_METADATA, "_fields", F.when(F.col("_fields").isNull(), F.col("_text")).alias("_unread"))
+    groups = files_by_header(spark, path)
+    if len(groups) < 2:
+        return _csv_rows_of(spark.read, path, schema, next(iter(groups), tuple(schema.fieldNames())))
+    return reduce(DataFrame.unionByName, [_csv_rows_of(spark.read, files, schema, header) for header, files in groups.items()])
+
+
+def csv_stream_rows(reader, spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of a CSV folder as a stream, placed by each file's own header.
+
+    The stream reads lines, and the headers known when it is built join by file path. A file that
+    lands later fails the batch before anything of it is stored; the next run finds its header.
+    Lines equal to the file's header are headers.
+    """
+    known, headers = header_table(spark, path)
+    lines = reader.format("text").load(path).select(F.col("value").alias("_text"), *_file_metadata())
+    lines = lines.where(F.trim("_text") != "").join(known, "file_path", "left")
+    late = F.raise_error(F.concat(F.lit("the header was not known yet of "), "file_path")).cast("int")
+    lines = lines.where(~F.col("_text").eqNullSafe(F.col("header_line"))).withColumn("header", F.coalesce("header", late))
+    fields = F.lit(None).cast("map<string,string>")
+    for number, header in enumerate(headers):
+        read = F.from_csv("_text", _text_schema(header).toDDL(), {"columnNameOfCorruptRecord": CORRUPT})
+        pairs = [item for c in [*header, CORRUPT] for item in (F.lit(c), read.getField(c))]
+        fields = F.when(F.col("header") == number, F.create_map(*pairs)).otherwise(fields)
+    return _mapped_rows(lines.select(*FILE_METADATA, fields.alias("_fields")), schema, F.col("_fields").getItem(CORRUPT), [CORRUPT])
+
+
+def _mapped_rows(df: DataFrame, schema: StructType, unread: Column, apart: Sequence[str] = ()) -> DataFrame:
+    """Rows whose texts are in the map ``_fields``; ``apart`` names what is no field of the file."""
     names = schema.fieldNames()
     fields = F.col("_fields")
-    undeclared = F.map_filter(fields, lambda k, v: ~k.isin(names) & v.isNotNull())
+    undeclared = F.map_filter(fields, lambda k, v: ~k.isin([*names, *apart]) & v.isNotNull())
     return project_declared(
         df,
         schema,
         {n: fields.getItem(n) for n in names},
-        {CORRUPT: F.col("_unread")},
+        {CORRUPT: unread},
         F.coalesce(undeclared, F.expr("cast(map() as map<string,string>)")),
     )
 
 
+def json_rows(reader, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """Rows of a JSON folder through ``spark.read`` or ``spark.readStream``.
+
+    Objects are read as maps, so no inference pass is needed and a new field can appear in any
+    file; what is nested in a field, however deep, is its text. A ``multi_line`` file may hold an
+    object, arrays of objects, an object per line, or several of these one after another. An object that
+    cannot be read is rescued by itself, and so is what stands between objects; the others of the
+    file stay rows. Such a file is read by one task; files with an object per line are split over
+    many with ``multi_line=False``.
+    """
+    text = reader.format("text").option("wholetext", multi_line).load(path)
+    df = text.select(F.col("value").alias("_text"), *_file_metadata()).filter(F.col("_text").rlike(r"\S"))
+    whole = F.lit(True)
+    if multi_line:
+        files = StructType([StructField("_text", StringType()), StructField("_whole", BooleanType()), *df.schema.fields[1:]])
+        df, whole = df.mapInArrow(split_files, files), F.col("_whole")
+    fields = F.when(whole, F.from_json("_text", "map<string,string>"))
+    df = df.select(*FILE_METADATA, fields.alias("_fields"), "_text")
+    return _mapped_rows(df, schema, F.when(F.col("_fields").isNull(), F.col("_text")))
+
+
 def tag_source(df: DataFrame, source_format: str, run_ts: datetime) -> DataFrame:
     return df.withColumns({"source_format": F.lit(source_format), "ingestion_timestamp": F.lit(run_ts)})
 
@@ -174,7 +176,8 @@ def read_landing(
 
     feeds = []
     if csv_path:
-        feeds.append(tag_source(csv_rows(reader(), csv_path, schema, csv_header(spark, csv_path, schema)), "csv", run_ts))
+        rows = csv_stream_rows(reader(), spark, csv_path, schema) if streaming else csv_rows(spark, csv_path, schema)
+        feeds.append(tag_source(rows, "csv", run_ts))
     if json_path:
         feeds.append(tag_source(json_rows(reader(), json_path, schema, multi_line), "json", run_ts))
     if not feeds:

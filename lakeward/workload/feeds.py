@@ -114,9 +114,9 @@ def expected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_tables(spark, sf_dir, feed_sql.EXPECTED_FILES)
 
 
-def write_csv(rows: DataFrame, path: str) -> str:
+def write_csv(rows: DataFrame, path: str, mode: str = "error") -> str:
     (
-        rows.write.option("header", True)
+        rows.write.mode(mode).option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -137,18 +137,22 @@ def write_json_lines(rows: DataFrame, key: str, columns: Sequence[str], path: st
 def _write_documents(
     rows: DataFrame, key: str, columns: Sequence[str], path: str, start: str, between: str, end: str
 ) -> str:
-    """Write files that hold the JSON objects of some rows between the given texts.
+    lines = rows.select(key, F.to_json(F.struct(*columns)).alias("_line"))
+    return write_json_texts(lines, path, start, between, end)
 
-    Rows are dealt to documents by a hash of their unique key, so documents are alike in size
-    and a task that runs again deals its rows the same way.
+
+def write_json_texts(lines: DataFrame, path: str, start: str, between: str, end: str) -> str:
+    """Write files that hold the texts ``_line`` of some rows between the given texts.
+
+    Rows are dealt to documents by a hash of their other column, a unique key, so documents are alike in
+    size and a task that runs again deals its rows the same way.
     """
-    documents = max(1, ceil(rows.count() / ROWS_PER_DOCUMENT))
-    lines = rows.select(
-        F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document"), F.to_json(F.struct(*columns)).alias("_line")
-    )
+    key = next(c for c in lines.columns if c != "_line")
+    documents = max(1, ceil(lines.count() / ROWS_PER_DOCUMENT))
+    dealt = lines.select(F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document"), "_line")
     body = F.concat(F.lit(start), F.array_join(F.collect_list("_line"), between), F.lit(end))
-    arrays = lines.groupBy("_document").agg(body.alias("value")).select("value")
-    arrays.write.option("maxRecordsPerFile", 1).text(path)
+    texts = dealt.groupBy("_document").agg(body.alias("value")).select("value")
+    texts.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

@@ -341,9 +341,24 @@ def _results() -> dict[str, str]:
     q["ingest_union"] = f"SELECT {typed}, source_format, '{BATCH_ID}' AS batch_id FROM keyed_patients"
     q["project_declared_schema"] = """SELECT TRY_CAST(week AS INT) AS week, staff_id, staff_name, role, service,
  CAST(NULL AS INT) AS present, source_format FROM raw_staff_schedule"""
-    q["schema_evolution_union"] = """SELECT patient_id, name, age, arrival_date, departure_date, service,
- CASE WHEN source_format = 'json' THEN satisfaction END AS satisfaction,
- CASE WHEN source_format = 'json' THEN ward END AS ward FROM raw_patients"""
+    # The first column is in every file, the last in the newer ones only, and those name a ward.
+    first_last = {"patients": ("patient_id", "satisfaction"), "staff": ("staff_id", "service"),
+                  "staff_schedule": ("week", "present"), "services_weekly": ("week", "event")}
+    typed_as = {"week": "INT", "present": "INT", "satisfaction": "INT"}
+    evolved = []
+    ward = "CASE WHEN source_format = 'json' AND length(row_key) % 2 = 0 THEN concat('w', length(row_key)) END"
+    for d in DATASETS:
+        first, last = (f"TRY_CAST({c} AS {typed_as.get(c, 'VARCHAR')})" for c in first_last[d.feed])
+        evolved.append(f"""SELECT '{d.name}' AS dataset_name, count(*) AS rows, count({first}) AS with_first,
+ count({last}) FILTER (source_format = 'json') AS with_last, count({ward}) AS with_ward,
+ count(DISTINCT concat_ws('|', CAST({first} AS VARCHAR), {ward})) AS pairs FROM raw_{d.feed}""")
+    q["schema_evolution_union"] = q["stream_ingest_evolved"] = _union(evolved)
+    q["ingest_json_deep"] = _union(
+        f"""SELECT '{d.name}' AS dataset_name, layout, CAST(CAST('0x' || substr(md5(row_key), 1, 4) AS BIGINT) % 12 + 1 AS INT) AS depth,
+ count(*) AS rows, count(service) AS with_service, CAST(0 AS BIGINT) AS unread
+ FROM keyed_{d.feed}, (VALUES ('array'), ('lines')) t(layout) WHERE source_format = 'json' GROUP BY ALL"""
+        for d in DATASETS
+    )
     q["rescued_data"] = f"""SELECT patient_id, name, TRY_CAST(age AS INT) AS age,
  CAST(TRY_CAST(arrival_date AS DATE) AS VARCHAR) AS arrival_date, departure_date, service,
  CAST(satisfaction AS INT) AS satisfaction, {_rescued(PATIENTS)} AS _rescued_data FROM raw_patients"""

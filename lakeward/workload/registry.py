@@ -20,7 +20,7 @@ from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
 from lakeward.plans.refresh import refresh, side_by_side, stored
 from lakeward.plans.scratch import scratch_root
-from lakeward.sources.landing import csv_rows, csv_header, json_rows, read_landing, tag_source
+from lakeward.sources.landing import csv_rows, json_rows, read_landing, tag_source
 from lakeward.sources.listing import landed_files
 from lakeward.sources.tables import preview
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
@@ -152,8 +152,7 @@ def _ingest_one(source_format: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths, _ = Session(spark, sf_dir).landing(PATIENTS)
         if source_format == "csv":
-            path = paths["csv_path"]
-            rows = csv_rows(spark.read, path, PATIENTS.schema, csv_header(spark, path))
+            rows = csv_rows(spark, paths["csv_path"], PATIENTS.schema)
         else:
             rows = json_rows(spark.read, paths["json_path"], PATIENTS.schema)
         return tag_source(rows, source_format, RUN_TS).select(*PATIENTS.columns, "source_format")
@@ -185,16 +184,70 @@ def _project_declared_schema(spark, sf_dir):
     return read_landing(spark, STAFF_SCHEDULE.schema, RUN_TS, **paths).select(*STAFF_SCHEDULE.columns, "source_format")
 
 
-def _schema_evolution_union(spark, sf_dir):
-    """Two versions of a feed: the older lacks ``satisfaction``, the newer adds ``ward``."""
-    rows = feeds.raw_feed(spark, sf_dir, PATIENTS)
-    root = scratch_root(spark, "landing")
-    names = PATIENTS.columns
-    older = feeds.write_csv(rows.filter("source_format = 'csv'").select(*names[:-1]), f"{root}/v1")
-    newer = feeds.write_csv(rows.filter("source_format = 'json'").select(*names, "ward"), f"{root}/v2")
-    read = [spark.read.option("header", True).csv(p) for p in (older, newer)]
-    wide = read[0].unionByName(read[1], allowMissingColumns=True)
-    return wide.select(*names, "ward")
+def _evolved(s: Session, d: Dataset) -> dict[str, str]:
+    """A CSV folder in which an older file lacks the last column, and a newer one moves the first and adds ``ward``."""
+    size = F.length("row_key")
+    rows = feeds.raw_feed(s.spark, s.sf_dir, d).withColumn("ward", F.when(size % 2 == 0, F.concat(F.lit("w"), size)))
+    root, names = scratch_root(s.spark, "landing"), d.columns
+    path = f"{root}/{d.feed}/csv"
+    feeds.write_csv(rows.filter("source_format = 'csv'").select(*names[:-1]), path)
+    feeds.write_csv(rows.filter("source_format = 'json'").select("ward", *names[1:], names[0]), path, "append")
+    return {"csv_path": path}
+
+
+def _schema_evolution(read: Callable[[Session, Dataset, dict[str, str]], DataFrame]) -> Query:
+    """Per feed: rows, how many have each column, and rescued wards, after the header changed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s, results = Session(spark, sf_dir), []
+        for d in DATASETS:
+            first, last = d.columns[0], d.columns[-1]
+            ward = F.get_json_object("_rescued_data", "$.ward")
+            counts = [F.count(F.lit(1)).alias("rows"), F.count(first).alias("with_first"), F.count(last).alias("with_last"),
+                      F.count(ward).alias("with_ward"), F.count_distinct(F.concat_ws("|", F.col(first), ward)).alias("pairs")]
+            results.append(read(s, d, _evolved(s, d)).agg(*counts).select(F.lit(d.name).alias("dataset_name"), "*"))
+        return quality.union_by_name(results)
+
+    return query
+
+
+def _read_evolved(s: Session, d: Dataset, paths: dict[str, str]) -> DataFrame:
+    return read_landing(s.spark, d.schema, RUN_TS, **paths)
+
+
+def _stream_evolved(s: Session, d: Dataset, paths: dict[str, str]) -> DataFrame:
+    root = scratch_root(s.spark, "bronze")
+    stream = bronze_stream(s.spark, d, BATCH_ID, RUN_TS, **paths)
+    ingest_available(stream, f"{root}/bronze", f"{root}/checkpoint")
+    return s.spark.read.schema(stream.schema).parquet(f"{root}/bronze")
+
+
+DEEPEST = 12
+
+
+def _ingest_json_deep(spark, sf_dir):
+    """Objects with a field of 1 to 12 levels that nobody declared, as arrays and as lines: what comes back of each."""
+    results = []
+    for d in DATASETS:
+        rows = feeds.clean_text_feed(spark, sf_dir, d).filter("source_format = 'json'")
+        levels = (F.conv(F.substring(F.md5("row_key"), 1, 4), 16, 10).cast("bigint") % DEEPEST + 1).cast("int")
+        nested = F.concat(F.repeat(F.lit('{"d":'), levels), F.lit("1"), F.repeat(F.lit("}"), levels))
+        deep = rows.select("row_key", F.concat(F.regexp_replace(F.to_json(F.struct(*d.columns)), "[}]$", ""), F.lit(',"nested":'), nested, F.lit("}")).alias("_line"))
+        root = scratch_root(spark, "landing")
+        folders = {
+            "array": feeds.write_json_texts(deep, f"{root}/array", "[\n", ",\n", "\n]"),
+            "lines": feeds.write_json_texts(deep, f"{root}/lines", "", "\n", "\n"),
+        }
+        for layout, path in folders.items():
+            read = json_rows(spark.read, path, d.schema, multi_line=layout == "array")
+            text = F.get_json_object("_rescued_data", "$.nested")
+            depth = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+            counted = read.groupBy(depth.alias("depth")).agg(
+                F.count(F.lit(1)).alias("rows"), F.count("service").alias("with_service"),
+                F.count(F.get_json_object("_rescued_data", "$._corrupt_record")).alias("unread"),
+            )
+            results.append(counted.select(F.lit(d.name).alias("dataset_name"), F.lit(layout).alias("layout"), "*"))
+    return quality.union_by_name(results)
 
 
 def _reconciliation_detects_loss(spark, sf_dir):
@@ -424,7 +477,9 @@ def _build() -> dict[str, Query]:
         "ingest_json": _ingest_one("json"),
         "ingest_union": _ingest_union,
         "project_declared_schema": _project_declared_schema,
-        "schema_evolution_union": _schema_evolution_union,
+        "schema_evolution_union": _schema_evolution(_read_evolved),
+        "stream_ingest_evolved": _schema_evolution(_stream_evolved),
+        "ingest_json_deep": _ingest_json_deep,
         "rescued_data": _rescued_data,
         "serialization_errors": _serialization_errors,
         "file_metadata": _file_metadata,

@@ -12,7 +12,9 @@ from lakeward.operators.arrivals import files_of_day
 from lakeward.operators.lineage import add_batch_lineage
 from lakeward.operators.quality import serialization_errors
 from lakeward.plans.scratch import scratch_root
-from lakeward.sources.landing import csv_header, read_landing
+from lakeward.sources.headers import files_by_header
+from lakeward.sources.json_objects import objects_of
+from lakeward.sources.landing import read_landing
 from lakeward.sources.listing import landed_files
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 
@@ -56,11 +58,101 @@ def test_csv_row_of_the_wrong_length_is_kept(spark, tmp_path):
     assert found == {"s1": {"_corrupt_record": "s1,Bo,nurse,icu,surplus"}, "s2": None}
 
 
-def test_csv_files_with_another_header_fail_instead_of_shifting(spark, tmp_path):
-    put(tmp_path / "csv" / "a.csv", "staff_id,staff_name,role,service\ns1,Bo,nurse,icu\n")
-    put(tmp_path / "csv" / "b.csv", "staff_name,staff_id,role,service\nBo,s1,nurse,icu\n")
-    with pytest.raises(Exception, match="header"):
-        read_landing(spark, STAFF.schema, RUN_TS, csv_path=str(tmp_path / "csv")).collect()
+HEADERS = {
+    "a.csv": "staff_id,staff_name,role,service\ns1,Bo,nurse,icu\n",
+    "b.csv": "staff_name,staff_id,service\n\"Cy, B\",s2,er\n\nDi,s3\n",
+    "c.csv": "\ufeffstaff_id,ward,role,staff_name,ward\ns4,w1,nurse,Ed,w2\n s5 ,,,\"\",\n",
+    "d.csv": "",
+}
+PLACED = {
+    "s1": ("Bo", "nurse", "icu", None),
+    "s2": ("Cy, B", None, "er", None),
+    "s3": ("Di", None, None, {"_corrupt_record": "Di,s3"}),
+    "s4": ("Ed", "nurse", None, {"ward1": "w1", "ward4": "w2"}),
+}
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_values_are_placed_by_each_files_own_header(spark, tmp_path, streaming):
+    for name, text in HEADERS.items():
+        put(tmp_path / "csv" / name, text)
+    if streaming:
+        stream = bronze_stream(spark, STAFF, BATCH, RUN_TS, csv_path=str(tmp_path / "csv"), max_files_per_trigger=2)
+        ingest_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+        found = spark.read.schema(stream.schema).parquet(str(tmp_path / "t")).collect()
+    else:
+        found = read_landing(spark, STAFF.schema, RUN_TS, csv_path=str(tmp_path / "csv")).collect()
+    assert {r.staff_id: (r.staff_name, r.role, r.service, rescued(r)) for r in found if r.staff_id in PLACED} == PLACED
+    assert sorted(r.staff_id for r in found) == [" s5 ", "s1", "s2", "s3", "s4"], found
+    assert {r.file_name for r in found} == {"a.csv", "b.csv", "c.csv"}
+
+
+def test_stream_takes_up_a_grown_header(spark, tmp_path):
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+
+    def run(batch):
+        stream = bronze_stream(spark, STAFF, batch, RUN_TS, csv_path=str(tmp_path / "in"))
+        ingest_available(stream, table, checkpoint)
+        return {r.staff_id: (r.role, rescued(r), r.batch_id) for r in spark.read.schema(stream.schema).parquet(table).collect()}
+
+    put(tmp_path / "in" / "a.csv", "staff_id,role\ns1,nurse\n")
+    first = run("20260107000000")
+    assert first == {"s1": ("nurse", None, "20260107000000")}
+    put(tmp_path / "in" / "b.csv", "ward,role,staff_id\nw1,doctor,s2\n")
+    assert run("20260108000000") == first | {"s2": ("doctor", {"ward": "w1"}, "20260108000000")}
+
+
+def test_file_without_known_header_fails_before_it_is_stored(spark, tmp_path):
+    put(tmp_path / "in" / "a.csv", "staff_id,role\ns1,nurse\n")
+    stream = bronze_stream(spark, STAFF, BATCH, RUN_TS, csv_path=str(tmp_path / "in"))
+    put(tmp_path / "in" / "b.csv", "role,staff_id\nnurse,s2\n")
+    with pytest.raises(Exception, match="header was not known yet"):
+        ingest_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    stream = bronze_stream(spark, STAFF, BATCH, RUN_TS, csv_path=str(tmp_path / "in"))
+    ingest_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    stored = spark.read.schema(stream.schema).parquet(str(tmp_path / "t")).collect()
+    assert sorted((r.staff_id, r.role) for r in stored) == [("s1", "nurse"), ("s2", "nurse")]
+
+
+def nested(depth):
+    return '{"d": ' * depth + "1" + "}" * depth
+
+
+def test_objects_are_found_at_any_depth():
+    for depth in (1, 6, 7, 9, 50, 5000):
+        text = f'[{{"a": 1}}, {nested(depth)},\n{{"b": [{nested(depth)}, 2]}}]'
+        assert list(objects_of(text)) == [('{"a": 1}', True), (nested(depth), True), (f'{{"b": [{nested(depth)}, 2]}}', True)]
+    assert list(objects_of('x {"a": "} \\" {"} y ["b"] {}')) == [('{"a": "} \\" {"}', True), ("{}", True), ('x  y ["b', False)][:2] + [('x  y ["b"', False)]
+    assert list(objects_of(" \n[ ]")) == []
+
+
+@pytest.mark.parametrize(
+    "torn", ['{"a": {"b": 1}', '{"a": "x', '{"a": ', '{"a"', '{"a": [1, {"b": 2}', '{"a": "x}', "{"]
+)
+def test_torn_object_takes_no_other_with_it(torn):
+    """Rows in = rows out + rescued: no inner object becomes a row, and lines after a torn one stay rows."""
+    text = f'{{"n": 1}}\n{torn}\n{{"n": 2}}\n{{"n": 3, "x": {{"y": [{{}}]}}}}\n'
+    found = list(objects_of(text))
+    whole = [json.loads(t) for t, ok in found if ok]
+    assert [o for o in whole if "n" in o] == [{"n": 1}, {"n": 2}, {"n": 3, "x": {"y": [{}]}}] and len(whole) == 3
+    assert [t.strip() for t, ok in found if not ok] == [torn.strip()]
+
+
+def test_inner_objects_of_a_torn_one_are_no_rows():
+    text = '[\n  {"n": 1},\n  {"n": 2, "list": [\n    {"i": 1},\n    {"i": 2}\n  ,\n  {"n": 3}\n]'
+    assert list(objects_of(text)) == [('{"n": 1}', True), ('{"n": 3}', True), ('{"n": 2, "list": [\n    {"i": 1},\n    {"i": 2}', False)]
+
+
+def test_json_lines_are_read_by_several_tasks(spark, tmp_path):
+    rows = "".join(f'{{"staff_id": "s{n}", "staff_name": {nested(9)}}}\n' for n in range(20_000))
+    put(tmp_path / "json" / "a.json", rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        read = read_landing(spark, STAFF.schema, RUN_TS, json_path=str(tmp_path / "json"), multi_line=False)
+        assert read.rdd.getNumPartitions() > 3
+        assert read.where("_rescued_data is null and staff_name like '{\"d\":%'").select("staff_id").distinct().count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_json_documents_of_every_shape(spark, tmp_path):
@@ -186,4 +278,4 @@ def test_csv_folder_may_be_empty_at_first(spark, tmp_path):
     assert rows.count() == 0
     assert rows.columns[: len(STAFF.columns)] == list(STAFF.columns)
     (tmp_path / "a.csv").write_text(",".join(STAFF.columns) + "\n")
-    assert csv_header(spark, str(tmp_path)) == list(STAFF.columns)
+    assert list(files_by_header(spark, str(tmp_path))) == [tuple(STAFF.columns)]
