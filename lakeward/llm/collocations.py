@@ -34,7 +34,7 @@ SCORE_SCALE = 2_000_000
 NO_LANGUAGE = "und"
 
 # Words per block of a language, and of all that a task holds; a block ends with a document.
-BLOCK_WORDS, HELD_WORDS = 1 << 21, 1 << 23
+BLOCK_WORDS, HELD_WORDS = 1 << 20, 1 << 22
 BATCH_CHARS = 1 << 21
 TILE = 512
 # A tile with at least one pair for so many addresses is counted directly.
@@ -133,9 +133,12 @@ def tiled_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     place = np.empty(len(left), np.int64)
     lefts, rights, counts = [], [], []
     held = 0
-    tiles = np.stack([left // TILE, right // TILE])
-    order = np.lexsort(tiles[::-1])
-    changes = np.flatnonzero((np.diff(tiles[:, order]) != 0).any(axis=0)) + 1
+    # Ranks below 2**40 have tile numbers below 2**31.
+    tiles = (left // TILE << 31) | (right // TILE)
+    order = np.argsort(tiles, kind="stable")
+    tiles = tiles[order]
+    changes = np.flatnonzero(tiles[1:] != tiles[:-1]) + 1
+    del tiles
     bounds = np.concatenate([[0], changes, [len(left)]]) if len(left) else np.zeros(1, np.int64)
     thin = [np.zeros(0, np.int64)]
     dense = np.diff(bounds) >= TILE * TILE // DENSE
@@ -158,7 +161,7 @@ def tiled_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     if len(rows):
         rows = rows[np.lexsort((right[rows], left[rows]))]
         i, j = left[rows], right[rows]
-        new = np.concatenate([[True], (np.diff(i) != 0) | (np.diff(j) != 0)])
+        new = np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
         place[rows] = held + np.cumsum(new) - 1
         starts = np.flatnonzero(new)
         lefts.append(i[starts])
@@ -178,11 +181,13 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = batch["known"][i].values
             ranks[known.field("place").to_numpy()] = known.field("rank").to_numpy()
             symbols = ranks[stream]
+            del stream
             at = np.flatnonzero((symbols[:-1] >= 0) & (symbols[1:] >= 0))
             if not len(at):
                 continue
             lefts, rights, counts, place = tiled_pairs(symbols[at], symbols[at + 1])
             after = np.zeros(len(symbols) - 1, np.int32)
+            del symbols
             after[at] = place + 1
             arrays = [pa.array([a], pa.list_(pa.int64())) for a in (lefts, rights, counts)]
             yield pa.RecordBatch.from_arrays(

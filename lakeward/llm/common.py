@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more."""
+    """Delete staged tables that nothing reads any more, and the shuffle files of plans that are gone.
+
+    Spark deletes those once the driver has collected the plans; a long job asks for it between its steps.
+    """
     for table in tables:
         drop_folder(table.sparkSession, table._staged_at)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 # A key with more than one in HOT_SHARE of all rows is hot; fewer than HOT_SHARE keys can be.
