@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.datasets import DATASETS, Dataset
+from lakeward.datasets import DATASETS
 from lakeward.functions.expressions import joined_key
 from lakeward.operators.refine import RECENCY, TIE_BREAKER, latest_by
 from lakeward.operators.rules import PASSED, passing
@@ -22,27 +22,46 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def quality_metrics(validated: DataFrame, silver: DataFrame, quarantine: DataFrame, dataset: Dataset) -> DataFrame:
-    """One row per batch: received = valid + quarantined + duplicates removed.
+def _tagged(frames: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    return union_by_name([df.select(F.lit(name).alias("dataset_name"), *columns) for name, df in frames.items()])
+
+
+def data_quality_metrics(
+    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
+) -> DataFrame:
+    """One row per feed and batch: received = valid + quarantined + duplicates removed.
 
     Each term is counted where it stands: received in ``validated``, valid in the silver table,
     quarantined in the quarantine table, and duplicates among the keys of the passing rows. Rows
-    lost from either table therefore fail the reconciliation.
+    lost from either table therefore fail the reconciliation. The feeds, keyed by dataset name, are united
+    first, so each term is one aggregate over narrow columns.
     """
-    passed = passing(validated, dataset.all_rules).select("batch_id", *dataset.keys, *RECENCY, TIE_BREAKER)
-    newest = latest_by(passed, dataset.keys).groupBy("batch_id").agg(F.count(F.lit(1)).alias("_newest"))
-    rejected = quarantine.groupBy("batch_id").agg(
+    group = ["dataset_name", "batch_id"]
+    feeds = {d.name: d for d in DATASETS if d.name in validated}
+    keyed = union_by_name(
+        [
+            passing(validated[name], d.all_rules).select(
+                F.lit(name).alias("dataset_name"), F.to_json(F.struct(*d.keys)).alias("_key"), "batch_id", *RECENCY, TIE_BREAKER
+            )
+            for name, d in feeds.items()
+        ]
+    )
+    newest = latest_by(keyed, ["dataset_name", "_key"]).groupBy(*group).agg(F.count(F.lit(1)).alias("_newest"))
+    rejected = _tagged(quarantine, ["batch_id", "rejection_timestamp"]).groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rejected"), F.max("rejection_timestamp").alias("_rejected_end")
     )
-    bronze = validated.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("records_received"),
-        F.count_distinct("record_hash").alias("records_distinct"),
-        F.min("processed_timestamp").alias("processing_start"),
-        F.count_if(F.col(PASSED)).alias("_valid_before"),
+    kept = _tagged(silver, ["batch_id", "silver_processed_timestamp"]).groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_valid"), F.max("silver_processed_timestamp").alias("_silver_end")
     )
-    kept = silver.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("_valid"),
-        F.max("silver_processed_timestamp").alias("_silver_end"),
+    # Counting per hash first leaves each hash once for the distinct count.
+    hashes = _tagged(validated, ["batch_id", "record_hash", "processed_timestamp", PASSED]).groupBy(*group, "record_hash").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("processed_timestamp").alias("_start"), F.count_if(F.col(PASSED)).alias("_passed")
+    )
+    received = hashes.groupBy(*group).agg(
+        F.sum("_rows").alias("records_received"),
+        F.count("record_hash").alias("records_distinct"),
+        F.min("_start").alias("processing_start"),
+        F.sum("_passed").alias("_valid_before"),
     )
 
     def share(count: str):
@@ -51,10 +70,10 @@ def quality_metrics(validated: DataFrame, silver: DataFrame, quarantine: DataFra
         )
 
     # ``greatest`` skips NULLs, so it also serves when only one side has an end time.
-    parts = bronze.join(kept, "batch_id", "left").join(rejected, "batch_id", "left").join(newest, "batch_id", "left")
+    parts = received.join(kept, group, "left").join(rejected, group, "left").join(newest, group, "left")
     counted = parts.select(
         "batch_id",
-        F.lit(dataset.name).alias("dataset_name"),
+        "dataset_name",
         "records_received",
         F.coalesce("_valid", F.lit(0)).alias("records_valid"),
         F.coalesce("_rejected", F.lit(0)).alias("records_quarantined"),
@@ -74,13 +93,6 @@ def quality_metrics(validated: DataFrame, silver: DataFrame, quarantine: DataFra
     )
 
 
-def data_quality_metrics(
-    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
-) -> DataFrame:
-    """``quality_metrics`` of every feed, keyed by dataset name."""
-    return union_by_name([quality_metrics(validated[d.name], silver[d.name], quarantine[d.name], d) for d in DATASETS])
-
-
 def duplicate_recount(validated: Mapping[str, DataFrame], metrics: DataFrame) -> DataFrame:
     """Duplicates per dataset counted a second way: valid rows less distinct valid keys.
 

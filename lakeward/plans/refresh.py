@@ -9,12 +9,14 @@ from datetime import datetime
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF_SCHEDULE, Dataset
 from lakeward.operators import gold, quality
 from lakeward.operators.refine import process, quarantine, silver, with_payload
 from lakeward.operators.rules import PASSED
 from lakeward.plans.scratch import drop_folder, scratch_root
+from lakeward.sources import versions
 from lakeward.sources.tables import write_path
 
 CONCURRENT_WRITES = 4
@@ -39,28 +41,18 @@ def validated(bronze: DataFrame, dataset: Dataset) -> DataFrame:
     return out.withColumn("record_payload", F.when(~F.col(PASSED), F.col("record_payload")))
 
 
-def refresh(
-    spark: SparkSession,
-    bronze: Mapping[str, DataFrame],
-    run_ts: datetime,
-    root: str,
-    staging: str | None = None,
-) -> dict[str, DataFrame]:
-    """Write every derived table below ``root`` and return readers for them.
+def store_layers(
+    spark: SparkSession, bronze: Mapping[str, DataFrame], run_ts: datetime, root: str, staging: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
+    """Validated rows below ``staging``, silver and quarantine tables below ``root``, by dataset name.
 
-    Validation is staged once, split by its verdict: silver then reads only the passing part
-    and quarantine only the rejected part. Silver is written before gold reads it, so each
-    deduplication runs once. A lost executor costs the tasks it held, and a failed run is
-    simply run again, because every write overwrites. Staging in a folder of its own is
-    dropped at the end; a folder that was given stays.
+    Each feed is judged once, and the judged rows are split by their verdict: silver then reads only the
+    passing part and quarantine only the rejected part.
     """
-    own_staging = staging is None
-    staging = staging or scratch_root(spark, "validated")
-    tables: dict[str, DataFrame] = {}
     staged: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame, **layout) -> None:
-        tables[name] = stored(df, f"{root}/{name}", **layout)
+    kept: dict[str, DataFrame] = {}
+    rejected: dict[str, DataFrame] = {}
+    feeds = [d for d in DATASETS if d.name in bronze]
 
     def stage(d: Dataset) -> None:
         judged = validated(bronze[d.name], d)
@@ -70,16 +62,41 @@ def refresh(
         staged[d.name] = spark.read.schema(judged.schema).parquet(path)
 
     def keep(d: Dataset) -> None:
-        store(d.silver_table, silver(staged[d.name].filter(F.col(PASSED)).drop("record_payload"), d, run_ts))
+        rows = silver(staged[d.name].filter(F.col(PASSED)).drop("record_payload"), d, run_ts)
+        kept[d.name] = stored(rows, f"{root}/{d.silver_table}")
 
     def reject(d: Dataset) -> None:
-        store(d.quarantine_table, quarantine(staged[d.name], d, run_ts))
+        rejected[d.name] = stored(quarantine(staged[d.name], d, run_ts), f"{root}/{d.quarantine_table}")
+
+    side_by_side(spark, [lambda d=d: stage(d) for d in feeds])
+    side_by_side(spark, [lambda d=d, act=act: act(d) for d in feeds for act in (keep, reject)])
+    return staged, kept, rejected
+
+
+def refresh(
+    spark: SparkSession,
+    bronze: Mapping[str, DataFrame],
+    run_ts: datetime,
+    root: str,
+    staging: str | None = None,
+) -> dict[str, DataFrame]:
+    """Write every derived table of one version below ``root`` and return readers for them.
 
-    side_by_side(spark, [lambda d=d: stage(d) for d in DATASETS])
-    side_by_side(spark, [lambda d=d, act=act: act(d) for d in DATASETS for act in (keep, reject)])
+    Silver is written before gold reads it, so each deduplication runs once. The tables go to a new
+    folder, and only when all are there the version is published (see ``sources.versions``):
+    readers see the tables of one run or of the one before, never some of each, and a run that fails
+    changes nothing for them. A lost executor costs the tasks it held; a failed run is
+    simply run again. Staging in a folder of its own is dropped at the end; a folder that was given stays.
+    """
+    own_staging = staging is None
+    staging = staging or scratch_root(spark, "validated")
+    version, folder = versions.new_version(root)
+    staged, kept, rejected = store_layers(spark, bronze, run_ts, folder, staging)
+    tables = {d.silver_table: kept[d.name] for d in DATASETS} | {d.quarantine_table: rejected[d.name] for d in DATASETS}
+
+    def store(name: str, df: DataFrame, **layout) -> None:
+        tables[name] = stored(df, f"{folder}/{name}", **layout)
 
-    kept = {d.name: tables[d.silver_table] for d in DATASETS}
-    rejected = {d.name: tables[d.quarantine_table] for d in DATASETS}
     services, schedule, patients = kept[SERVICES.name], kept[STAFF_SCHEDULE.name], kept[PATIENTS.name]
     layout = {"partition_by": ("batch_id",), "sort_by": ("service",)}
 
@@ -99,6 +116,13 @@ def refresh(
             efficiency,
         ],
     )
+    versions.publish(spark, root, version, {name: df.schema for name, df in tables.items()})
     if own_staging:
         drop_folder(spark, staging)
     return tables
+
+
+def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Readers of the tables of the version published last, by name."""
+    folder, tables = versions.current(spark, root)
+    return {name: spark.read.schema(StructType.fromJson(schema)).parquet(f"{folder}/{name}") for name, schema in tables.items()}

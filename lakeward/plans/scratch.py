@@ -11,14 +11,16 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession, label: str) -> str:
-    """A new folder name below the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder name below the cluster's shared ``spark.checkpoint.dir``, deleted when the driver ends.
 
     Only a local session without that setting falls back to a folder on this machine: on a
     cluster such a folder would not be visible to every executor.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/lakeward/{label}-{uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/lakeward/{label}-{uuid4().hex}"
+        atexit.register(_forget, spark, folder)
+        return folder
     if spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix=f"lakeward-{label}-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -26,6 +28,19 @@ def scratch_root(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def _forget(spark: SparkSession, folder: str) -> None:
+    """Delete a folder when the driver ends, if its session can still be reached."""
+    try:
+        drop_folder(spark, folder)
+    except Exception:  # the JVM is gone: the shared folder is the cluster's to clean
+        pass
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate tables in whatever store holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -25,8 +25,11 @@ def write_path(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    row_group_bytes: int | None = None,
 ) -> None:
     writer = _arranged(df, partition_by, sort_by).write.mode(mode)
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -66,20 +69,6 @@ def create_tables(spark: SparkSession, prefix: str = "", partition_by: str = "ba
     return created
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table that fits into one scan partition one partition per core.
-
-    A small file with a single row group is read by one task, whatever follows. ``keys``
-    identify a row, so the partitions are even and a task that runs again sends its rows the
-    same way. A table beyond ``spark.sql.files.maxPartitionBytes`` is returned unchanged, so
-    no more than that is ever shuffled here.
-    """
-    session = df.sparkSession
-    limit = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(session.sparkContext.defaultParallelism, *keys) if size <= limit else df
-
-
 def preview(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:
     """The first rows in a stated order; planned as a top-k, not as a full sort."""
     return df.orderBy(*order_by).limit(rows)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDULE, Dataset
-from lakeward.sources.tables import spread
+from lakeward.plans.refresh import stored
+from lakeward.plans.scratch import exists, scratch_root
 from lakeward.workload import feed_sql
 
 # Stated instead of read from the clock, so results can be compared.
@@ -31,14 +32,9 @@ RAW_SQL = {
     STAFF_SCHEDULE.name: feed_sql.RAW_STAFF_SCHEDULE,
     SERVICES.name: feed_sql.RAW_SERVICES_WEEKLY,
 }
-# Tables the feeds read, with the columns that identify a row.
-_TABLES = {
-    "nation": ("n_nationkey",),
-    "customer": ("c_custkey",),
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "events": ("event_id",),
-}
+_TABLES = ("nation", "customer", "orders", "lineitem", "events")
+# Small row groups let several tasks read a small table of one file.
+ROW_GROUP_BYTES = 8 << 20
 ROWS_PER_DOCUMENT = 50_000
 
 
@@ -60,36 +56,40 @@ def _query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
 
 def _from_tables(spark: SparkSession, sf_dir: str, text: str, **frames: DataFrame) -> DataFrame:
     named = [t for t in re.findall(r"\b(?:FROM|JOIN) (\w+)", text) if t in _TABLES]
-    tables = {t: table(spark, sf_dir, t) for t in named}
-    # Rows follow the first table of a join; the others keep their size for Catalyst to judge.
-    tables[named[0]] = spread(tables[named[0]], *_TABLES[named[0]])
-    return _query(spark, text, **tables, **frames)
+    return _query(spark, text, **{t: table(spark, sf_dir, t) for t in named}, **frames)
 
 
-def keyed_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
-    """Feed rows with ``row_key``, unique per row."""
-    return _from_tables(spark, sf_dir, BRONZE_SQL[dataset.name])
+# Paths of the bronze tables that a session has stored, by application, data folder and feed.
+_stored: dict[tuple[str, str, str], str] = {}
+_ADDED = ("ingestion_timestamp", "pipeline_stage", "record_hash")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows with every column computed once, before anything that follows.
+def _bronze_table(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
+    """The feed as a stored table, written once per session and data folder: bronze is what all other layers read."""
+    key = (spark.sparkContext.applicationId, sf_dir, dataset.name)
+    if key not in _stored or not exists(spark, _stored[key]):
+        rows = _from_tables(spark, sf_dir, BRONZE_SQL[dataset.name]).withColumns(
+            {
+                "ingestion_timestamp": F.col("processed_timestamp"),
+                "pipeline_stage": F.lit("BRONZE"),
+                "record_hash": F.sha2(F.concat_ws("|", "batch_id", "file_name", "row_key"), 256),
+            }
+        )
+        path = f"{scratch_root(spark, 'bronze')}/{dataset.bronze_table}"
+        out = stored(rows, path, row_group_bytes=ROW_GROUP_BYTES)
+        _stored[key] = path
+        return out
+    return spark.read.parquet(_stored[key])
 
-    Feed columns are long expressions, where a stored bronze table holds plain columns. Left to
-    itself the optimizer copies them into every rule, and the generated methods become too long
-    for the JIT compiler; it does not copy through a generator.
-    """
-    return df.select(F.inline(F.array(F.struct("*"))))
+
+def keyed_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
+    """Feed rows with ``row_key``, unique per row."""
+    return _bronze_table(spark, sf_dir, dataset).drop(*_ADDED)
 
 
 def bronze(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """Feed rows as a bronze table: declared and file columns, lineage, record hash."""
-    return keyed_feed(spark, sf_dir, dataset).withColumns(
-        {
-            "ingestion_timestamp": F.col("processed_timestamp"),
-            "pipeline_stage": F.lit("BRONZE"),
-            "record_hash": F.sha2(F.concat_ws("|", "batch_id", "file_name", "row_key"), 256),
-        }
-    ).drop("row_key")
+    return _bronze_table(spark, sf_dir, dataset).drop("row_key")
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:

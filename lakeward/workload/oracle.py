@@ -427,15 +427,24 @@ def _results() -> dict[str, str]:
         "batch_id dataset_name records_received records_valid records_quarantined records_distinct duplicates_removed "
         "processing_start processing_end duration_seconds success_rate failure_rate reconciliation_passed",
     )
-    # Each silver or quarantine row of the service is one that the batch's reconciliation misses.
-    lost = """SELECT '{lost}' AS lost, batch_id, records_valid - {silver} AS records_valid,
- records_quarantined - {quarantine} AS records_quarantined,
- CAST({silver} + {quarantine} = 0 AS VARCHAR) AS reconciliation_passed FROM metrics_staff m"""
-    missing = "(SELECT count(*) FROM {table} t WHERE t.batch_id = m.batch_id AND t.service = 'svc1')"
-    staff_tables = {"silver": STAFF.silver_table, "quarantine": STAFF.quarantine_table}
-    q["reconciliation_detects_loss"] = _union(
-        lost.format(lost=name, **{n: missing.format(table=t) if n == name else "0" for n, t in staff_tables.items()})
-        for name in ("none", "silver", "quarantine")
+    # Each silver or quarantine row of the lost format is one that the batch's reconciliation misses.
+    lost = []
+    for d in DATASETS:
+        for name in ("none", "silver", "quarantine"):
+            silver, rejected = (
+                f"(SELECT count(*) FROM {t} t WHERE t.batch_id = m.batch_id AND t.source_format = 'json')" if n == name else "0"
+                for n, t in (("silver", d.silver_table), ("quarantine", d.quarantine_table))
+            )
+            lost.append(f"""SELECT '{name}' AS lost, '{d.name}' AS dataset_name, batch_id, records_valid - {silver} AS records_valid,
+ records_quarantined - {rejected} AS records_quarantined,
+ CAST({silver} + {rejected} = 0 AS VARCHAR) AS reconciliation_passed FROM metrics_{d.name} m""")
+    q["reconciliation_detects_loss"] = _union(lost)
+    derived = {t: t for t in (*_SILVER_TABLES, *(d.quarantine_table for d in DATASETS), *_GOLD_TABLES)}
+    derived |= {"data_quality_metrics": "data_quality", "file_inventory": "inventory"}
+    q["refreshed_tables"] = _union(
+        [f"SELECT '{name}' AS table_name, count(*) AS rows, count(DISTINCT batch_id) AS batches FROM {source}" for name, source in derived.items()]
+        # No feed rescues anything here.
+        + ["SELECT 'serialization_errors' AS table_name, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS batches"]
     )
     q["ingest_json_mixed"] = _union(
         f"SELECT '{d.name}' AS dataset_name, count(*) AS rows, CAST(count(*) > 0 AS VARCHAR) AS broken_rescued "

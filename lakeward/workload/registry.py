@@ -18,7 +18,7 @@ from lakeward.operators import alerts, arrivals, batches, checks, gold, quality,
 from lakeward.operators import rules as R
 from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
-from lakeward.plans.refresh import refresh, side_by_side, stored
+from lakeward.plans.refresh import current_tables, refresh, side_by_side, store_layers, stored
 from lakeward.plans.scratch import scratch_root
 from lakeward.sources.landing import csv_rows, json_rows, read_landing, tag_source
 from lakeward.sources.listing import landed_files
@@ -57,18 +57,14 @@ class Session:
     def all_bronze(self) -> dict[str, DataFrame]:
         return {d.name: self.bronze(d) for d in DATASETS}
 
-    def settled(self, d: Dataset) -> DataFrame:
-        """Bronze rows for the queries that apply rules to them."""
-        return feeds.settled(self.bronze(d))
-
     def processed(self, d: Dataset) -> DataFrame:
-        return refine.process(self.settled(d), d)
+        return refine.process(self.bronze(d), d)
 
     def silver(self, d: Dataset) -> DataFrame:
         return refine.silver(self.processed(d), d, RUN_TS)
 
     def quarantine(self, d: Dataset) -> DataFrame:
-        return refine.quarantine(refine.process(refine.with_payload(self.settled(d)), d), d, RUN_TS)
+        return refine.quarantine(refine.process(refine.with_payload(self.bronze(d)), d), d, RUN_TS)
 
     def patient_flow(self) -> DataFrame:
         return gold.patient_flow(self.silver(PATIENTS), RUN_TS)
@@ -110,10 +106,8 @@ class Session:
         }
 
     def quality_metrics(self) -> DataFrame:
-        validated = {d.name: self.processed(d) for d in DATASETS}
-        silver = {d.name: refine.silver(validated[d.name], d, RUN_TS) for d in DATASETS}
-        quarantined = {d.name: refine.quarantine(validated[d.name], d, RUN_TS) for d in DATASETS}
-        return quality.data_quality_metrics(validated, silver, quarantined)
+        root = scratch_root(self.spark, "layers")
+        return quality.data_quality_metrics(*store_layers(self.spark, self.all_bronze(), RUN_TS, f"{root}/tables", f"{root}/staging"))
 
     def events(self) -> DataFrame:
         return feeds.control_events(self.spark, self.sf_dir)
@@ -251,15 +245,17 @@ def _ingest_json_deep(spark, sf_dir):
 
 
 def _reconciliation_detects_loss(spark, sf_dir):
-    """Metrics of the staff feed when each table lacks the rows of one service."""
-    s, d = Session(spark, sf_dir), STAFF
-    judged = s.processed(d)
-    tables = {"silver": refine.silver(judged, d, RUN_TS), "quarantine": refine.quarantine(judged, d, RUN_TS)}
+    """Metrics of every feed when each stored table lacks the rows of one source format."""
+    s, root = Session(spark, sf_dir), scratch_root(spark, "layers")
+    judged, kept, rejected = store_layers(spark, s.all_bronze(), RUN_TS, f"{root}/tables", f"{root}/staging")
     results = []
     for lost in ("none", "silver", "quarantine"):
-        left = {n: t.filter(~F.col("service").eqNullSafe("svc1")) if n == lost else t for n, t in tables.items()}
-        metrics = quality.quality_metrics(judged, left["silver"], left["quarantine"], d)
-        results.append(metrics.select(F.lit(lost).alias("lost"), "batch_id", "records_valid", "records_quarantined", "reconciliation_passed"))
+        left = [
+            {n: t.filter("source_format <> 'json'") if layer == lost else t for n, t in tables.items()}
+            for layer, tables in (("silver", kept), ("quarantine", rejected))
+        ]
+        metrics = quality.data_quality_metrics(judged, *left)
+        results.append(metrics.select(F.lit(lost).alias("lost"), "dataset_name", "batch_id", "records_valid", "records_quarantined", "reconciliation_passed"))
     return quality.union_by_name(results)
 
 
@@ -336,7 +332,7 @@ def _normalized(s: Session, d: Dataset) -> DataFrame:
 
 
 def _validated(s: Session, d: Dataset) -> DataFrame:
-    out = R.validate(refine.normalize(s.settled(d), d), d.rules)
+    out = R.validate(refine.normalize(s.bronze(d), d), d.rules)
     return out.select("record_hash", *[r.flag for r in d.rules], R.PASSED)
 
 
@@ -361,13 +357,13 @@ def _quarantined(s: Session, d: Dataset) -> DataFrame:
 
 
 def _validate_services_kpis(spark, sf_dir):
-    measured = service_kpis(refine.normalize(Session(spark, sf_dir).settled(SERVICES), SERVICES))
+    measured = service_kpis(refine.normalize(Session(spark, sf_dir).bronze(SERVICES), SERVICES))
     judged = R.extend_validation(measured, SERVICES.rules, SERVICES.indicator_rules)
     return judged.select("record_hash", *[r.flag for r in SERVICES.all_rules], R.PASSED)
 
 
 def _service_kpis(spark, sf_dir):
-    measured = service_kpis(refine.normalize(Session(spark, sf_dir).settled(SERVICES), SERVICES))
+    measured = service_kpis(refine.normalize(Session(spark, sf_dir).bronze(SERVICES), SERVICES))
     return measured.select("record_hash", *_indicators(SERVICES))
 
 
@@ -382,16 +378,26 @@ def _quarantine_id(spark, sf_dir):
     return quality.union_by_name(out)
 
 
+def _published(s: Session) -> dict[str, DataFrame]:
+    """All 16 derived tables after a full run, read back through what it published."""
+    root = scratch_root(s.spark, "tables")
+    refresh(s.spark, s.all_bronze(), RUN_TS, root)
+    return current_tables(s.spark, root)
+
+
 def _refreshed(spark, sf_dir):
-    """The bottleneck table after a full run: bronze is stored, then every other table from it."""
-    root = scratch_root(spark, "tables")
-    bronze: dict[str, DataFrame] = {}
+    """The bottleneck table after a full run."""
+    return _published(Session(spark, sf_dir))["bottleneck_analysis"]
 
-    def store(d: Dataset, df: DataFrame) -> None:
-        bronze[d.name] = stored(df, f"{root}/{d.bronze_table}")
 
-    side_by_side(spark, [lambda d=d: store(d, feeds.bronze(spark, sf_dir, d)) for d in DATASETS])
-    return refresh(spark, bronze, RUN_TS, root, f"{root}/staging")["bottleneck_analysis"]
+def _refreshed_tables(s: Session) -> DataFrame:
+    """Rows and batches of every derived table after a full run."""
+    counted = [
+        df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("batches"))
+        .select(F.lit(name).alias("table_name"), "*")
+        for name, df in sorted(_published(s).items())
+    ]
+    return quality.union_by_name(counted)
 
 
 # --- control, checks ---------------------------------------------------------------------
@@ -496,6 +502,7 @@ def _build() -> dict[str, Query]:
         "operational_efficiency": _of(Session.operational_efficiency),
         "bottleneck_analysis": _of(Session.bottleneck_analysis),
         "refreshed_bottlenecks": _refreshed,
+        "refreshed_tables": _of(_refreshed_tables),
         "data_quality_metrics": _of(Session.quality_metrics),
         "reconciliation_detects_loss": _reconciliation_detects_loss,
         "ingest_json_mixed": _ingest_json_mixed,

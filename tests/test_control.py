@@ -9,8 +9,8 @@ from lakeward import schemas
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDULE
 from lakeward.functions.sql_functions import register_range_average
 from lakeward.operators import alerts, arrivals, batches, checks, gold, kpis
-from lakeward.plans.refresh import refresh
-from lakeward.sources import tables
+from lakeward.plans.refresh import current_tables, refresh
+from lakeward.sources import files, tables
 
 
 def at(day, hour=0):
@@ -232,6 +232,49 @@ def test_refresh_writes_every_table_and_can_run_again(spark, tmp_path):
         assert payload.age == 200 and payload.service == GOOD[PATIENTS.name]["service"]
 
 
+def test_readers_see_one_version_or_the_next(spark, tmp_path, monkeypatch):
+    def bronze(ages):
+        return {
+            PATIENTS.name: rows(spark, PATIENTS, [{"age": a, "patient_id": f"p{a}"} for a in ages]),
+            STAFF.name: rows(spark, STAFF, [{}]),
+            STAFF_SCHEDULE.name: rows(spark, STAFF_SCHEDULE, [{}]),
+            SERVICES.name: rows(spark, SERVICES, [{}]),
+        }
+
+    root = str(tmp_path / "tables")
+    with pytest.raises(LookupError):
+        current_tables(spark, root)
+    refresh(spark, bronze([1, 2]), RUN_TS, root)
+    before = current_tables(spark, root)
+    assert len(before) == 16 and before["silver_patients"].count() == 2
+    assert before["patient_flow"].first().total_patients == 2
+
+    # A run that dies after silver is written, before gold is.
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(gold, "patient_flow", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        refresh(spark, bronze([1, 2, 3]), RUN_TS, root)
+    monkeypatch.undo()
+    after = current_tables(spark, root)
+    assert {n: df.count() for n, df in after.items()} == {n: df.count() for n, df in before.items()}
+    refresh(spark, bronze([1, 2, 3]), RUN_TS, root)
+    assert current_tables(spark, root)["silver_patients"].count() == 3
+    # Who began before still reads the version found then.
+    assert before["silver_patients"].count() == 2
+    refresh(spark, bronze([4]), RUN_TS, root)
+    assert current_tables(spark, root)["silver_patients"].first().age == 4
+    assert len(list((tmp_path / "tables" / "published").glob("0*"))) == 2
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "log" / "0001")
+    assert files.create_if_absent(spark, path, "é one") and not files.create_if_absent(spark, path, "two")
+    assert files.text_of(spark, path) == "é one" and files.names_in(spark, str(tmp_path / "log")) == ["0001"]
+    assert files.names_in(spark, str(tmp_path / "none")) == []
+
+
 def test_range_average(spark):
     trips = spark.createDataFrame([(1.0, 10.0), (2.0, 20.0), (5.0, 90.0)], "distance double, fare double")
     name = register_range_average(spark, "avg_fare", trips, "fare", "distance", "It's an average.")

@@ -14,6 +14,11 @@ from lakeward.operators import rules as R
 from lakeward.operators.lineage import add_batch_lineage, number_copies
 
 
+def metrics_of(judged, silver, quarantine):
+    return quality.data_quality_metrics(*({STAFF.name: df} for df in (judged, silver, quarantine)))
+
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -90,7 +95,7 @@ def test_every_row_is_kept_superseded_or_quarantined(spark, changes):
     keys = [r.staff_id for r in kept_rows]
     assert len(keys) == len(set(keys))
     assert len({r.quarantine_id for r in dropped_rows}) == len(dropped_rows)
-    metrics = quality.quality_metrics(judged, kept, dropped, STAFF).collect()
+    metrics = metrics_of(judged, kept, dropped).collect()
     assert sum(m.records_received for m in metrics) == len(changes)
     assert sum(m.records_valid for m in metrics) == len(kept_rows)
     assert sum(m.records_quarantined for m in metrics) == len(dropped_rows)
@@ -108,7 +113,7 @@ def test_lost_rows_fail_the_reconciliation(spark):
     kept, dropped = both_tables(judged)
 
     def passed(silver, quarantine):
-        return quality.quality_metrics(judged, silver, quarantine, STAFF).first().reconciliation_passed
+        return metrics_of(judged, silver, quarantine).first().reconciliation_passed
 
     assert passed(kept, dropped)
     assert not passed(kept.filter("staff_id = 'a'"), dropped)
@@ -118,14 +123,14 @@ def test_lost_rows_fail_the_reconciliation(spark):
 
 def test_metrics_of_a_batch_without_valid_rows(spark):
     judged = refine.process(rows(spark, STAFF, [{"staff_id": None}]), STAFF)
-    row = quality.quality_metrics(judged, *both_tables(judged), STAFF).first()
+    row = metrics_of(judged, *both_tables(judged)).first()
     assert (row.records_valid, row.records_quarantined, row.success_rate, row.failure_rate) == (0, 1, 0.0, 1.0)
     assert row.processing_end == RUN_TS and row.duration_seconds == 2 * 86400
 
 
 def test_metrics_match_the_declared_schema(spark):
     judged = refine.process(rows(spark, STAFF, [{}]), STAFF)
-    df = quality.quality_metrics(judged, *both_tables(judged), STAFF)
+    df = metrics_of(judged, *both_tables(judged))
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.DATA_QUALITY_METRICS]
 
 
