@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
+from lakeward.llm.common import KEY, filter_of, in_filter, row_key, sliced, staged
 
 LINE, PARAGRAPH = r"[^\n]*(?:\n|$)", r"(?s).+?(?:\n[ \t]*\n\s*|$)"
 # Every unit with a word counts, however short.
@@ -33,7 +33,9 @@ RUN_WORDS = 16
 
 _UNIT = "d1 bigint, d2 bigint, doc_id bigint, _a bigint, _b int, start bigint, end bigint, w0 bigint, w1 bigint, whole boolean"
 _WORD = re.compile(r"\S+")
-_WORDS_KNOWN = 1 << 20
+_WORDS_KNOWN = 1 << 18
+# Text whose units a task holds at once.
+BYTES_AT_ONCE = 1 << 21
 
 
 def _digest(words: list[str], segment: bool) -> bytes:
@@ -53,12 +55,12 @@ class _LastWords(dict):
 _ends_segment = _LastWords()
 
 
-def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
+def units(text: str, pattern: re.Pattern, min_words: int, run_words: int, placed: bool = True) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
     """The units of a text: digest, start and end in characters, number of the first word and of the first one
     after it, and whether it is a whole line (which ends with what follows it) or a segment.
 
     Units are alike if they have the same words in lower case, whatever the white space. There are
-    no segments if ``run_words`` is 0.
+    no segments if ``run_words`` is 0, and no places of segments unless ``placed``.
     """
     before = 0
     for match in pattern.finditer(text):
@@ -67,13 +69,15 @@ def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Ite
         if n >= max(min_words, 1):
             yield _digest(words, False), match.start(), match.end(), before, before + n, True
         if run_words and n >= SEGMENTED_WORDS:
-            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())]
+            lasts = [i for i, word in enumerate(words[:-1]) if _ends_segment[word]] + [n - 1]
+            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())] if placed else None
             first = 0
-            for place in range(n):
-                if place + 1 == n or _ends_segment[words[place]]:
-                    end = bounds[place + 1][0] if place + 1 < n else bounds[place][1]
-                    yield _digest(words[first : place + 1], True), bounds[first][0], end, before + first, before + place + 1, False
-                    first = place + 1
+            for last in lasts:
+                start = end = 0
+                if bounds:
+                    start, end = bounds[first][0], bounds[last + 1][0] if last + 1 < n else bounds[last][1]
+                yield _digest(words[first : last + 1], True), start, end, before + first, before + last + 1, False
+                first = last + 1
         before += n
 
 
@@ -82,11 +86,11 @@ def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None =
     pattern = re.compile(unit)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, BYTES_AT_ONCE):
             found, counts = [], []
             for text in batch["text"].to_pylist():
                 held = len(found)
-                found.extend(units(text, pattern, min_words, run_words))
+                found.extend(units(text, pattern, min_words, run_words, bits is not None))
                 counts.append(len(found) - held)
             halves = np.frombuffer(b"".join(u[0] for u in found), np.int64).reshape(-1, 2)
             rows = np.repeat(np.arange(len(counts)), counts)
@@ -152,7 +156,8 @@ def repeated_units(docs: DataFrame, unit: str = LINE, min_words: int = MIN_WORDS
     counted = digests.groupBy("d1", "d2").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n"))
     again = staged(counted.where("n > 1").select("d1", "d2", "least_id"), "repeated")
     bits = filter_of(again, "d1", again.count())
-    repeats = keyed.mapInArrow(_found(unit, min_words, run_words, bits), _UNIT).join(again, ["d1", "d2"])
+    # Read three times below.
+    repeats = staged(keyed.mapInArrow(_found(unit, min_words, run_words, bits), _UNIT).join(again, ["d1", "d2"]), "repeats")
     place = ["start", "end", "w0", "w1", "whole"]
     later = repeats.where("doc_id > least_id").select(*KEY, *place)
     # Occurrences in texts of the least doc_id: a few texts, or copies within one.
