@@ -55,12 +55,32 @@ class _LastWords(dict):
 _ends_segment = _LastWords()
 
 
-def units(text: str, pattern: re.Pattern, min_words: int, run_words: int, placed: bool = True) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
+def _segments(words: list[str]) -> Iterator[tuple[int, int, bytes]]:
+    """First and last word of each segment, and its digest."""
+    first = 0
+    for last in [i for i, word in enumerate(words[:-1]) if _ends_segment[word]] + [len(words) - 1]:
+        yield first, last, _digest(words[first : last + 1], True)
+        first = last + 1
+
+
+def digests_of(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> list[bytes]:
+    """The digests of the units of a text, in the order of ``units``."""
+    out = []
+    for match in pattern.finditer(text):
+        words = match.group().lower().split()
+        if len(words) >= max(min_words, 1):
+            out.append(_digest(words, False))
+        if run_words and len(words) >= SEGMENTED_WORDS:
+            out += [digest for _, _, digest in _segments(words)]
+    return out
+
+
+def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
     """The units of a text: digest, start and end in characters, number of the first word and of the first one
     after it, and whether it is a whole line (which ends with what follows it) or a segment.
 
     Units are alike if they have the same words in lower case, whatever the white space. There are
-    no segments if ``run_words`` is 0, and no places of segments unless ``placed``.
+    no segments if ``run_words`` is 0.
     """
     before = 0
     for match in pattern.finditer(text):
@@ -69,15 +89,10 @@ def units(text: str, pattern: re.Pattern, min_words: int, run_words: int, placed
         if n >= max(min_words, 1):
             yield _digest(words, False), match.start(), match.end(), before, before + n, True
         if run_words and n >= SEGMENTED_WORDS:
-            lasts = [i for i, word in enumerate(words[:-1]) if _ends_segment[word]] + [n - 1]
-            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())] if placed else None
-            first = 0
-            for last in lasts:
-                start = end = 0
-                if bounds:
-                    start, end = bounds[first][0], bounds[last + 1][0] if last + 1 < n else bounds[last][1]
-                yield _digest(words[first : last + 1], True), start, end, before + first, before + last + 1, False
-                first = last + 1
+            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())]
+            for first, last, digest in _segments(words):
+                end = bounds[last + 1][0] if last + 1 < n else bounds[last][1]
+                yield digest, bounds[first][0], end, before + first, before + last + 1, False
         before += n
 
 
@@ -90,9 +105,9 @@ def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None =
             found, counts = [], []
             for text in batch["text"].to_pylist():
                 held = len(found)
-                found.extend(units(text, pattern, min_words, run_words, bits is not None))
+                found.extend((digests_of if bits is None else units)(text, pattern, min_words, run_words))
                 counts.append(len(found) - held)
-            halves = np.frombuffer(b"".join(u[0] for u in found), np.int64).reshape(-1, 2)
+            halves = np.frombuffer(b"".join(found if bits is None else [u[0] for u in found]), np.int64).reshape(-1, 2)
             rows = np.repeat(np.arange(len(counts)), counts)
             columns = {"d1": halves[:, 0], "d2": halves[:, 1]}
             if bits is None:
@@ -108,36 +123,40 @@ def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None =
     return mapped
 
 
+def _unbroken(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ranges in order of row and start: which begin one apart from all before, and the furthest end so far."""
+    apart = (int(end.max(initial=0)) + 2) * row
+    furthest = np.maximum.accumulate(end + apart) if len(end) else end
+    begins = np.ones(len(row), bool)
+    begins[1:] = (start + apart)[1:] > furthest[:-1]
+    return begins, furthest - apart
+
+
 def _merged(run_words: int):
     """What goes of each text: whole units, and segments in runs of at least ``run_words`` repeated words."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = []
-            for repeated in batch["repeated"].to_pylist():
-                gone, run = [], []
-
-                def close():
-                    enough = run and max(u["w1"] for u in run) - run[0]["w0"] >= run_words
-                    gone.extend((u["start"], u["end"]) for u in run if u["whole"] or enough)
-                    run.clear()
-
-                last = -1
-                for u in sorted(repeated, key=lambda u: (u["w0"], -u["w1"])):
-                    if u["w0"] > last:
-                        close()
-                    run.append(u)
-                    last = max(last, u["w1"])
-                close()
-                out: list[list[int]] = []
-                for start, end in sorted(gone):
-                    if out and start <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], end)
-                    else:
-                        out.append([start, end])
-                spans.append([{"start": a, "end": b} for a, b in out])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*(batch[k] for k in KEY), pa.array(spans, kind)], [*KEY, "spans"])
+            lists = batch["repeated"]
+            row = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
+            unit = {f: lists.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("start", "end", "w0", "w1", "whole")}
+            order = np.lexsort((-unit["w1"], unit["w0"], row))
+            row, unit = row[order], {f: v[order] for f, v in unit.items()}
+            begins, furthest = _unbroken(row, unit["w0"], unit["w1"])
+            firsts = np.flatnonzero(begins)
+            lasts = np.append(firsts[1:], len(row))[: len(firsts)] - 1
+            enough = (furthest[lasts] - unit["w0"][firsts] >= run_words)[np.cumsum(begins) - 1]
+            gone = unit["whole"] | enough
+            row, start, end = row[gone], unit["start"][gone], unit["end"][gone]
+            order = np.lexsort((end, start, row))
+            row, start, end = row[order], start[order], end[order]
+            begins, furthest = _unbroken(row, start, end)
+            firsts = np.flatnonzero(begins)
+            lasts = np.append(firsts[1:], len(row))[: len(firsts)] - 1
+            counts = np.bincount(row[firsts], minlength=len(batch))
+            spans = pa.StructArray.from_arrays([pa.array(start[firsts]), pa.array(furthest[lasts])], ["start", "end"])
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in KEY), pa.ListArray.from_arrays(offsets, spans)], [*KEY, "spans"])
 
     return mapped
 
