@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b, md5
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ BYTES_AT_ONCE = 1 << 21
 
 
 def _digest(words: list[str], segment: bool) -> bytes:
-    return blake2b(" ".join(words).encode(), digest_size=16, person=b"segment" if segment else b"").digest()
+    # No unit begins with a blank, so lines and segments have digests apart.
+    return blake2b((" " + " ".join(words) if segment else " ".join(words)).encode(), digest_size=16).digest()
 
 
 class _LastWords(dict):
@@ -63,6 +65,15 @@ def _segments(words: list[str]) -> Iterator[tuple[int, int, bytes]]:
         first = last + 1
 
 
+def _bounds(text: str, start: int, end: int, words: list[str]) -> list[tuple[int, int]]:
+    """Where the words between two places stand; by their lengths if single blanks part them."""
+    line = text[start:end].rstrip()
+    if " ".join(words) == line.lower() and len(line) == len(line.lower()):
+        ends = [start - 1 + n for n in accumulate(map(len, words), lambda a, b: a + b + 1, initial=0)][1:]
+        return [(b - len(w), b) for b, w in zip(ends, words)]
+    return [m.span() for m in _WORD.finditer(text, start, end)]
+
+
 def digests_of(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> list[bytes]:
     """The digests of the units of a text, in the order of ``units``."""
     out = []
@@ -89,7 +100,7 @@ def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Ite
         if n >= max(min_words, 1):
             yield _digest(words, False), match.start(), match.end(), before, before + n, True
         if run_words and n >= SEGMENTED_WORDS:
-            bounds = [m.span() for m in _WORD.finditer(text, match.start(), match.end())]
+            bounds = _bounds(text, match.start(), match.end(), words)
             for first, last, digest in _segments(words):
                 end = bounds[last + 1][0] if last + 1 < n else bounds[last][1]
                 yield digest, bounds[first][0], end, before + first, before + last + 1, False
