@@ -6,6 +6,8 @@ that a passage as long as an item lies whole in a window of like size, however l
 the document is. Item and window then have a Jaccard similarity of about 0.2 or more, and
 share one of ``FUNCTIONS`` MinHash values but for one case in a million. A fixed-size filter of the items' values
 keeps all others from being written. Items met are compared with the document's whole set.
+The whole sequence of an item of fewer than five words is its one shingle, found among a document's
+sequences of as many words.
 """
 
 from __future__ import annotations
@@ -18,14 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
-from lakeward.llm.shingles import block_minima, letter_words, minhash, mix, shingle_hashes
+from lakeward.llm.shingles import WORDS_PER_SHINGLE, block_minima, letter_words, minhash, mix, shingle_hashes
 
 FUNCTIONS = 64
 CONTAINMENT = 0.8
 
 
-def _shingles(text: str | None) -> np.ndarray:
-    return shingle_hashes(letter_words(text or ""))
+# Size classes of items of one to four words lie above those of shingle counts.
+SHORT = 64
+
+
+def _width(words: list[str]) -> int:
+    """Words in a shingle of an item."""
+    return min(WORDS_PER_SHINGLE, len(words))
 
 
 def size_class(n: int) -> int:
@@ -39,10 +46,12 @@ def _keys(minima: np.ndarray, size: int) -> np.ndarray:
 def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, text in enumerate(batch["text"].to_pylist()):
-            hashes = np.unique(_shingles(text))
-            if len(hashes):
-                size = size_class(len(hashes))
-                keys = np.unique(_keys(minhash(hashes, FUNCTIONS), size))
+            words = letter_words(text or "")
+            if words:
+                width = _width(words)
+                hashes = np.unique(shingle_hashes(words, width))
+                size = size_class(len(hashes)) if width == WORDS_PER_SHINGLE else SHORT + width
+                keys = _keys(hashes, size) if size > SHORT else np.unique(_keys(minhash(hashes, FUNCTIONS), size))
                 at = pa.array(np.full(len(keys), i))
                 columns = [batch[k].take(at) for k in ("ia", "ib")]
                 yield pa.RecordBatch.from_arrays(
@@ -50,13 +59,15 @@ def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def window_keys(hashes: np.ndarray, sizes: Sequence[int]) -> Iterator[np.ndarray]:
+def window_keys(words: list[str], sizes: Sequence[int]) -> Iterator[np.ndarray]:
     """Keys of all windows of a document, for each size in use."""
+    hashes = shingle_hashes(words)
     for size in sizes:
-        minima = block_minima(hashes, FUNCTIONS, 2 << size)
-        if len(minima) > 1:
-            minima = np.minimum(minima[:-1], minima[1:])
-        yield _keys(minima, size)
+        if size > SHORT:
+            yield _keys(shingle_hashes(words, size - SHORT), size)
+        elif len(hashes):
+            minima = block_minima(hashes, FUNCTIONS, 2 << size)
+            yield _keys(np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima, size)
 
 
 def _met(sizes: Sequence[int], items):
@@ -64,10 +75,7 @@ def _met(sizes: Sequence[int], items):
         for batch in batches:
             found, rows = [], []
             for i, text in enumerate(batch["text"].to_pylist()):
-                hashes = _shingles(text)
-                if not len(hashes):
-                    continue
-                for keys in window_keys(hashes, sizes):
+                for keys in window_keys(letter_words(text or ""), sizes):
                     keys = keys.ravel()
                     hits = np.unique(keys[in_filter(items.value, keys)])
                     if len(hits):
@@ -89,18 +97,22 @@ def _in(places):
 
 
 def _contained(least: float):
-    """Rows come sorted by document, whose set is kept from one to the next."""
+    """Rows come sorted by document, whose sets are kept from one to the next."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, own = None, None
+        held, words, own = None, [], {}
         for batch in batches:
             rows = []
             columns = ("_a", "_b", "doc_id", "text", "item_id", "item")
             for a, b, doc_id, text, item_id, item in zip(*(batch[c].to_pylist() for c in columns)):
                 if (a, b) != held:
-                    held, own = (a, b), np.unique(_shingles(text))
-                wanted = np.unique(_shingles(item))
-                both = len(np.intersect1d(own, wanted, assume_unique=True))
+                    held, words, own = (a, b), letter_words(text or ""), {}
+                wanted = letter_words(item)
+                width = _width(wanted)
+                if width not in own:
+                    own[width] = np.unique(shingle_hashes(words, width))
+                wanted = np.unique(shingle_hashes(wanted, width))
+                both = len(np.intersect1d(own[width], wanted, assume_unique=True))
                 if both >= least * len(wanted):
                     rows.append((a, b, doc_id, item_id, both, len(wanted)))
             types = (pa.int64(), pa.int32(), *[pa.int64()] * 4)
@@ -116,8 +128,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: float = CONTAIN
     """A row for each item (item_id, text) and document that holds at least ``least`` of the item's shingles.
 
     Columns: _a, _b (the document row's key), doc_id, item_id, n_shared, n_shingles, containment.
-    Words are runs of letters, digits and underscores in lower case; a shingle is five words. Items
-    or documents of fewer words, empty or null match nothing. The shared shingles must
+    Words are runs of letters, digits and underscores in lower case; a shingle is five words. An item
+    of fewer words is one shingle, its whole sequence; items or documents without words, empty or null match nothing. The shared shingles must
     include those of one passage about as long as the item; an item whose shingles are strewn over a long
     document is no match. Equal rows are reported once; rows that share or lack an id are
     items or documents of their own. Other columns are not read.
@@ -130,7 +142,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: float = CONTAIN
     keys = staged(
         named.select("ia", "ib", F.col("item").alias("text")).mapInArrow(_item_keys, "ia bigint, ib int, size int, key bigint"), "item-keys"
     )
-    # Sizes are powers of two: at most some thirty.
+    # Sizes are powers of two, or below five words: at most some forty.
     sizes = sorted(r.size for r in keys.select("size").distinct().collect())
     items = spark.sparkContext.broadcast(filter_of(keys, "key"))
     met = keyed.select(*KEY, "text").mapInArrow(_met(sizes, items), "_a bigint, _b int, key bigint")

@@ -119,12 +119,13 @@ SELECT page_id, octet_length(b) AS payload_bytes, {base32} AS payload_digest,
         "op2_decontamination": """
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents),
  iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM benchmark),
- ds AS (SELECT DISTINCT doc_id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw)),
- its AS (SELECT DISTINCT item_id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM iw)),
+ iw5 AS (SELECT item_id, w, least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+ ds AS (SELECT DISTINCT doc_id, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM iw5))),
+ its AS (SELECT DISTINCT item_id, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS s
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM iw5)),
  n AS (SELECT item_id, count(*) AS n_shingles FROM its GROUP BY item_id),
- c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN its USING (s) GROUP BY ALL)
+ c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN its USING (k, s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
 FROM c JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
         "op3_substring_dedup": """

@@ -105,16 +105,17 @@ def test_pairs_at_the_threshold_are_hardly_missed(percent):
 
 
 def brute_contained(docs, items, least=0.8):
-    def shingles(text):
+    def shingles(text, size):
         w = letter_words(text or "")
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if size else set()
 
     found = set()
     for doc_id, text in docs:
-        own = shingles(text)
+        own = [shingles(text, size) for size in range(6)]
         for item_id, item in items:
-            wanted = shingles(item)
-            both = len(own & wanted)
+            size = min(5, len(letter_words(item or "")))
+            wanted = shingles(item, size)
+            both = len(own[size] & wanted)
             if wanted and both >= least * len(wanted):
                 found.add((doc_id, item_id, both, len(wanted)))
     return found
@@ -124,7 +125,7 @@ def test_contaminations_equal_brute_force(spark):
     rng = random.Random(9)
     prose = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(n))
     items = [(i, prose(n)) for i, n in enumerate([5, 6, 9, 14, 20, 33, 40, 70, 130, 300])]
-    items += [(20, "too short"), (21, None), (22, ""), (3, items[3][1]), (None, prose(30)), (3, prose(25))]
+    items += [(20, "four words or less"), (23, "Two, words"), (24, "xylem"), (25, "!?"), (21, None), (22, ""), (3, items[3][1]), (None, prose(30)), (3, prose(25))]
     docs = []
     for i in range(60):
         text = prose(rng.choice([0, 3, 50, 400, 3000]))
@@ -134,12 +135,14 @@ def test_contaminations_equal_brute_force(spark):
                 words[len(words) // 2] = "changed"
             text = f"{text} {' '.join(words).upper()}, {prose(30)}"
         docs.append((i, text))
+    docs += [(61, "two words"), (62, f"{prose(40)} Xylem {prose(9)}"), (63, f"{prose(20000)} {items[6][1]} {prose(500)}")]
     docs += [docs[1], (None, docs[3][1]), (70, None), (71, ""), (5, docs[7][1])]
     d = spark.createDataFrame([(*r, "k") for r in docs], "doc_id bigint, text string, key string")
     b = spark.createDataFrame([(*r, 1) for r in items], "item_id bigint, text string, size int")
     found = decontamination.contaminations(d, b)
     result = {(r.doc_id, r.item_id, r.n_shared, r.n_shingles) for r in found.collect()}
     assert result == brute_contained(docs, items) and len(result) > 20
+    assert {(61, 23, 1, 1), (62, 24, 1, 1)} <= result and any(r[:2] == (63, 6) for r in result)
     bad = {r for r in docs if brute_contained([r], items)}
     kept = decontamination.remove_contaminated(d, b)
     assert kept.columns == d.columns
