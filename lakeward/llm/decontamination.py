@@ -60,13 +60,21 @@ def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def window_keys(words: list[str], sizes: Sequence[int]) -> Iterator[np.ndarray]:
-    """Keys of all windows of a document, for each size in use."""
+    """Keys of all windows of a document, for each size in use, in ascending order.
+
+    Blocks double from one size to the next, so coarser minima are those of finer blocks merged.
+    """
     hashes = shingle_hashes(words)
+    minima, block = None, 0
     for size in sizes:
         if size > SHORT:
             yield _keys(shingle_hashes(words, size - SHORT), size)
         elif len(hashes):
-            minima = block_minima(hashes, FUNCTIONS, 2 << size)
+            if minima is None:
+                minima = block_minima(hashes, FUNCTIONS, 2 << size)
+            else:
+                minima = np.minimum.reduceat(minima, np.arange(0, len(minima), (2 << size) // block))
+            block = 2 << size
             yield _keys(np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima, size)
 
 
