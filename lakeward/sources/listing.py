@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILES = "dataset string, file_name string, modified_time timestamp, size bigint"
+FAILURES = "dataset string, error_message string"
+
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """Files below ``root`` at any depth: dataset (first folder), name, time and size.
@@ -20,3 +26,20 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
         F.col("modificationTime").alias("modified_time"),
         F.col("length").alias("size"),
     )
+
+
+def listed_folders(spark: SparkSession, folders: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Files of each dataset's folder (as ``landed_files`` gives them), and a row for each folder that cannot be listed.
+
+    One folder that fails does not stop the others. Folders are the monitored datasets, a short list from the
+    configuration; the files below them are listed by Spark and never reach the driver.
+    """
+    files, failures = spark.createDataFrame([], FILES), []
+    for dataset, folder in folders.items():
+        try:
+            below = landed_files(spark, folder)
+        except AnalysisException as error:
+            failures.append((dataset, f"listing failed: {error.getCondition()}"))
+        else:
+            files = files.unionByName(below.withColumn("dataset", F.lit(dataset)))
+    return files, spark.createDataFrame(failures, FAILURES)

@@ -56,6 +56,16 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run_column: str) -> None:
+    """Append the rows of a run so that doing it again changes nothing: they replace what the same run wrote before.
+
+    ``run_column`` names the run and partitions the table; partitions of other runs are not touched. A run
+    that repeats without any row leaves its earlier rows.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(run_column).parquet(path)
+
+
 def create_tables(spark: SparkSession, prefix: str = "", partition_by: str = "batch_id") -> list[str]:
     """Create every schema and table that does not exist yet, from the declared schemas."""
     created = []

@@ -480,6 +480,9 @@ def _results() -> dict[str, str]:
     q["batch_close"] = (
         show("state", state) + " WHERE batch_id NOT IN (SELECT batch_id FROM current) UNION ALL BY NAME " + closed
     )
+    q["batch_log"] = f"""SELECT batch_id, pipeline_name, start_time, coalesce(end_time, {moment}) AS end_time,
+ CASE status WHEN 'RUNNING' THEN 'FAILED' ELSE status END AS status, source_files, processed_records FROM ({q["batch_close"]})
+ UNION ALL SELECT '20260107000000', 'hospital_feeds', {moment}, NULL, 'RUNNING', 0, 0"""
     q["current_batch"] = show("current", state)
     q["latest_batch"] = show(
         "(SELECT * FROM state ORDER BY start_time DESC, batch_id DESC LIMIT 1)", "batch_id status start_time end_time"
@@ -502,6 +505,24 @@ def _results() -> dict[str, str]:
  (SELECT overall_status FROM arrival_totals) AS overall_result, CAST(1.25 AS DOUBLE) AS execution_duration_seconds,
  'true' AS email_sent FROM arrival"""
 
+    q["arrival_audit_appended"] = (
+        q["arrival_audit"] + " UNION ALL BY NAME " + q["arrival_audit"].replace("'run-1'", "'run-2'")
+    )
+    documents = _union(
+        f"SELECT '{d.feed}' AS dataset, CAST(ceil(count(*) FILTER (source_format = 'json') / {ROWS_PER_DOCUMENT}.0) AS BIGINT) AS n "
+        f"FROM keyed_{d.feed}"
+        for d in DATASETS
+    )
+    q["arrival_path"] = f"""SELECT 'run-1' AS run_id, dataset, concat('/landing/', dataset, '/') AS s3_path, CAST(2 AS INT) AS expected_files,
+ coalesce(n, 0) AS received_files,
+ CASE WHEN n IS NULL THEN 'Error' WHEN n = 2 THEN 'Received' WHEN n = 0 THEN 'Missing' WHEN n < 2 THEN 'Incomplete'
+  ELSE 'Multiple Files' END AS status,
+ CASE WHEN n IS NULL THEN 'listing failed: PATH_NOT_FOUND' WHEN n = 2 THEN 'Expected file received today'
+  WHEN n = 0 THEN 'No file received today' WHEN n < 2 THEN concat('Only ', n, '/2 expected files received today')
+  ELSE concat('Multiple files received today (', n, ' files arrived)') END AS reason,
+ CASE WHEN n IS NULL THEN 'listing failed: PATH_NOT_FOUND' END AS error_message, 'ALERT' AS overall_result
+ FROM ({documents} UNION ALL SELECT 'transfers', NULL)"""
+
     q["alert_services"] = """SELECT batch_id, CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2
   WHEN 'MEDIUM' THEN 3 ELSE 4 END AS severity_rank, service, severity, occupancy_pct, attendance_rate, refusal_rate_pct,
  staff_morale, avg_length_of_stay, capacity_gap,

@@ -20,9 +20,11 @@ from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
 from lakeward.plans.refresh import current_tables, refresh, side_by_side, store_layers, stored
 from lakeward.plans.scratch import scratch_root
+from lakeward.schemas import FILE_MONITORING_AUDIT
+from lakeward.sources.batch_log import BatchLog
 from lakeward.sources.landing import csv_rows, json_rows, read_landing, tag_source
-from lakeward.sources.listing import landed_files
-from lakeward.sources.tables import preview
+from lakeward.sources.listing import landed_files, listed_folders
+from lakeward.sources.tables import append_run, preview
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 from lakeward.workload import feeds
 from lakeward.workload.feeds import AS_OF, RUN_TS
@@ -418,6 +420,44 @@ def _batch_close(s: Session) -> DataFrame:
     return batches.batch_state(events.unionByName(closing))
 
 
+def _batch_log(s: Session) -> DataFrame:
+    """The control table kept as files: the given events, a close with totals and a new batch, read back."""
+    log = BatchLog(s.spark, scratch_root(s.spark, "batch-log"))
+    log.append(lambda events: s.events())
+    log.close(s.all_bronze(), batches.COMPLETED, RUN_TS)
+    log.open(RUN_TS, "hospital_feeds")
+    return log.state()
+
+
+def _audited(s: Session, status: DataFrame, runs: tuple[str, ...]) -> DataFrame:
+    """The audit table after these runs appended to it, some of them again."""
+    path = f"{scratch_root(s.spark, 'audit')}/file_monitoring_audit"
+    for run in runs:
+        append_run(arrivals.arrival_audit(status, RUN_TS, "job-1", run, 1.25), path, "run_id")
+    return s.spark.read.schema(FILE_MONITORING_AUDIT).parquet(path)
+
+
+# A folder that is monitored and was never made, and the documents expected of each feed.
+NEVER_LANDED, EXPECTED_DOCUMENTS = "transfers", 2
+
+
+def _arrival_path(s: Session) -> DataFrame:
+    """Landed JSON documents listed by folder, judged, and audited; one folder does not exist."""
+    root = scratch_root(s.spark, "landing")
+    for d in DATASETS:
+        feeds.write_json_documents(
+            feeds.clean_text_feed(s.spark, s.sf_dir, d).filter("source_format = 'json'"), "row_key", d.columns, f"{root}/{d.feed}"
+        )
+    monitored = [*(d.feed for d in DATASETS), NEVER_LANDED]
+    files, failures = listed_folders(s.spark, {name: f"{root}/{name}" for name in monitored})
+    expected = s.spark.createDataFrame([(name, EXPECTED_DOCUMENTS) for name in monitored], "dataset string, expected_count int")
+    day = files.agg(F.max(F.to_date("modified_time")).alias("day")).first()["day"]
+    status = arrivals.arrival_status(expected.join(failures, "dataset", "left"), files, day, LANDING_BASE)
+    return _audited(s, status, ("run-1", "run-1")).select(
+        "run_id", "dataset", "s3_path", "expected_files", "received_files", "status", "reason", "error_message", "overall_result"
+    )
+
+
 def _batch_fail(s: Session) -> DataFrame:
     return batches.close_events(s.state(), s.all_bronze(), batches.FAILED, RUN_TS)
 
@@ -512,6 +552,7 @@ def _build() -> dict[str, Query]:
         "batch_open": _of(_batch_open),
         "batch_close": _of(_batch_close),
         "batch_fail": _of(_batch_fail),
+        "batch_log": _of(_batch_log),
         "batch_state": _of(Session.state),
         "batch_stale_recovery": _of(lambda s: batches.stale_events(s.state(), RUN_TS)),
         "current_batch": _of(lambda s: batches.current_batch(s.state())),
@@ -522,6 +563,8 @@ def _build() -> dict[str, Query]:
         "arrival_status": _of(Session.arrival_status),
         "arrival_summary": _of(lambda s: arrivals.arrival_summary(s.arrival_status(), RUN_TS)),
         "arrival_anomalies": _of(lambda s: arrivals.arrival_anomalies(s.arrival_status())),
+        "arrival_audit_appended": _of(lambda s: _audited(s, s.arrival_status(), ("run-1", "run-2", "run-1"))),
+        "arrival_path": _of(_arrival_path),
         "arrival_audit": _of(lambda s: arrivals.arrival_audit(s.arrival_status(), RUN_TS, "job-1", "run-1", 1.25)),
         "alert_services": _of(lambda s: alerts.alert_services(s.operational_efficiency())),
         "alert_summary": _of(lambda s: alerts.alert_summary(s.operational_efficiency())),
