@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeward.llm.common import KEY, row_key
+
 # Labelled rows a language gives at most, the first by hash of doc_id; every fifth calibrates.
 SAMPLE_PER_LANGUAGE = 400
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 15, 16, 6, 0.5
@@ -149,17 +151,19 @@ def _calibrate(model: Model, rows: list[tuple[str, str]]) -> None:
 def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` rows of each language whose fold is not 0, whole texts, in order of a hash.
 
-    Only ids are ranked, so a language that most rows have costs one row for each task and rank.
+    Only keys are ranked, so a language that most rows have costs one row for each task and rank. Rows
+    that repeat are taken once, and rows that share an id count by themselves, so the bound holds for rows.
     """
     from pyspark.sql import Window
 
     labelled = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
-    labelled = labelled.where(fold(F.col("doc_id")) != 0)
-    order = F.xxhash64("doc_id")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = labelled.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= per_language)
-    sample = labelled.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
-    rows = sample.select("text", "lang", order.alias("o"), "doc_id").collect()
+    labelled = labelled.where(fold(F.col("doc_id")) != 0).withColumn("o", F.xxhash64("doc_id"))
+    keyed = labelled.select("*", *row_key("doc_id", "text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("o", "doc_id", *KEY))
+    chosen = keyed.select("o", "doc_id", "lang", *KEY).withColumn("place", place).where(F.col("place") <= per_language)
+    picked = [*KEY, "lang"]
+    sample = keyed.join(F.broadcast(chosen.select(*picked).distinct()), picked, "left_semi").dropDuplicates(picked)
+    rows = sample.select("text", "lang", "o", "doc_id").collect()
     rows.sort(key=lambda r: (r.o, r.doc_id, r.lang, r.text))
     return [(r.text, r.lang) for r in rows]
 

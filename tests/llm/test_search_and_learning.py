@@ -150,6 +150,17 @@ def test_contaminations_equal_brute_force(spark):
     assert decontamination.contaminations(d, b.limit(0)).count() == decontamination.contaminations(d.limit(0), b).count() == 0
 
 
+def test_language_sample_is_bounded_in_rows(spark):
+    hot = next(i for i in range(50) if spark.range(1).select(language_id.fold(F.lit(i))).first()[0] != 0)
+    repeated = [(hot, "one and the same text", "en")] * 300
+    shared = [(hot, f"another text of that id {i}", "de") for i in range(300)]
+    others = [(i, f"text number {i}", "en") for i in range(100, 160)]
+    d = spark.createDataFrame(repeated + shared + others, "doc_id bigint, text string, lang string")
+    rows = language_id.training_rows(d, 40)
+    assert len(rows) == len(set(rows)) and sum(lang == "de" for _, lang in rows) == 40
+    assert 0 < sum(lang == "en" for _, lang in rows) <= 40
+
+
 def test_language_held_out_accuracy(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     found = language_id.identify(docs.select("doc_id", "text"), docs).join(docs.select("doc_id", "lang"), "doc_id")
