@@ -26,7 +26,7 @@ MAX_TOKENS = 4096
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_root(spark, "warc")
     warc.write_archive(read(spark, sf_dir, "pages"), path)
-    return warc.read_back(spark, path).drop("digest_agrees")
+    return warc.read_back(spark, path)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

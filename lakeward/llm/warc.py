@@ -6,7 +6,8 @@ An archive is a folder with two Parquet tables:
 * ``records``: for each record its exact WARC and HTTP header bytes, and the payload's address.
 
 A record is its header followed, unless it is a revisit, by the payload found under its
-address. Reading checks each payload against its address.
+address. Reading checks each payload against its address, and each record against the lengths
+and the digest that its own header states.
 """
 
 from __future__ import annotations
@@ -102,10 +103,15 @@ def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """The records' headers, with what they say: page_id, record_type, refers_to, payload_digest, url."""
+    """The records' headers, with what they say: page_id, record_type, refers_to, payload_digest, block_bytes, payload_bytes, url.
+
+    block_bytes is the length stated in the WARC header, payload_bytes that in the HTTP header.
+    """
+
+    text = F.decode("header", "UTF-8")
 
     def said(name: str, pattern: str) -> Column:
-        found = F.regexp_extract(F.decode("header", "UTF-8"), f"(?:^|\r\n){name}: {pattern}\r\n", 1)
+        found = F.regexp_extract(text, f"(?:^|\r\n){name}: {pattern}\r\n", 1)
         return F.when(found != "", found)
 
     return spark.read.parquet(f"{path}/records").select(
@@ -113,38 +119,68 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         said("WARC-Type", "([a-z]+)").alias("record_type"),
         said("WARC-Refers-To", f"<{_RECORD}([^>]*)>").cast("bigint").alias("refers_to"),
         said("WARC-Payload-Digest", "sha1:([A-Z2-7]+)").alias("payload_digest"),
+        said("Content-Length", r"(\d+)").cast("bigint").alias("block_bytes"),
+        F.regexp_extract(text, "\r\nContent-Length: (\\d+)\r\n\r\n$", 1).cast("bigint").alias("payload_bytes"),
         said("WARC-Target-URI", "([^\r\n]*)").alias("url"),
         "address",
         "header",
     )
 
 
-def reconstruct(spark: SparkSession, path: str) -> DataFrame:
-    """Every record whole: page_id, record_type and ``record``, the bytes a WARC file holds for it, and its payload."""
-    joined = records(spark, path).join(verified_payloads(spark, path), "address")
+def _failing(what: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what} of page "), _page_key(F.col("page_id"))))
+
+
+def _whole(joined: DataFrame) -> DataFrame:
+    """Headers with their ``payload`` as records; one without its payload fails the read."""
+    payload = F.coalesce("payload", _failing("no payload").cast("binary"))
     body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     end = F.lit((CRLF * 2).encode())
-    return joined.select("page_id", "record_type", F.concat("header", body, end).alias("record"), "payload")
+    return joined.select("page_id", "record_type", "address", F.concat("header", body, end).alias("record"), payload.alias("payload"))
+
+
+def reconstruct(spark: SparkSession, path: str) -> DataFrame:
+    """Every record whole: page_id, record_type, address and ``record``, the bytes a WARC file holds for it, and its payload."""
+    return _whole(records(spark, path).join(verified_payloads(spark, path), "address", "left"))
+
+
+def payload_facts(whole: DataFrame) -> DataFrame:
+    """Length and digest of the payload cut out of each reconstructed response: address, held_bytes, held_digest.
+
+    The payload starts behind the second blank line, and the block ends two line ends before the record
+    does. Several responses of one payload give one row.
+    """
+    # One character for each byte, so that places in the text are places in the record.
+    text = F.decode("record", "ISO-8859-1")
+    start = F.instr(text, CRLF * 2)
+    block = F.expr("substring(record, _start + 4, octet_length(record) - _start - 7)")
+    http = F.instr(F.decode("_block", "ISO-8859-1"), CRLF * 2)
+    cut = whole.withColumn("_start", start).withColumn("_block", block).withColumn("_http", http)
+    payload = F.expr("substring(_block, _http + 4, octet_length(_block))")
+    facts = cut.select("address", F.octet_length(payload).cast("bigint").alias("held_bytes"), sha1_base32(payload).alias("held_digest"))
+    return facts.groupBy("address").agg(F.min("held_bytes").alias("held_bytes"), F.min("held_digest").alias("held_digest"))
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """What the archive holds of each page: page_id, payload_bytes, payload_digest, record_type, refers_to, digest_agrees.
+    """What the archive holds of each page: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Length and digest are taken from each stored payload once, then joined to the records by address,
-    so that payloads do not travel; ``digest_agrees`` compares with the digest in the header.
+    Responses are reconstructed, and length and digest are taken from the payloads cut out of them. Every
+    record, revisits too, meets those of its payload by address, so a payload that many pages share moves
+    once. A record whose header states another digest, payload length or block length, or whose payload
+    is missing, fails the read.
     """
-    held = verified_payloads(spark, path).select(
-        "address", F.octet_length("payload").cast("bigint").alias("payload_bytes"), sha1_base32(F.col("payload")).alias("held")
+    listed = records(spark, path)
+    responses = listed.where("record_type = 'response'")
+    facts = payload_facts(_whole(responses.join(verified_payloads(spark, path), "address", "left")))
+    http = F.octet_length("header") - F.instr(F.decode("header", "ISO-8859-1"), CRLF * 2) - 3
+    block = http + F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("held_bytes"))
+    digest = (
+        F.when(F.col("held_digest").isNull(), _failing("no payload"))
+        .when(~F.col("payload_digest").eqNullSafe(F.col("held_digest")), _failing("wrong digest"))
+        .when(~F.col("payload_bytes").eqNullSafe(F.col("held_bytes")), _failing("wrong payload length"))
+        .when(~F.col("block_bytes").eqNullSafe(block), _failing("wrong block length"))
+        .otherwise(F.col("held_digest"))
     )
-    return (
-        records(spark, path)
-        .join(held, "address")
-        .select(
-            "page_id",
-            "payload_bytes",
-            F.col("held").alias("payload_digest"),
-            "record_type",
-            "refers_to",
-            (F.col("held") == F.col("payload_digest")).alias("digest_agrees"),
-        )
+    return listed.join(facts, "address", "left").select(
+        "page_id", F.col("held_bytes").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to"
     )

@@ -6,6 +6,7 @@ from hashlib import sha1
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeward.llm import warc
 from lakeward.llm.line_dedup import PARAGRAPH, remove_repeated_units
@@ -40,7 +41,7 @@ def test_archive_round_trip(spark, least):
         first = smallest.get(html or "")
         again = len(data) >= least and first is not None and page_id != first
         digest = base64.b32encode(sha1(data).digest()).decode()
-        expected.append((page_id, len(data), digest, "revisit" if again else "response", first if again else None, True))
+        expected.append((page_id, len(data), digest, "revisit" if again else "response", first if again else None))
     assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in warc.read_back(spark, path).collect())
     whole = warc.reconstruct(spark, path).collect()
     assert sorted(bytes(r.payload) for r in whole) == sorted((h or "").encode() for _, _, h in rows)
@@ -61,6 +62,37 @@ def test_damage_is_found_and_empty_archive(spark):
     assert warc.read_back(spark, archive(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "pattern, text, message",
+    [
+        ("sha1:.", "sha1:1", "wrong digest"),
+        ("Content-Length: 4", "Content-Length: 5", "wrong payload length"),
+        (r"(msgtype=response\r\nContent-Length: )\d+", "$12", "wrong block length"),
+    ],
+)
+@pytest.mark.parametrize("page_id", [1, 2])
+def test_headers_that_disagree_with_what_is_held_fail(spark, pattern, text, message, page_id):
+    path = archive(spark, [(1, "u", "text"), (2, "v", "text")])
+    record = f"decode(header, 'UTF-8') like '%Record-ID: <urn:page:{page_id}>%'"
+    changed = spark.read.parquet(f"{path}/records").withColumn("_text", F.decode("header", "UTF-8"))
+    changed = changed.withColumn("header", F.when(F.expr(record), F.encode(F.regexp_replace("_text", pattern, text), "UTF-8")).otherwise(F.col("header")))
+    other = f"{path}-{uuid4().hex}"
+    changed.drop("_text").write.parquet(f"{other}/records")
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{other}/payloads")
+    with pytest.raises(Exception, match=message):
+        warc.read_back(spark, other).collect()
+
+
+def test_missing_payload_fails(spark):
+    path = archive(spark, [(1, "u", "text"), (2, "v", "other")])
+    other = f"{path}-{uuid4().hex}"
+    spark.read.parquet(f"{path}/payloads").where("payload <> encode('other', 'UTF-8')").write.parquet(f"{other}/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{other}/records")
+    for read in (warc.read_back, warc.reconstruct):
+        with pytest.raises(Exception, match="no payload of page 2"):
+            read(spark, other).collect()
+
+
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
