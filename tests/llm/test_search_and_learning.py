@@ -170,6 +170,57 @@ def test_language_held_out_accuracy(spark):
     assert sum(r.rejected for r in found.collect()) < 0.02 * docs.count()
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_texts_of_a_language_never_learned_are_rejected(spark, left_out):
+    docs = read(spark, "/root/testdata/sf0.01", "documents").where("lang is not null and text is not null")
+    learned = docs.withColumn("lang", F.when(F.col("lang") != left_out, F.col("lang")))
+    found = language_id.identify(docs.select("doc_id", "text"), learned).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    unknown = [r.rejected for r in found if r.lang == left_out]
+    known = [r.rejected for r in found if r.lang != left_out]
+    assert np.mean(unknown) > 0.9 and np.mean(known) < 0.02
+
+
+def test_junk_is_rejected_and_a_text_of_two_learned_languages_is_not(spark):
+    rows = read(spark, "/root/testdata/sf0.01", "documents").where("length(text) > 1500").select("doc_id", "text", "lang").collect()
+    rows.sort(key=lambda r: r.doc_id)
+    model = language_id.train([(r.text, r.lang) for r in rows[:400]])
+    rng = random.Random(3)
+    typed = ["asdf qwer zxcv jkl poiu mnbv wert yuio", "日本語の文章はここにあります。", "Это русский текст, который не был выучен."]
+    assert all(model.predict(text)[1] < 0.5 for text in typed)
+    # Short words often stay what they were: some nine in a hundred such texts pass.
+    junk = [" ".join("".join(rng.sample(w, len(w))) for w in r.text.split()) for r in rows[400:440]]
+    assert np.mean([model.predict(text)[1] < 0.5 for text in junk]) > 0.85
+    pairs = [(a.text, b.text) for a, b in zip(rows[400:440], rows[440:480]) if a.lang != b.lang]
+    assert pairs and np.mean([model.predict(f"{a} {b}")[1] >= 0.5 for a, b in pairs]) > 0.9
+
+
+def test_lead_is_the_mean_over_spans_and_the_language_that_of_the_whole_text():
+    rng = np.random.default_rng(5)
+    model = language_id.Model(["a", "b", "c"], rng.normal(size=(language_id.BUCKETS, 3)).astype(np.float32), np.array([0.1, 0.0, -0.1], np.float32))
+    for size in (2, 3, 4, 50, 1_199, 1_200, 90_001):
+        word = "".join(rng.choice(list("abcdefgh"), size=size - 2)) if size > 2 else ""
+        codes = np.frombuffer(f" {word} ".encode("utf-32-le"), np.uint32)
+        buckets = language_id.features(word)
+        best, lead = model.judge(buckets) if len(buckets) else (0, 0.0)
+        if not len(buckets):
+            continue
+        whole = model.table[buckets].astype(float).mean(axis=0) + model.bias
+        assert best == whole.argmax()
+        spans = max(1, len(codes) // language_id.SPAN)
+        if spans == 1:
+            top = np.sort(whole)[::-1]
+            assert lead == pytest.approx(top[0] - top[1])
+        else:
+            leads, sizes = [], [len(codes) - n + 1 for n in (2, 3, 4)]
+            assert sum(sizes) == len(buckets)
+            for i in range(spans):
+                low, high = len(codes) * i // spans, len(codes) * (i + 1) // spans
+                chosen = [buckets[sum(sizes[:k]) + low : sum(sizes[:k]) + min(high, sizes[k])] for k in range(3)]
+                top = np.sort(model.table[np.concatenate(chosen)].astype(float).mean(axis=0) + model.bias)[::-1]
+                leads.append(top[0] - top[1])
+            assert lead == pytest.approx(np.mean(leads))
+
+
 def test_language_odd_rows(spark):
     rows = [(i, t, lang, 0.5) for i, (t, lang) in enumerate([("the house of the man", "aa"), ("das haus der frau", "bb")] * 20)]
     rows += [(100, None, "aa", None), (101, "", None, None), (102, "12 %% 3", None, 1.0), (None, "the man", None, None), (7, rows[7][1], "bb", 0.5),
@@ -183,6 +234,8 @@ def test_language_odd_rows(spark):
     assert by[103].lang_pred == "bb" and by[None].lang_pred == "aa" and by[104].lang_pred in ("aa", "bb")
     nothing = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r.lang_pred, r.score, r.rejected) for r in nothing} == {("und", 0.0, True)}
+    single = language_id.identify(docs.withColumn("lang", F.lit("aa"))).where("text rlike '[a-z]'").collect()
+    assert {(r.lang_pred, r.score, r.rejected) for r in single} == {("aa", 0.5, False)}
     assert language_id.identify(docs.limit(0)).count() == 0
 
 
