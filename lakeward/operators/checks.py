@@ -33,14 +33,15 @@ def distinct_batches(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def batch_consistency(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of batches per table; a table that is empty still has its row."""
-    counts = [
-        df.agg(F.count_distinct("batch_id").alias("batch_count")).select(
-            F.lit(name).alias("table_name"), "batch_count", (F.col("batch_count") == 1).alias("passed")
-        )
-        for name, df in tables.items()
-    ]
-    return union_by_name(counts)
+    """Number of batches per table; a table that is empty still has its row.
+
+    One pass over all tables: their batch ids become distinct map-side, and only those are shuffled.
+    """
+    held = distinct_batches(tables)
+    names = F.explode(F.array(*map(F.lit, tables))).alias("table_name")
+    listed = held.sparkSession.range(1).select(names, F.lit(None).cast("string").alias("batch_id"))
+    counted = held.unionByName(listed).groupBy("table_name").agg(F.count("batch_id").alias("batch_count"))
+    return counted.withColumn("passed", F.col("batch_count") == 1)
 
 
 def lineage_layers(layers: Mapping[str, DataFrame]) -> DataFrame:

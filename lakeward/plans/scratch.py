@@ -28,6 +28,21 @@ def scratch_root(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def scratch_database(spark: SparkSession, label: str) -> str:
+    """A new catalog database whose tables lie in a scratch folder; dropped when the driver ends."""
+    name = f"lakeward_{label}_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_root(spark, label)}'")
+    atexit.register(_forget_database, spark, name)
+    return name
+
+
+def _forget_database(spark: SparkSession, name: str) -> None:
+    try:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    except Exception:  # the session is gone, and with it a catalog that it alone held
+        pass
+
+
 def _forget(spark: SparkSession, folder: str) -> None:
     """Delete a folder when the driver ends, if its session can still be reached."""
     try:

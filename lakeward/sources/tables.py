@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +51,16 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def saved_tables(tables: Mapping[str, DataFrame], database: str, partition_by: Sequence[str] = ("batch_id",)) -> dict[str, DataFrame]:
+    """Save frames as catalog tables of ``database`` and read them back by name.
+
+    Partitioned by batch, a join to the current batch prunes their scans at run time.
+    """
+    for name, df in tables.items():
+        write_table(df, f"{database}.{name}", partition_by=partition_by)
+    return {name: df.sparkSession.read.table(f"{database}.{name}") for name, df in tables.items()}
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to an audit or event table kept as files."""
     df.write.mode("append").parquet(path)

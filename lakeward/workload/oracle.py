@@ -353,6 +353,11 @@ def _results() -> dict[str, str]:
  count({last}) FILTER (source_format = 'json') AS with_last, count({ward}) AS with_ward,
  count(DISTINCT concat_ws('|', CAST({first} AS VARCHAR), {ward})) AS pairs FROM raw_{d.feed}""")
     q["schema_evolution_union"] = q["stream_ingest_evolved"] = _union(evolved)
+    q["stream_restarted"] = _union(
+        f"""SELECT '{d.name}' AS dataset_name, source_format, count(*) AS rows, count({d.columns[0]}) AS with_first,
+ count(DISTINCT CAST(({", ".join(d.columns)}) AS VARCHAR)) AS different_rows, 'true' AS died FROM keyed_{d.feed} GROUP BY source_format"""
+        for d in DATASETS
+    )
     q["ingest_json_deep"] = _union(
         f"""SELECT '{d.name}' AS dataset_name, layout, CAST(CAST('0x' || substr(md5(row_key), 1, 4) AS BIGINT) % 12 + 1 AS INT) AS depth,
  count(*) AS rows, count(service) AS with_service, CAST(0 AS BIGINT) AS unread
@@ -480,6 +485,7 @@ def _results() -> dict[str, str]:
     q["batch_close"] = (
         show("state", state) + " WHERE batch_id NOT IN (SELECT batch_id FROM current) UNION ALL BY NAME " + closed
     )
+    q["batch_close_catalog"] = q["batch_close"]
     q["batch_log"] = f"""SELECT batch_id, pipeline_name, start_time, coalesce(end_time, {moment}) AS end_time,
  CASE status WHEN 'RUNNING' THEN 'FAILED' ELSE status END AS status, source_files, processed_records FROM ({q["batch_close"]})
  UNION ALL SELECT '20260107000000', 'hospital_feeds', {moment}, NULL, 'RUNNING', 0, 0"""

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DateType, TimestampNTZType, TimestampType
 
@@ -19,12 +20,12 @@ from lakeward.operators import rules as R
 from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
 from lakeward.plans.refresh import current_tables, refresh, side_by_side, store_layers, stored
-from lakeward.plans.scratch import scratch_root
+from lakeward.plans.scratch import scratch_database, scratch_root
 from lakeward.schemas import FILE_MONITORING_AUDIT
 from lakeward.sources.batch_log import BatchLog
 from lakeward.sources.landing import csv_rows, json_rows, read_landing, tag_source
 from lakeward.sources.listing import landed_files, listed_folders
-from lakeward.sources.tables import append_run, preview
+from lakeward.sources.tables import append_run, preview, saved_tables
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
 from lakeward.workload import feeds
 from lakeward.workload.feeds import AS_OF, RUN_TS
@@ -172,6 +173,46 @@ def _stream_ingest(d: Dataset) -> Query:
     return query
 
 
+def _restarted(s: Session, d: Dataset) -> tuple[DataFrame, bool]:
+    """A bronze table that took one delivery, died while it wrote the next, and was started again; and whether it did die.
+
+    The run that dies has planned its micro-batch, and fails in its tasks before any of it is committed.
+    """
+    rows = feeds.clean_text_feed(s.spark, s.sf_dir, d)
+    later = (F.col("source_format") == "csv") & (F.pmod(F.xxhash64("row_key"), F.lit(2)) == 1)
+    paths, root = feeds.land(rows.filter(~later), d.columns, scratch_root(s.spark, "landing"), d.feed), scratch_root(s.spark, "bronze")
+
+    def run(column: str, value: Column) -> None:
+        # Each run starts with a stream of its own, as a new driver would.
+        stream = bronze_stream(s.spark, d, BATCH_ID, RUN_TS, **paths).withColumn(column, value)
+        ingest_available(stream, f"{root}/bronze", f"{root}/checkpoint")
+
+    whole = ("pipeline_stage", F.col("pipeline_stage"))
+    run(*whole)
+    feeds.write_csv(rows.filter(later).select(*d.columns), paths["csv_path"], "append")
+    dies = F.when(F.pmod(F.xxhash64("record_hash"), F.lit(2)) == 0, F.raise_error(F.lit("executor lost")).cast("string"))
+    died = False
+    try:
+        run("pipeline_stage", F.coalesce(dies, "pipeline_stage"))
+    except StreamingQueryException as failure:
+        if "executor lost" not in str(failure):
+            raise
+        died = True
+    run(*whole)
+    return s.spark.read.schema(bronze_stream(s.spark, d, BATCH_ID, RUN_TS, **paths).schema).parquet(f"{root}/bronze"), died
+
+
+def _stream_restarted(s: Session) -> DataFrame:
+    """Per feed and source format: rows and different rows after a stream died and was restarted."""
+    counted = []
+    for d in DATASETS:
+        text = F.to_json(F.struct(*[F.col(c).cast("string") for c in d.columns]), {"ignoreNullFields": "false"})
+        counts = [F.count(F.lit(1)).alias("rows"), F.count(d.columns[0]).alias("with_first"), F.count_distinct(text).alias("different_rows")]
+        table, died = _restarted(s, d)
+        counted.append(table.groupBy("source_format").agg(*counts).select(F.lit(d.name).alias("dataset_name"), "*", F.lit(died).alias("died")))
+    return quality.union_by_name(counted)
+
+
 def _project_declared_schema(spark, sf_dir):
     """A file without the ``present`` column and with some unreadable weeks."""
     rows = feeds.raw_feed(spark, sf_dir, STAFF_SCHEDULE)
@@ -420,6 +461,14 @@ def _batch_close(s: Session) -> DataFrame:
     return batches.batch_state(events.unionByName(closing))
 
 
+def _batch_close_catalog(s: Session) -> DataFrame:
+    """As ``batch_close``, over catalog tables read by name, of which only the current batch's partitions are read."""
+    bronze = saved_tables({d.bronze_table: s.bronze(d) for d in DATASETS}, scratch_database(s.spark, "bronze"))
+    events = s.events()
+    closing = batches.close_events(batches.batch_state(events), bronze, batches.COMPLETED, RUN_TS)
+    return batches.batch_state(events.unionByName(closing))
+
+
 def _batch_log(s: Session) -> DataFrame:
     """The control table kept as files: the given events, a close with totals and a new batch, read back."""
     log = BatchLog(s.spark, scratch_root(s.spark, "batch-log"))
@@ -525,6 +574,7 @@ def _build() -> dict[str, Query]:
         "project_declared_schema": _project_declared_schema,
         "schema_evolution_union": _schema_evolution(_read_evolved),
         "stream_ingest_evolved": _schema_evolution(_stream_evolved),
+        "stream_restarted": _of(_stream_restarted),
         "ingest_json_deep": _ingest_json_deep,
         "rescued_data": _rescued_data,
         "serialization_errors": _serialization_errors,
@@ -551,6 +601,7 @@ def _build() -> dict[str, Query]:
         ),
         "batch_open": _of(_batch_open),
         "batch_close": _of(_batch_close),
+        "batch_close_catalog": _of(_batch_close_catalog),
         "batch_fail": _of(_batch_fail),
         "batch_log": _of(_batch_log),
         "batch_state": _of(Session.state),

@@ -10,6 +10,7 @@ from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDUL
 from lakeward.functions.sql_functions import register_range_average
 from lakeward.operators import alerts, arrivals, batches, checks, gold, kpis
 from lakeward.plans.refresh import current_tables, refresh
+from lakeward.plans.scratch import scratch_database
 from lakeward.sources import files, tables
 
 
@@ -284,3 +285,27 @@ def test_range_average(spark):
     assert [r.a for r in rows_] == [40.0, 55.0]
     with pytest.raises(ValueError):
         register_range_average(spark, "f; drop", trips, "fare", "distance")
+
+
+def test_batches_are_counted_in_one_pass(spark, tmp_path):
+    schema = "batch_id string, n int"
+    held = {"two": [("b1", 1), ("b2", 1), ("b2", 2)], "one": [("b1", 1), ("b1", 2)], "none": [], "unknown": [(None, 1)]}
+    frames = {}
+    for name, data in held.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.schema(schema).parquet(str(tmp_path / name))
+    result = checks.batch_consistency(frames)
+    found = {r.table_name: (r.batch_count, r.passed) for r in result.collect()}
+    assert found == {"two": (2, False), "one": (1, True), "none": (0, False), "unknown": (0, False)}
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan") == len(held) and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_closing_over_catalog_tables_reads_the_current_batch_only(spark):
+    events = spark.createDataFrame([event("20260105000000", "RUNNING", at(1))], schemas.BATCH_EVENTS)
+    bronze = rows(spark, STAFF, [{}, {"file_path": "/landing/g.csv"}, {"batch_id": "20250101000000"}])
+    saved = tables.saved_tables({"bronze_staff": bronze}, scratch_database(spark, "test"))
+    closing = batches.close_events(batches.batch_state(events), saved, batches.COMPLETED, RUN_TS)
+    assert [(r.batch_id, r.source_files, r.processed_records) for r in closing.collect()] == [("20260105000000", 2, 2)]
+    scan = next(line for line in closing._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line and "bronze_staff" in line)
+    assert "dynamicpruning" in scan

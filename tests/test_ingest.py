@@ -2,8 +2,10 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import RUN_TS
 from lakeward import schemas
@@ -17,6 +19,7 @@ from lakeward.sources.json_objects import objects_of
 from lakeward.sources.landing import read_landing
 from lakeward.sources.listing import landed_files
 from lakeward.streaming.ingest import bronze_stream, content_columns, ingest_available
+from lakeward.workload import feeds, registry
 
 BATCH = "20260107000000"
 
@@ -279,3 +282,15 @@ def test_csv_folder_may_be_empty_at_first(spark, tmp_path):
     assert rows.columns[: len(STAFF.columns)] == list(STAFF.columns)
     (tmp_path / "a.csv").write_text(",".join(STAFF.columns) + "\n")
     assert list(files_by_header(spark, str(tmp_path))) == [tuple(STAFF.columns)]
+
+
+def test_a_run_that_died_is_done_again_and_only_that(spark):
+    session = registry.Session(spark, "/root/testdata/sf0.001")
+    table, died = registry._restarted(session, STAFF_SCHEDULE)
+    landed = feeds.clean_text_feed(spark, session.sf_dir, STAFF_SCHEDULE)
+    columns = [F.col(c).cast("string") for c in STAFF_SCHEDULE.columns]
+    assert died and sorted(map(str, table.select(*columns).collect())) == sorted(map(str, landed.select(*STAFF_SCHEDULE.columns).collect()))
+    # The first delivery and the second; the batch that died kept its number.
+    checkpoint = Path(table.inputFiles()[0].removeprefix("file://").partition("/bronze/")[0]) / "checkpoint"
+    for kind in ("offsets", "commits"):
+        assert {p.name for p in (checkpoint / kind).iterdir() if p.name.isdigit()} == {"0", "1"}
