@@ -27,6 +27,8 @@ LEAST_SPREAD = 64
 
 _BLOCK = "block bigint, dim int, ids binary, vectors binary"
 _LOWEST = np.iinfo(np.int64).min
+# Scores are refused from here on, a little below what 64 bits hold, as they are estimated in doubles.
+_LARGEST = 2.0**63 * (1 - 1e-9)
 
 
 class Node:
@@ -117,6 +119,8 @@ class Search:
         own = (self.vectors if whole else self.exact)[queries]
         for at in range(0, len(points), 4096):
             part = points[at : at + 4096]
+            if not whole and (np.abs(self.vectors[queries] @ data[part].astype(np.float64).T) >= _LARGEST).any():
+                raise OverflowError("a score does not fit into 64 bits")
             scores = (own @ data[part].T).astype(np.int64)
             hits = (scores >= self.worst[queries, None]) & (ids[part] != self.ids[queries, None])
             for row in np.flatnonzero(hits.any(axis=1)):

@@ -266,3 +266,14 @@ def test_top_k_equals_brute_force(spark, monkeypatch, k):
     result = topk.top_k(table, F.col("vec_id") % 10 == 0, k)
     assert sorted(tuple(r) for r in result.collect()) == brute_top(rows, lambda i: i % 10 == 0, k)
     assert topk.top_k(table.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_top_k_refuses_scores_beyond_64_bits(spark):
+    def found(x):
+        rows = [(i, [x] * 64) for i in range(4)]
+        vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        return topk.top_k(vectors, F.col("vec_id") == 0).collect()
+
+    assert [r.score for r in found(2.0**18)] == [64 * 2**56] * 3
+    with pytest.raises(Exception, match="does not fit into 64 bits"):
+        found(3e15)
