@@ -1,19 +1,28 @@
 """Phrase collocations by direct-address tiling of pairs of frequency-ranked ids.
 
-Texts are cut into pieces and words, and stored once as blocks of id streams per language. Level by
-level, a block's distinct symbols (words, then frequent pairs, then frequent triples) are counted
-over all blocks; the frequent ones are ranked by frequency, and the blocks that hold them learn
-their ranks. Neighbouring ranks of a stream fall into tiles of TILE x TILE pairs: a tile that a
-block fills well is counted by one bincount over its addresses, what lies in thin tiles by sorting.
-Two neighbouring frequent pairs are a triple, so the pairs' ranks are the next level's symbols.
-
-A phrase is only counted where both its ends are frequent; nothing but counts, ranks and the
-streams, four bytes a word, is shuffled, and no vocabulary is held by one task or the driver.
+Texts are cut into pieces and words, and stored once as blocks of id streams per language. A block's
+distinct words are counted over all blocks; the frequent ones are ranked by frequency, and the blocks
+that hold them learn their ranks. Neighbouring ranks of a stream fall into tiles of TILE x TILE pairs: a
+tile that a block fills well is counted by one bincount over its addresses, what lies in thin tiles by
+sorting. Longer phrases are rows of a block's pairs, counted the same way.
+
+Only a language's best phrases are wanted, so a floor of their score spares most longer ones. Let a phrase
+of count a reach the floor s (as a share: a / (l + r) >= s at every cut). Cut after its first word, r >= a, so
+its first word is at most a * (1 - s) / s times there, and so for its last word. The pair at either end, which
+stands there a times or more, thus has at least s / (1 - s) of its outer word's occurrences; and what a
+longer phrase needs to cover one that reaches the floor is COVERED_PERCENT of that, of the word it adds to.
+Pairs with so large a share of their rarer word are useful; a phrase is counted if its first and its last pair are, or
+if a longer one needs its count. Every counted phrase is counted in all texts. The floor is guessed from the
+scores of pairs and verified: a language with too few phrases above it is done again with a lower one, at last with none.
+
+Nothing but counts, ranks and the streams, four bytes a word, is shuffled, and no vocabulary is held by
+one task or the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +40,8 @@ PER_LANGUAGE = 2000
 # A phrase goes if a longer one that holds it has at least so many of 100 of its occurrences.
 COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
+# The first floor is the score of the pair at so many times the wanted number, then of a later one, then none.
+FLOOR_PAIRS = (1.5, 6, None)
 NO_LANGUAGE = "und"
 
 # Words per block of a language, and of all that a task holds; a block ends with a document.
@@ -49,7 +60,7 @@ _BYTES = bytes.maketrans(
 )
 
 _WORDS = "block bigint, lang string, words array<string>, counts array<bigint>, stream binary"
-_PAIRS = "block bigint, lang string, lefts array<bigint>, rights array<bigint>, counts array<bigint>, stream binary"
+_PAIRS = "lefts array<bigint>, rights array<bigint>, counts array<bigint>, stream binary"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -191,8 +202,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             after[at] = place + 1
             arrays = [pa.array([a], pa.list_(pa.int64())) for a in (lefts, rights, counts)]
             yield pa.RecordBatch.from_arrays(
-                [batch["block"].slice(i, 1), batch["lang"].slice(i, 1), *arrays, _packed(after)],
-                [f.split()[0] for f in _PAIRS.split(", ")],
+                [*arrays, _packed(after)], [f.split()[0] for f in _PAIRS.split(", ")]
             )
 
 
@@ -209,26 +219,63 @@ def _ranked(frequent: DataFrame, label: str) -> DataFrame:
     return staged(placed.join(F.broadcast(starts), "_part").withColumn("rank", rank).drop("_at", "_part", "_start"), label)
 
 
-def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def _ranks(length: int, first: int = 1) -> list[str]:
+    """The columns that hold the ranks of a phrase's words."""
+    return [f"w{i}" for i in range(first, first + length)]
+
+
+def _slot(*ranks: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)).view(np.int64)
+        h = ranks[0].astype(np.uint64)
+        for rank in ranks[1:]:
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + rank.astype(np.uint64))
+    return h.view(np.int64)
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(_slot(batch["left"].to_numpy(), batch["right"].to_numpy()))], ["slot"])
+        yield pa.RecordBatch.from_arrays([pa.array(_slot(*(c.to_numpy() for c in batch.columns)))], ["slot"])
+
 
+def _filter(phrases: DataFrame) -> np.ndarray:
+    """A filter of phrases given as ranks. It only spares rows: what it lets through wrongly is counted in all texts too."""
+    return filter_of(phrases.mapInArrow(_slots, "slot bigint"), "slot", phrases.count())
 
-def _asked(bits: np.ndarray):
-    """The blocks' pairs that the filter lets through."""
+
+def _phrases(length: int, useful: np.ndarray, frequent: np.ndarray, wanted: np.ndarray | None):
+    """Blocks of pairs to counts of the phrases of ``length`` words whose first and last pair are useful, or that are wanted."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 left, right = (batch[c][i].values.to_numpy() for c in ("lefts", "rights"))
-                hit = np.flatnonzero(in_filter(bits, _slot(left, right)))
-                columns = [np.full(len(hit), batch["block"][i].as_py(), np.int64), (hit + 1).astype(np.int32), left[hit], right[hit]]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["block", "place", "left", "right"])
+                stream = _unpacked(batch["stream"][i].as_py())
+                slots = _slot(left, right)
+                # 0 in the stream is no pair.
+                outer, inner = (np.concatenate([[False], in_filter(bits, slots)])[stream] for bits in (useful, frequent))
+                n = len(stream) - (length - 2)
+                if n < 1:
+                    continue
+                whole = inner[:n].copy()
+                for k in range(1, length - 1):
+                    whole &= inner[k : k + n]
+                at = np.flatnonzero(whole)
+                hit = outer[at] & outer[at + length - 2]
+                if wanted is not None:
+                    rest = at[~hit]
+                    words = [left[stream[rest] - 1], *(right[stream[rest + k] - 1] for k in range(length - 1))]
+                    hit[~hit] = in_filter(wanted, _slot(*words))
+                at = at[hit]
+                if not len(at):
+                    continue
+                place = stream[at].astype(np.int64)
+                for k in range(1, length - 1):
+                    *_, counts, place = tiled_pairs(place, stream[at + k].astype(np.int64))
+                # Any occurrence of each phrase names its words.
+                one = np.empty(len(counts), np.int64)
+                one[place] = at
+                words = [left[stream[one] - 1], *(right[stream[one + k] - 1] for k in range(length - 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*words, counts)], [*_ranks(length), "counts"])
 
     return mapped
 
@@ -243,39 +290,63 @@ def _told(blocks: DataFrame, asked: DataFrame, table: DataFrame, keys: list[str]
     return blocks.select("block", "lang", "stream").join(known, "block")
 
 
-def _symbols(blocks: DataFrame, names: list[str]) -> DataFrame:
-    """One row per block and distinct symbol; ``place`` is its number in the stream, from 1."""
-    each = F.posexplode(F.arrays_zip(*names, "counts")).alias("place", "s")
-    out = blocks.select("block", "lang", each)
-    singular = {"words": "phrase", "lefts": "left", "rights": "right"}
-    return out.select("block", "lang", (F.col("place") + 1).alias("place"), *(F.col(f"s.{n}").alias(singular[n]) for n in names), "s.counts")
+def _symbols(blocks: DataFrame) -> DataFrame:
+    """One row per block and distinct word; ``place`` is its number in the stream, from 1."""
+    each = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "s")
+    return blocks.select("block", "lang", each).select("block", "lang", (F.col("place") + 1).alias("place"), F.col("s.words").alias("phrase"), "s.counts")
 
 
-def _phrase_pairs(counted: DataFrame, table: DataFrame) -> DataFrame:
-    """Frequent pairs of ranks as phrases of one word more: counts of all their beginnings and ends, longest last."""
-    x = table.select(F.col("rank").alias("left"), "lang", F.col("phrase").alias("_x"), F.col("firsts").alias("_firsts"))
-    y = table.select(F.col("rank").alias("right"), F.col("phrase").alias("_y"), F.col("lasts").alias("_lasts"))
-    own = F.array("f")
-    return counted.join(x, "left").join(y, "right").select(
-        "lang", "left", "right", "f",
-        F.concat("_x", F.lit(" "), F.substring_index("_y", " ", -1)).alias("phrase"),
-        F.concat("_firsts", own).alias("firsts"), F.concat("_lasts", own).alias("lasts"),
-    )
+def _frequent(counts: DataFrame, length: int, least: int) -> DataFrame:
+    return counts.groupBy(*_ranks(length)).agg(F.sum("counts").alias("f")).where(F.col("f") >= least)
+
+
+def _parts(table: DataFrame, length: int, *columns: str) -> DataFrame:
+    """The beginnings and the ends of phrases, one word shorter than they are."""
+    ends = [F.col(w).alias(k) for w, k in zip(_ranks(length - 1, 2), _ranks(length - 1))]
+    return table.select(*_ranks(length - 1), *columns).unionByName(table.select(*ends, *columns))
 
 
 def _decimal(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("decimal(20,0)")
 
 
-def _scored(phrases: DataFrame, length: int) -> DataFrame:
-    """a, l, r and score of the lowest-scoring cut. Decimals hold what 64 bits cannot."""
+def _phrased(counted: DataFrame, table: DataFrame, length: int) -> DataFrame:
+    """Counted phrases with their words, the counts of all their beginnings and ends, longest last, and the
+    lowest-scoring cut; ``table`` has the phrases of one word less. Decimals hold what 64 bits cannot."""
+    shorter, later = _ranks(length - 1), _ranks(length - 1, 2)
+    x = table.select(*shorter, "lang", F.col("phrase").alias("_x"), F.col("firsts").alias("_firsts"))
+    y = table.select(*(F.col(w).alias(k) for w, k in zip(shorter, later)), F.col("phrase").alias("_y"), F.col("lasts").alias("_lasts"))
     cuts = []
     for k in range(1, length):
-        left, right = F.col("firsts")[k - 1], F.col("lasts")[length - k - 1]
+        left, right = F.col("_firsts")[k - 1], F.col("_lasts")[length - k - 1]
         whole = _decimal("f") * F.lit(SCORE_SCALE).cast("decimal(10,0)")
         score = F.call_function("div", whole, _decimal(left) + _decimal(right))
         cuts.append(F.struct(score.alias("score"), F.lit(k).alias("k"), left.alias("l"), right.alias("r")))
-    return phrases.withColumn("cut", F.array_min(F.array(*cuts))).select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
+    own = F.array("f")
+    return counted.join(x, shorter).join(y, later).select(
+        "lang", *_ranks(length), "f",
+        F.concat("_x", F.lit(" "), F.substring_index("_y", " ", -1)).alias("phrase"),
+        F.concat("_firsts", own).alias("firsts"), F.concat("_lasts", own).alias("lasts"),
+        F.array_min(F.array(*cuts)).alias("cut"),
+    )
+
+
+def _floors(pairs: DataFrame, number: int | None) -> DataFrame:
+    """lang and floor: the score of the pair at place ``number``; 0 if the language has fewer pairs."""
+    if number is None:
+        return pairs.select("lang", F.lit(0).cast("bigint").alias("floor")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score")))
+    first = pairs.select("lang", F.col("cut.score").alias("score")).withColumn("_place", place).where(F.col("_place") <= number)
+    floor = F.when(F.count(F.lit(1)) < number, 0).otherwise(F.min("score"))
+    return first.groupBy("lang").agg(floor.alias("floor"))
+
+
+def _useful(pairs: DataFrame, floors: DataFrame) -> DataFrame:
+    """The pairs that may begin or end a phrase above its language's floor, or one that covers such a phrase."""
+    rarer = F.least(F.col("firsts")[0], F.col("lasts")[0]).cast("double")
+    share = F.col("floor") / (SCORE_SCALE - F.col("floor")) * (COVERED_PERCENT / 100)
+    # Slightly less than that, for rounding: a pair too many is only counted in vain.
+    return pairs.join(floors, "lang").where(F.col("f").cast("double") >= rarer * share * (1 - 1e-9)).select("w1", "w2")
 
 
 def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -291,36 +362,49 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
     """
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text").where("text is not null")
     blocks = staged(texts.mapInArrow(_streams, _WORDS), "words")
-    symbols = _symbols(blocks, ["words"])
-    total = F.sum("counts").alias("f")
-    words = symbols.groupBy("lang", "phrase").agg(total)
+    symbols = _symbols(blocks)
+    words = symbols.groupBy("lang", "phrase").agg(F.sum("counts").alias("f"))
     sizes = staged(symbols.groupBy("lang").agg(F.sum("counts").alias("n")), "sizes")
     frequent = words.where(F.col("f") >= least).withColumns({"firsts": F.array("f"), "lasts": F.array("f")})
-    table = _ranked(frequent, "ranks")
-    asked, keys, found = symbols, ["lang", "phrase"], []
-    for length in range(2, LONGEST + 1):
-        longer_blocks = staged(_told(blocks, asked, table, keys).mapInArrow(_pairs, _PAIRS), "pairs")
-        discard(blocks)
-        blocks, keys = longer_blocks, ["left", "right"]
-        counted = _symbols(blocks, ["lefts", "rights"]).groupBy(*keys).agg(total).where(F.col("f") >= least)
-        longer = _phrase_pairs(counted, table)
-        longer = _ranked(longer, "ranks") if length < LONGEST else staged(longer, "ranks")
-        if length > 2:
-            # Words inside a longer phrase are inside one longer by a word that is no rarer.
-            ends = longer.select(F.col("left").alias("rank"), "f").unionByName(longer.select(F.col("right").alias("rank"), "f"))
-            over = ends.groupBy("rank").agg(F.max("f").alias("over"))
-            covered = _decimal("over") * 100 >= _decimal("f") * COVERED_PERCENT
-            left = table.join(over, "rank", "left").where(~F.coalesce(covered, F.lit(False)))
-            found.append(_scored(left, length - 1))
-        if length < LONGEST:
-            # The filter only spares rows: what it lets through wrongly finds no rank.
-            bits = filter_of(longer.select(*keys).mapInArrow(_slots, "slot bigint"), "slot", longer.count())
-            pairs = blocks.select("block", "lefts", "rights")
-            asked = pairs.mapInArrow(_asked(bits), "block bigint, place int, left bigint, right bigint")
-        table = longer
+    ranked = _ranked(frequent, "ranks")
+    streams = staged(_told(blocks, symbols, ranked, ["lang", "phrase"]).mapInArrow(_pairs, _PAIRS), "pairs")
     discard(blocks)
-    found.append(_scored(table, LONGEST))
-    scored = found[0].unionByName(found[1]).unionByName(found[2])
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = scored.withColumn("rank", place).where(F.col("rank") <= per_language)
-    return best.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    each = streams.select(F.explode(F.arrays_zip("lefts", "rights", "counts")).alias("s"))
+    counts = each.select(F.col("s.lefts").alias("w1"), F.col("s.rights").alias("w2"), "s.counts")
+    pairs = staged(_phrased(_frequent(counts, 2, least), ranked.withColumnRenamed("rank", "w1"), 2), "phrases")
+    inner = _filter(pairs.select(*_ranks(2)))
+
+    done, wanted_langs = None, None
+    for times in FLOOR_PAIRS:
+        floors = _floors(pairs, None if times is None else int(times * per_language))
+        floors = staged(floors if wanted_langs is None else floors.join(wanted_langs, "lang"), "floors")
+        useful = _filter(staged(_useful(pairs, floors), "useful"))
+        longer, parts = {}, None
+        for length in range(LONGEST, 2, -1):
+            schema = ", ".join(f"{c} bigint" for c in (*_ranks(length), "counts"))
+            counts = streams.select("lefts", "rights", "stream").mapInArrow(_phrases(length, useful, inner, parts), schema)
+            longer[length] = staged(_frequent(counts, length, least), "counts")
+            parts = _filter(_parts(longer[length], length)) if length > 3 else None
+        table, found = pairs, []
+        for length in range(2, LONGEST + 1):
+            left = table
+            if length < LONGEST:
+                table = staged(_phrased(longer[length + 1], table, length + 1), "phrases")
+                # Words inside a longer phrase are inside one longer by a word that is no rarer.
+                over = _parts(table, length + 1, "f").groupBy(*_ranks(length)).agg(F.max("f").alias("over"))
+                covered = _decimal("over") * 100 >= _decimal("f") * COVERED_PERCENT
+                left = left.join(over, _ranks(length), "left").where(~F.coalesce(covered, F.lit(False)))
+            found.append(left.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score"))
+        # Below the floor not all phrases are counted.
+        scored = reduce(DataFrame.unionByName, found).join(floors, "lang").where("score >= floor").drop("floor")
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
+        best = staged(scored.withColumn("rank", place).where(F.col("rank") <= per_language), "best")
+        held = best.groupBy("lang").agg(F.count(F.lit(1)).alias("held"))
+        few = (F.col("floor") > 0) & (F.coalesce("held", F.lit(0)) < per_language)
+        wanted_langs = staged(floors.join(held, "lang", "left").where(few).select("lang"), "languages")
+        best = best.join(wanted_langs, "lang", "left_anti")
+        done = best if done is None else done.unionByName(best)
+        if wanted_langs.isEmpty():
+            break
+    discard(streams)
+    return done.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -112,6 +112,46 @@ def test_collocations_equal_brute_force(spark):
         assert collocations.collocations(empty).count() == 0
 
 
+def test_only_phrases_that_may_be_among_the_best_are_counted(spark, monkeypatch):
+    rng = random.Random(12)
+    frequent = [f"w{n}" for n in range(12)]
+    rows = [("en", " ".join(rng.choices(frequent, k=200))) for _ in range(300)]
+    # As good as can be: they stand alone, and no longer phrase holds them.
+    rows += [("en", f"{rng.choice(frequent)} north{n} star{n} {rng.choice(frequent)}") for n in range(10) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    staged, sizes = collocations.staged, []
+
+    def watched(df, label):
+        out = staged(df, label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(collocations, "staged", watched)
+    result = collocations.collocations(docs, 5, 5)
+    assert sorted(tuple(r) for r in result.collect()) == brute_phrases(rows, 5, 5)
+    # 1,728 phrases of three of the 12 words are frequent.
+    assert max(sizes) < 500
+
+
+def test_languages_with_too_few_phrases_above_the_first_floor_are_done_again(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = []
+    # The best pairs are all covered: three and two triples by each phrase of four words.
+    for n in range(40):
+        words = [f"{c}{n}" for c in "abcd"]
+        rows += [("en", " ".join(words))] * (10 + n) + [("en", rng.choice(words)) for _ in range(rng.randrange(3 * n + 1))]
+    rows += [("de", text) for _, text in rows[:300]] + [("fr", "sur le pont " * 9), ("fr", "a b. " * 20)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    staged, labels = collocations.staged, []
+    monkeypatch.setattr(collocations, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    for tried, attempts in ((collocations.FLOOR_PAIRS, 2), ((1.1, 1.5, None), 3)):
+        monkeypatch.setattr(collocations, "FLOOR_PAIRS", tried)
+        labels.clear()
+        result = collocations.collocations(docs, 5, 20)
+        assert sorted(tuple(r) for r in result.collect()) == brute_phrases(rows, 5, 20)
+        assert labels.count("floors") == attempts
+
+
 @pytest.mark.parametrize("size, ranks", [(0, 5), (1, 5), (200_000, 700), (50_000, (1 << 40) - 1), (120_000, 1600)])
 def test_tiles_count_every_pair(size, ranks):
     rng = np.random.default_rng(size)
