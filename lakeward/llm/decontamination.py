@@ -5,7 +5,8 @@ a document's shingles are cut into overlapping windows of twice the size's upper
 that a passage as long as an item lies whole in a window of like size, however long
 the document is. Item and window then have a Jaccard similarity of about 0.2 or more, and
 share one of ``FUNCTIONS`` MinHash values but for one case in a million. A fixed-size filter of the items' values
-keeps all others from being written. Items met are compared with the document's whole set.
+keeps all others from being written. Items met are compared with the document's whole set. MinHash values are
+taken only of documents that have shingles enough in common with all items together.
 The whole sequence of an item of fewer than five words is its one shingle, found among a document's
 sequences of as many words.
 """
@@ -13,14 +14,25 @@ sequences of as many words.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
-from lakeward.llm.shingles import WORDS_PER_SHINGLE, block_minima, letter_words, minhash, mix, shingle_hashes
+from lakeward.llm.common import KEY, filter_of, in_filter, row_key, sliced, staged
+from lakeward.llm.shingles import (
+    WORDS_PER_SHINGLE,
+    block_minima,
+    hashes_of_runs,
+    letter_tokens,
+    letter_words,
+    minhash,
+    mix,
+    shingle_hashes,
+    word_hashes,
+)
 
 FUNCTIONS = 64
 CONTAINMENT = 0.8
@@ -28,6 +40,10 @@ CONTAINMENT = 0.8
 
 # Size classes of items of one to four words lie above those of shingle counts.
 SHORT = 64
+# Text whose words a task holds at once.
+BYTES_AT_ONCE = 1 << 21
+# Bits of the filter of the items' shingles for one of its values are some 16 times this.
+SHINGLE_BITS = 8
 
 
 def _width(words: list[str]) -> int:
@@ -59,37 +75,78 @@ def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def window_keys(words: list[str], sizes: Sequence[int]) -> Iterator[np.ndarray]:
-    """Keys of all windows of a document, for each size in use, in ascending order.
+def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each shingle in the filter of the items' shingles."""
+    return hashes.view(np.int64), mix(hashes).view(np.int64)
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = [np.zeros(0, np.uint64)]
+        for text in batch["text"].to_pylist():
+            held.append(shingle_hashes(letter_words(text or "")))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_probes(np.unique(np.concatenate(held)))))], ["value"])
+
+
+def window_keys(hashes: np.ndarray, sizes: Sequence[int]) -> Iterator[np.ndarray]:
+    """Keys of all windows of a document's shingles, for each size in use, in ascending order.
 
     Blocks double from one size to the next, so coarser minima are those of finer blocks merged.
     """
-    hashes = shingle_hashes(words)
     minima, block = None, 0
     for size in sizes:
-        if size > SHORT:
-            yield _keys(shingle_hashes(words, size - SHORT), size)
-        elif len(hashes):
-            if minima is None:
-                minima = block_minima(hashes, FUNCTIONS, 2 << size)
-            else:
-                minima = np.minimum.reduceat(minima, np.arange(0, len(minima), (2 << size) // block))
-            block = 2 << size
-            yield _keys(np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima, size)
-
-
-def _met(sizes: Sequence[int], items):
+        if minima is None:
+            minima = block_minima(hashes, FUNCTIONS, 2 << size)
+        else:
+            minima = np.minimum.reduceat(minima, np.arange(0, len(minima), (2 << size) // block))
+        block = 2 << size
+        yield _keys(np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima, size)
+
+
+def _distinct(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((values, rows))
+    rows, values = rows[order], values[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
+    return rows[new], values[new]
+
+
+def _met(sizes: Sequence[int], items, shingles, least: float):
+    """Documents and the items' keys they meet. What holds ``least`` of an item has that many of the items' shingles."""
+    short, windowed = [s for s in sizes if s > SHORT], [s for s in sizes if s < SHORT]
+
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, BYTES_AT_ONCE):
+            words = [letter_tokens(text or "") for text in batch["text"].to_pylist()]
+            bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+            row = np.repeat(np.arange(len(words)), np.diff(bounds))
+            hashes = word_hashes(chain.from_iterable(words), len(row))
             found, rows = [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                for keys in window_keys(letter_words(text or ""), sizes):
-                    keys = keys.ravel()
-                    hits = np.unique(keys[in_filter(items.value, keys)])
-                    if len(hits):
+            for size in short:
+                width = size - SHORT
+                keys = _keys(hashes_of_runs(hashes, width), size)
+                at = np.flatnonzero(in_filter(items.value, keys))
+                at = at[row[at] == row[at + width - 1]]
+                of, hits = _distinct(row[at], keys[at])
+                found.append(hits)
+                rows.append(of)
+            if windowed:
+                runs = hashes_of_runs(hashes, WORDS_PER_SHINGLE)
+                first, _ = _probes(runs)
+                at = np.flatnonzero(in_filter(shingles.value, first))
+                at = at[row[at] == row[at + WORDS_PER_SHINGLE - 1]]
+                _, second = _probes(runs[at])
+                at = at[in_filter(shingles.value, second)]
+                shared = np.bincount(_distinct(row[at], runs[at])[0], minlength=len(words))
+                own = np.diff(bounds) >= WORDS_PER_SHINGLE
+                for i in np.flatnonzero(own & (shared >= least * (1 << windowed[0]))).tolist():
+                    fit = [s for s in windowed if shared[i] >= least * (1 << s)]
+                    for keys in window_keys(runs[bounds[i] : bounds[i + 1] - WORDS_PER_SHINGLE + 1], fit):
+                        keys = keys.ravel()
+                        hits = np.unique(keys[in_filter(items.value, keys)])
                         found.append(hits)
                         rows.append(np.full(len(hits), i))
-            if found:
+            if any(map(len, found)):
                 at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays([*(batch[k].take(at) for k in KEY), pa.array(np.concatenate(found))], [*KEY, "key"])
 
@@ -153,7 +210,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: float = CONTAIN
     # Sizes are powers of two, or below five words: at most some forty.
     sizes = sorted(r.size for r in keys.select("size").distinct().collect())
     items = spark.sparkContext.broadcast(filter_of(keys, "key"))
-    met = keyed.select(*KEY, "text").mapInArrow(_met(sizes, items), "_a bigint, _b int, key bigint")
+    held = staged(named.select(F.col("item").alias("text")).mapInArrow(_item_shingles, "value bigint"), "item-shingles")
+    shingles = spark.sparkContext.broadcast(filter_of(held, "value", SHINGLE_BITS * held.count()))
+    met = keyed.select(*KEY, "text").mapInArrow(_met(sizes, items, shingles, least), "_a bigint, _b int, key bigint")
     candidates = staged(met.join(keys.select("ia", "ib", "key"), "key").select(*KEY, "ia", "ib").distinct(), "candidates")
 
     places = spark.sparkContext.broadcast(filter_of(candidates, "_a"))

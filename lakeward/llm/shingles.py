@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 from xxhash import xxh3_64_intdigest
@@ -11,6 +12,9 @@ WORDS_PER_SHINGLE = 5
 
 _FACTORS = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD = re.compile(r"\w+")
+# A character beyond ASCII that ends words, and for the rest blanks for all ASCII characters that do.
+_ODD = re.compile(r"[^\w\x00-\x7f]")
+_LETTERS = bytes(c if c > 127 or chr(c).isalnum() or chr(c) == "_" else 32 for c in range(256))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -30,18 +34,32 @@ def letter_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def shingle_hashes(words: list, size: int = WORDS_PER_SHINGLE) -> np.ndarray:
-    """A hash of each ``size`` neighbouring words, in order; none if there are fewer words."""
-    n = len(words) - size + 1
+def letter_tokens(text: str) -> list[bytes] | list[str]:
+    """``letter_words`` for hashing: in UTF-8, which has the same hashes, where that is cheaper."""
+    text = text.lower()
+    return _WORD.findall(text) if _ODD.search(text) else text.encode().translate(_LETTERS).split()
+
+
+def word_hashes(words: Iterable, n: int) -> np.ndarray:
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
+
+
+def hashes_of_runs(w: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` neighbours of an array of word hashes."""
+    n = len(w) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
     h = np.zeros(n, np.uint64)
     for i in range(size):
         h += mix(w[i : i + n] + _FACTORS[i]) * _FACTORS[i + 16]
     return mix(h)
 
 
+def shingle_hashes(words: list, size: int = WORDS_PER_SHINGLE) -> np.ndarray:
+    """A hash of each ``size`` neighbouring words, in order; none if there are fewer words."""
+    return hashes_of_runs(word_hashes(words, len(words)), size) if len(words) >= size else np.zeros(0, np.uint64)
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a text; the whole sequence is one if it has fewer than five words."""
     words = ascii_words(text or "")

@@ -1,13 +1,15 @@
 import random
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakeward.llm import decontamination, language_id, near_dedup, topk
 from lakeward.llm.common import read
-from lakeward.llm.shingles import ascii_words, letter_words, shingle_set
+from lakeward.llm.shingles import ascii_words, letter_tokens, letter_words, shingle_hashes, shingle_set
 
 SF = "/root/testdata/sf0.001"
 WORDS = ["the", "of", "zwölf", "b", "See", "den", "x1", "au", "ç", "lo", "ti", "om"]
@@ -150,6 +152,36 @@ def test_contaminations_equal_brute_force(spark):
     assert decontamination.contaminations(d, b.limit(0)).count() == decontamination.contaminations(d.limit(0), b).count() == 0
 
 
+def test_only_documents_with_shingles_of_items_are_searched(monkeypatch):
+    rng = random.Random(10)
+    prose = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(n))
+    item = prose(30)
+    texts = [prose(900), f"{prose(300)} {item.upper()}, {prose(5)}", None, "", item[: len(item) // 3], "two words", prose(20)]
+    batch = pa.RecordBatch.from_pydict({"_a": list(range(7)), "_b": [0] * 7, "text": texts})
+    given = pa.RecordBatch.from_pydict({"ia": [1], "ib": [2], "text": [item]})
+    (keys,), (values,) = decontamination._item_keys(iter([given])), decontamination._item_shingles(iter([given]))
+    filters = []
+    for column in (keys["key"], values["value"]):
+        slots = column.to_numpy() & ((1 << 20) - 1)
+        bits = np.zeros(1 << 17, np.uint8)
+        np.bitwise_or.at(bits, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
+        filters.append(SimpleNamespace(value=bits))
+    searched, window_keys = [], decontamination.window_keys
+    monkeypatch.setattr(decontamination, "window_keys", lambda h, sizes: searched.append(len(h)) or window_keys(h, sizes))
+    met = list(decontamination._met([4], *filters, 0.8)(iter([batch])))
+    assert searched == [331] and {row for part in met for row in part["_a"].to_pylist()} == {1}
+
+
+def test_letter_tokens_are_hashed_like_letter_words():
+    odd = ["Two, words\x00a_b\x0b9", "ÀÉ été—ça «oui» 日本語 x\u0301y", "İstanbul ß ǅ", "naïve Straße über", "٣ ² a\xa0b", "", "\ufeffa"]
+    for text in odd:
+        words = letter_words(text)
+        tokens = letter_tokens(text)
+        assert [w if isinstance(w, str) else w.decode() for w in tokens] == words
+        for size in (1, 2, 5):
+            assert (shingle_hashes(tokens, size) == shingle_hashes(words, size)).all()
+
+
 def test_language_sample_is_bounded_in_rows(spark):
     hot = next(i for i in range(50) if spark.range(1).select(language_id.fold(F.lit(i))).first()[0] != 0)
     repeated = [(hot, "one and the same text", "en")] * 300
