@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b, md5
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +34,9 @@ RUN_WORDS = 16
 _UNIT = "d1 bigint, d2 bigint, doc_id bigint, _a bigint, _b int, start bigint, end bigint, w0 bigint, w1 bigint, whole boolean"
 _WORD = re.compile(r"\S+")
 _WORDS_KNOWN = 1 << 18
-# Text whose units a task holds at once.
+# Text whose units a task holds at once, and words of it that are cut at once; a line is never parted.
 BYTES_AT_ONCE = 1 << 21
-
-
-def _digest(words: list[str], segment: bool) -> bytes:
-    # No unit begins with a blank, so lines and segments have digests apart.
-    return blake2b((" " + " ".join(words) if segment else " ".join(words)).encode(), digest_size=16).digest()
+WORDS_AT_ONCE = 1 << 18
 
 
 class _LastWords(dict):
@@ -57,54 +52,83 @@ class _LastWords(dict):
 _ends_segment = _LastWords()
 
 
-def _segments(words: list[str]) -> Iterator[tuple[int, int, bytes]]:
-    """First and last word of each segment, and its digest."""
-    first = 0
-    for last in [i for i, word in enumerate(words[:-1]) if _ends_segment[word]] + [len(words) - 1]:
-        yield first, last, _digest(words[first : last + 1], True)
-        first = last + 1
-
-
-def _bounds(text: str, start: int, end: int, words: list[str]) -> list[tuple[int, int]]:
-    """Where the words between two places stand; by their lengths if single blanks part them."""
-    line = text[start:end].rstrip()
-    if " ".join(words) == line.lower() and len(line) == len(line.lower()):
-        ends = [start - 1 + n for n in accumulate(map(len, words), lambda a, b: a + b + 1, initial=0)][1:]
-        return [(b - len(w), b) for b, w in zip(ends, words)]
-    return [m.span() for m in _WORD.finditer(text, start, end)]
-
-
-def digests_of(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> list[bytes]:
-    """The digests of the units of a text, in the order of ``units``."""
-    out = []
-    for match in pattern.finditer(text):
-        words = match.group().lower().split()
-        if len(words) >= max(min_words, 1):
-            out.append(_digest(words, False))
-        if run_words and len(words) >= SEGMENTED_WORDS:
-            out += [digest for _, _, digest in _segments(words)]
-    return out
-
-
-def units(text: str, pattern: re.Pattern, min_words: int, run_words: int) -> Iterator[tuple[bytes, int, int, int, int, bool]]:
-    """The units of a text: digest, start and end in characters, number of the first word and of the first one
-    after it, and whether it is a whole line (which ends with what follows it) or a segment.
+def _lines(texts: list[str], pattern: re.Pattern) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The lines with words and their words, in lower case; for each line its text's number, start and end in characters,
+    number of its first word in the text, how many it has, and its length without blanks at the end (-1 if lower case is longer)."""
+    lines, words = [], []
+    for row, text in enumerate(texts):
+        before = 0
+        for match in pattern.finditer(text):
+            line = match.group().lower()
+            own = line.split()
+            if own:
+                start, end = match.span()
+                lines.append((row, start, end, before, len(own), len(line.rstrip()) if len(line) == end - start else -1))
+                words += own
+                before += len(own)
+                if len(words) >= WORDS_AT_ONCE:
+                    yield np.array(lines), words
+                    lines, words = [], []
+    if lines:
+        yield np.array(lines), words
+
+
+def _bounds(texts: list[str], lines: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end in their texts; by their lengths in lines where single blanks part them."""
+    row, start, end, _, n, length = lines.T
+    first = np.cumsum(n) - n
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    ends += np.repeat(start - (ends - sizes)[first], n)
+    starts = ends - sizes
+    for i in np.flatnonzero(np.add.reduceat(sizes, first) + n - 1 != length).tolist():
+        spans = [m.span() for m in _WORD.finditer(texts[row[i]], start[i], end[i])]
+        starts[first[i] : first[i] + n[i]], ends[first[i] : first[i] + n[i]] = zip(*spans)
+    return starts, ends
+
+
+def units(texts: list[str], pattern: re.Pattern, min_words: int, run_words: int, bits: np.ndarray | None = None) -> Iterator[dict[str, np.ndarray]]:
+    """The units of texts as arrays: digest in two halves, number of the text. Given a filter of digests, only those it lets
+    through, with start and end in characters, number of the first word and of the first one after the unit, and
+    whether it is a whole line (which ends with what follows it) or a segment.
 
     Units are alike if they have the same words in lower case, whatever the white space. There are
     no segments if ``run_words`` is 0.
     """
-    before = 0
-    for match in pattern.finditer(text):
-        words = match.group().lower().split()
-        n = len(words)
-        if n >= max(min_words, 1):
-            yield _digest(words, False), match.start(), match.end(), before, before + n, True
-        if run_words and n >= SEGMENTED_WORDS:
-            bounds = _bounds(text, match.start(), match.end(), words)
-            for first, last, digest in _segments(words):
-                end = bounds[last + 1][0] if last + 1 < n else bounds[last][1]
-                yield digest, bounds[first][0], end, before + first, before + last + 1, False
-        before += n
+    for lines, words in _lines(texts, pattern):
+        row, start, end, before, n, _ = lines.T
+        first = np.cumsum(n) - n
+        # A blank before each word: no unit begins with one, so lines and segments have digests apart.
+        buffer = " ".join(["", *words]).encode()
+        blanks = np.append(np.flatnonzero(np.frombuffer(buffer, np.uint8) == ord(" ")), len(buffer))
+        line = np.flatnonzero(n >= max(min_words, 1))
+        begin, after = first[line], first[line] + n[line]
+        whole = np.ones(len(line), bool)
+        if run_words:
+            last = np.fromiter(map(_ends_segment.__getitem__, words), bool, len(words))
+            last[first + n - 1] = True
+            stops = np.flatnonzero(last) + 1
+            starts = np.concatenate([[0], stops[:-1]])
+            of = np.repeat(np.arange(len(n)), n)[starts]
+            long = n[of] >= SEGMENTED_WORDS
+            line, begin, after = (np.concatenate(v) for v in ((line, of[long]), (begin, starts[long]), (after, stops[long])))
+            whole = np.arange(len(line)) < len(whole)
+        pieces = zip((blanks[begin] + whole).tolist(), blanks[after].tolist())
+        halves = np.frombuffer(b"".join([blake2b(buffer[a:b], digest_size=16).digest() for a, b in pieces]), np.int64).reshape(-1, 2)
+        if bits is None:
+            yield {"d1": halves[:, 0], "d2": halves[:, 1], "row": row[line]}
+            continue
+        hit = np.flatnonzero(in_filter(bits, np.ascontiguousarray(halves[:, 0])))
+        line, begin, after, whole = line[hit], begin[hit], after[hit], whole[hit]
+        starts, ends = _bounds(texts, lines, words)
+        # A segment ends where the next word of its line begins.
+        stop = np.where(after < first[line] + n[line], np.append(starts, 0)[after], ends[after - 1])
+        shift = before[line] - first[line]
+        yield {
+            "d1": halves[hit, 0], "d2": halves[hit, 1], "row": row[line],
+            "start": np.where(whole, start[line], starts[begin]), "end": np.where(whole, end[line], stop),
+            "w0": begin + shift, "w1": after + shift, "whole": whole,
+        }
 
 
 def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None = None):
@@ -113,23 +137,11 @@ def _found(unit: str, min_words: int, run_words: int, bits: np.ndarray | None =
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, BYTES_AT_ONCE):
-            found, counts = [], []
-            for text in batch["text"].to_pylist():
-                held = len(found)
-                found.extend((digests_of if bits is None else units)(text, pattern, min_words, run_words))
-                counts.append(len(found) - held)
-            halves = np.frombuffer(b"".join(found if bits is None else [u[0] for u in found]), np.int64).reshape(-1, 2)
-            rows = np.repeat(np.arange(len(counts)), counts)
-            columns = {"d1": halves[:, 0], "d2": halves[:, 1]}
-            if bits is None:
-                columns["doc_id"] = batch["doc_id"].take(pa.array(rows))
-            else:
-                hit = np.flatnonzero(in_filter(bits, np.ascontiguousarray(halves[:, 0])))
-                rows, found = pa.array(rows[hit]), [found[i] for i in hit.tolist()]
-                columns = {c: v[hit] for c, v in columns.items()} | {c: batch[c].take(rows) for c in ("doc_id", *KEY)}
-                columns |= {c: np.array([u[i] for u in found], np.int64) for i, c in enumerate(("start", "end", "w0", "w1"), 1)}
-                columns["whole"] = np.array([u[5] for u in found], bool)
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
+            for found in units(batch["text"].to_pylist(), pattern, min_words, run_words, bits):
+                rows = pa.array(found.pop("row"))
+                named = ("doc_id",) if bits is None else ("doc_id", *KEY)
+                columns = {"d1": found.pop("d1"), "d2": found.pop("d2")} | {c: batch[c].take(rows) for c in named} | found
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
 
     return mapped
 

@@ -1,14 +1,15 @@
 import base64
 import random
 import re
-from hashlib import md5
+from hashlib import blake2b, md5
 from hashlib import sha1
 from uuid import uuid4
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeward.llm import warc
+from lakeward.llm import line_dedup, warc
 from lakeward.llm.line_dedup import PARAGRAPH, remove_repeated_units
 from lakeward.llm.url_rules import judge_urls
 from lakeward.plans.scratch import scratch_root
@@ -223,3 +224,39 @@ def test_short_lines_are_units_too(spark):
     result = remove_repeated_units(docs).orderBy("doc_id").collect()
     assert [r.text for r in result] == ["}\na b\n\n", "x\n\n", "", "\n \n"]
     assert [[tuple(s) for s in r.removed_spans] for r in result] == [[], [(2, 4), (5, 11)], [(0, 1)], []]
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 18])
+def test_units_of_many_texts_at_once_equal_those_cut_one_by_one(monkeypatch, at_once):
+    rng = random.Random(21)
+    vocabulary = [f"w{n}" for n in range(60)] + ["Été", "NEW", "İx", "日本", "ß", "x\u00a0y", "tab\tbed"]
+    blanks = [" "] * 30 + ["  ", "\t", "\u2003", "\n", "\n\n", " \n "]
+    texts = ["".join(rng.choice(vocabulary) + rng.choice(blanks) for _ in range(rng.randrange(120))) for _ in range(60)]
+    texts += ["", "\n", "  one  ", " ".join(f"w{n}" for n in range(50)), "\u00a0 " + " ".join(vocabulary)]
+    # Every digest passes.
+    every = np.full(1 << 17, 255, np.uint8)
+    monkeypatch.setattr(line_dedup, "WORDS_AT_ONCE", at_once)
+    for unit, min_words, run_words in ((line_dedup.LINE, 1, 16), (PARAGRAPH, 2, 16), (line_dedup.LINE, 3, 0)):
+        pattern, expected = re.compile(unit), []
+        for row, text in enumerate(texts):
+            before = 0
+            for m in pattern.finditer(text):
+                spans = [w.span() for w in re.finditer(r"\S+", text[: m.end()]) if w.start() >= m.start()]
+                words = [text[a:b].lower() for a, b in spans]
+                if len(words) >= min_words:
+                    expected.append((" ".join(words), row, *m.span(), before, before + len(words), True))
+                first = 0
+                for i, word in enumerate(words if run_words and len(words) >= 16 else []):
+                    if md5(word.encode()).hexdigest()[0] in "012" or i + 1 == len(words):
+                        end = spans[i + 1][0] if i + 1 < len(words) else spans[i][1]
+                        expected.append((" " + " ".join(words[first : i + 1]), row, spans[first][0], end, before + first, before + i + 1, False))
+                        first = i + 1
+                before += len(words)
+        columns = ("row", "start", "end", "w0", "w1", "whole")
+        found, digests = [], []
+        for part in line_dedup.units(texts, pattern, min_words, run_words, every):
+            found += [(a.tobytes() + b.tobytes(), *r) for a, b, r in zip(part["d1"], part["d2"], zip(*(part[c].tolist() for c in columns)))]
+        for part in line_dedup.units(texts, pattern, min_words, run_words):
+            digests += [(a.tobytes() + b.tobytes(), row) for a, b, row in zip(part["d1"], part["d2"], part["row"].tolist())]
+        expected = [(blake2b(words.encode(), digest_size=16).digest(), *rest) for words, *rest in expected]
+        assert sorted(found) == sorted(expected) and sorted(digests) == sorted(e[:2] for e in expected)
