@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -96,10 +96,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
 
-def sliced(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The batches in runs of rows whose texts together have about ``size`` bytes; a longer text comes by itself."""
+# Text that a task holds as Python objects at once, where nothing else bounds it.
+TEXT_AT_ONCE = 1 << 21
+
+
+def sliced(batches: Iterator[pa.RecordBatch], size: int = TEXT_AT_ONCE, columns: Sequence[str] = ("text",)) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows whose texts together have about ``size`` bytes; a longer row comes by itself."""
     for batch in batches:
-        _, bounds = text_buffer(batch["text"])
+        bounds = sum((text_buffer(batch[c])[1] for c in columns), np.int64(0))
         start = 0
         while start < len(batch):
             end = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, "right")) - 1)

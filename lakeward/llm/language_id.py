@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import KEY, row_key
+from lakeward.llm.common import KEY, row_key, sliced
 
 # Labelled rows a language gives at most, the first by hash of doc_id; every fifth calibrates.
 SAMPLE_PER_LANGUAGE = 400
@@ -267,7 +267,7 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, per_language: i
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             found = [model.predict(text) for text in batch["text"].to_pylist()]
             lang = [f[0] for f in found]
             score = [f[1] for f in found]

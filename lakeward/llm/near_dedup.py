@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import KEY, filter_of, in_filter, row_key, staged
+from lakeward.llm.common import KEY, filter_of, in_filter, row_key, sliced, staged
 from lakeward.llm.components import components, relabelled
 from lakeward.llm.shingles import minhash, mix, shingle_set
 
@@ -110,7 +110,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 def _sign(n_bands: int, rows: int):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             counts, sets, bands, sketches = [], [], [], []
             for text in batch["text"].to_pylist():
                 hashes = shingle_set(text)
@@ -136,7 +136,7 @@ def _sign(n_bands: int, rows: int):
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         for node, text in zip(batch["node"].to_pylist(), batch["text"].to_pylist()):
             hashes = shingle_set(text).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), node, np.int64)), pa.array(hashes)], ["node", "token"])
@@ -155,7 +155,7 @@ def _linked(percent: int):
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, None
-        for batch in batches:
+        for batch in sliced(batches, columns=("text_a", "text_b")):
             hits = []
             for a, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "text_a", "text_b"))):
                 if a != held:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from itertools import combinations
 from types import SimpleNamespace
 
@@ -172,6 +173,29 @@ def test_only_documents_with_shingles_of_items_are_searched(monkeypatch):
     assert searched == [331] and {row for part in met for row in part["_a"].to_pylist()} == {1}
 
 
+def most_held(task, columns):
+    """Bytes of Python objects and arrays that a task over one batch of 32 MB of text holds at most, besides the batch."""
+    n = 2000
+    texts = pa.array([str(i) * (16_000 // len(str(i))) for i in range(n)])
+    whole = {"_a": pa.array(range(n)), "_b": pa.array(np.zeros(n, np.int32)), "item": pa.array(["one two three four five six"] * n)}
+    batch = pa.record_batch({c: texts if c.startswith("text") else whole.get(c, whole["_a"]) for c in columns})
+    tracemalloc.start()
+    try:
+        rows = sum(len(b) for b in task(iter([batch])))
+        return rows, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_near_dedup_holds_few_texts_at_once():
+    signed, held = most_held(near_dedup._sign(24, 5), ["doc_id", "_a", "_b", "text"])
+    assert signed == 2000 and held < 12_000_000
+    linked, held = most_held(near_dedup._linked(85), ["a", "b", "text_a", "text_b"])
+    assert linked == 2000 and held < 12_000_000
+    tokens, held = most_held(near_dedup._tokens, ["node", "text"])
+    assert tokens == 2000 and held < 12_000_000
+
+
 def test_letter_tokens_are_hashed_like_letter_words():
     odd = ["Two, words\x00a_b\x0b9", "ÀÉ été—ça «oui» 日本語 x\u0301y", "İstanbul ß ǅ", "naïve Straße über", "٣ ² a\xa0b", "", "\ufeffa"]
     for text in odd:
