@@ -60,7 +60,7 @@ def _keys(minima: np.ndarray, size: int) -> np.ndarray:
 
 
 def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         for i, text in enumerate(batch["text"].to_pylist()):
             words = letter_words(text or "")
             if words:
@@ -166,7 +166,7 @@ def _contained(least: float):
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words, own = None, [], {}
-        for batch in batches:
+        for batch in sliced(batches, columns=("text", "item")):
             rows = []
             columns = ("_a", "_b", "doc_id", "text", "item_id", "item")
             for a, b, doc_id, text, item_id, item in zip(*(batch[c].to_pylist() for c in columns)):

@@ -187,6 +187,11 @@ def most_held(task, columns):
         tracemalloc.stop()
 
 
+def test_contained_holds_few_texts_at_once():
+    rows, held = most_held(decontamination._contained(0.8), ["_a", "_b", "doc_id", "text", "item_id", "item"])
+    assert rows == 0 and held < 12_000_000
+
+
 def test_near_dedup_holds_few_texts_at_once():
     signed, held = most_held(near_dedup._sign(24, 5), ["doc_id", "_a", "_b", "text"])
     assert signed == 2000 and held < 12_000_000
