@@ -16,12 +16,13 @@ if a longer one needs its count. Every counted phrase is counted in all texts. T
 scores of pairs and verified: a language with too few phrases above it is done again with a lower one, at last with none.
 
 Nothing but counts, ranks and the streams, four bytes a word, is shuffled, and no vocabulary is held by
-one task or the driver.
+one task or the driver. To Spark a block's pairs are one packed value, and rows only where they are counted, some at a
+time: as arrays a block's hundreds of thousands of pairs would be as many objects at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -50,6 +51,8 @@ BATCH_CHARS = 1 << 21
 TILE = 512
 # A tile with at least one pair for so many addresses is counted directly.
 DENSE = 16
+# Counted rows that a task hands to Spark at once.
+ROWS_AT_ONCE = 1 << 16
 
 # A-Z in lower case, tab as space, and the ends of pieces as a byte no UTF-8 text has.
 _BREAK = b"\xff"
@@ -60,7 +63,7 @@ _BYTES = bytes.maketrans(
 )
 
 _WORDS = "block bigint, lang string, words array<string>, counts array<bigint>, stream binary"
-_PAIRS = "lefts array<bigint>, rights array<bigint>, counts array<bigint>, stream binary"
+_PAIRS = "pairs binary, stream binary"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -68,23 +71,22 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_BYTES).replace(_BREAK, b" \xff ").split()
 
 
-class _Ids(dict):
-    """Numbers words as they come; 0 is the break between pieces."""
+def _packed(numbers: np.ndarray) -> pa.Array:
+    return pa.array([zstandard.compress(numbers, 1)], pa.binary())
 
-    def __init__(self):
-        super().__init__({_BREAK: 0})
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+def _unpacked(stream: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(stream.as_buffer()), np.int32)
 
 
-def _packed(stream: np.ndarray) -> pa.Array:
-    return pa.array([zstandard.compress(stream.tobytes(), 1)], pa.binary())
+def _unpacked_pairs(pairs: pa.Scalar) -> np.ndarray:
+    """Left ranks, right ranks and counts."""
+    return np.frombuffer(zstandard.decompress(pairs.as_buffer()), np.int64).reshape(3, -1)
 
 
-def _unpacked(stream: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(stream), np.int32)
+def _rows(arrays: Sequence[np.ndarray], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(arrays[0]), ROWS_AT_ONCE):
+        yield pa.RecordBatch.from_arrays([pa.array(a[start : start + ROWS_AT_ONCE]) for a in arrays], names)
 
 
 def _number() -> Iterator[int]:
@@ -96,30 +98,30 @@ def _number() -> Iterator[int]:
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers = _number()
-    held: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
+    held: dict[str, list[pa.DictionaryArray]] = {}
     waiting: dict[str, list[str]] = {}
     sizes: dict[str, int] = {}
     chars = 0
 
     def number_waiting() -> None:
         for lang, texts in waiting.items():
-            ids, parts = held.setdefault(lang, (_Ids(), []))
-            words = words_of("\n".join(["", *texts, ""]))
-            parts.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
+            # Words are numbered as they come, and first comes the break between pieces.
+            words = pa.array(words_of("\n".join(["", *texts, ""])), pa.binary())
+            held.setdefault(lang, []).append(words.dictionary_encode())
             sizes[lang] = sizes.get(lang, 0) + len(words)
         waiting.clear()
 
     def block(lang: str) -> Iterator[pa.RecordBatch]:
-        ids, parts = held.pop(lang)
+        parts = pa.chunked_array(held.pop(lang)).unify_dictionaries().chunks
         del sizes[lang]
-        stream = np.concatenate(parts)
-        counts = np.bincount(stream, minlength=len(ids))
-        if len(ids) > 1:
+        stream = np.concatenate([part.indices.to_numpy() for part in parts])
+        words = parts[-1].dictionary[1:].cast(pa.string())
+        counts = np.bincount(stream, minlength=len(words) + 1)[1:]
+        if len(words):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(numbers)]), pa.array([lang]),
-                    pa.array([[w.decode() for w in ids if w != _BREAK]], pa.list_(pa.string())),
-                    pa.array([counts[1:]], pa.list_(pa.int64())), _packed(stream),
+                    *(pa.ListArray.from_arrays([0, len(words)], values) for values in (words, pa.array(counts))), _packed(stream),
                 ],
                 [f.split()[0] for f in _WORDS.split(", ")],
             )
@@ -137,47 +139,49 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number_waiting()
     for lang in list(held):
         yield from block(lang)
+    # The worker lives on beside later steps; what Arrow keeps for it would count there.
+    pa.default_memory_pool().release_unused()
 
 
 def tiled_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of ranks: their left and right ranks, counts, and each given pair's place among them."""
-    place = np.empty(len(left), np.int64)
+    place = np.empty(len(left), np.int32)
     lefts, rights, counts = [], [], []
     held = 0
     # Ranks below 2**40 have tile numbers below 2**31.
-    tiles = (left // TILE << 31) | (right // TILE)
+    tiles = left.astype(np.int64) // TILE << 31
+    tiles |= right // TILE
     order = np.argsort(tiles, kind="stable")
     tiles = tiles[order]
     changes = np.flatnonzero(tiles[1:] != tiles[:-1]) + 1
     del tiles
     bounds = np.concatenate([[0], changes, [len(left)]]) if len(left) else np.zeros(1, np.int64)
-    thin = [np.zeros(0, np.int64)]
     dense = np.diff(bounds) >= TILE * TILE // DENSE
     for start, end in zip(bounds[:-1][dense].tolist(), bounds[1:][dense].tolist()):
         rows = order[start:end]
         address = left[rows] % TILE * TILE + right[rows] % TILE
         counted = np.bincount(address, minlength=TILE * TILE)
         used = np.flatnonzero(counted)
-        among = np.empty(TILE * TILE, np.int64)
+        among = np.empty(TILE * TILE, np.int32)
         among[used] = np.arange(held, held + len(used))
         place[rows] = among[address]
         lefts.append(left[rows[0]] // TILE * TILE + used // TILE)
         rights.append(right[rows[0]] // TILE * TILE + used % TILE)
         counts.append(counted[used])
         held += len(used)
-    if len(left):
-        within = np.repeat(dense, np.diff(bounds))
-        thin = [order[~within]]
-    rows = thin[0]
+    rows = order[~np.repeat(dense, np.diff(bounds))]
+    del order
     if len(rows):
         rows = rows[np.lexsort((right[rows], left[rows]))]
-        i, j = left[rows], right[rows]
-        new = np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        place[rows] = held + np.cumsum(new) - 1
+        new = np.zeros(len(rows), bool)
+        new[0] = True
+        for ranks in (left[rows], right[rows]):
+            new[1:] |= ranks[1:] != ranks[:-1]
         starts = np.flatnonzero(new)
-        lefts.append(i[starts])
-        rights.append(j[starts])
+        lefts.append(left[rows[starts]])
+        rights.append(right[rows[starts]])
         counts.append(np.diff(np.append(starts, len(rows))))
+        place[rows] = np.cumsum(new, dtype=np.int32) + np.int32(held - 1)
     none = [np.zeros(0, np.int64)]
     return np.concatenate(lefts or none), np.concatenate(rights or none), np.concatenate(counts or none), place
 
@@ -186,26 +190,34 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams of local symbols and the ranks of the frequent ones, to the pairs of neighbours that both have a rank."""
     for batch in batches:
         for i in range(len(batch)):
-            stream = _unpacked(batch["stream"][i].as_py())
-            # A symbol without a rank ends the phrases around it.
-            ranks = np.full(int(stream.max(initial=0)) + 1, -1, np.int64)
+            stream = _unpacked(batch["stream"][i])
             known = batch["known"][i].values
-            ranks[known.field("place").to_numpy()] = known.field("rank").to_numpy()
+            rank = known.field("rank").to_numpy()
+            # A symbol without a rank ends the phrases around it.
+            ranks = np.full(int(stream.max(initial=0)) + 1, -1, np.int32 if rank.max(initial=0) < 1 << 31 else np.int64)
+            ranks[known.field("place").to_numpy()] = rank
             symbols = ranks[stream]
             del stream
-            at = np.flatnonzero((symbols[:-1] >= 0) & (symbols[1:] >= 0))
-            if not len(at):
-                continue
-            lefts, rights, counts, place = tiled_pairs(symbols[at], symbols[at + 1])
-            after = np.zeros(len(symbols) - 1, np.int32)
+            paired = (symbols[:-1] >= 0) & (symbols[1:] >= 0)
+            left, right = symbols[:-1][paired], symbols[1:][paired]
             del symbols
-            after[at] = place + 1
-            arrays = [pa.array([a], pa.list_(pa.int64())) for a in (lefts, rights, counts)]
+            if not len(left):
+                continue
+            *pairs, place = tiled_pairs(left, right)
+            after = np.zeros(len(paired), np.int32)
+            after[paired] = place + 1
             yield pa.RecordBatch.from_arrays(
-                [*arrays, _packed(after)], [f.split()[0] for f in _PAIRS.split(", ")]
+                [_packed(np.concatenate(pairs, dtype=np.int64)), _packed(after)], [f.split()[0] for f in _PAIRS.split(", ")]
             )
 
 
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of pairs to one row per pair of a block."""
+    for batch in batches:
+        for pairs in batch["pairs"]:
+            yield from _rows(_unpacked_pairs(pairs), [*_ranks(2), "counts"])
+
+
 def _ranked(frequent: DataFrame, label: str) -> DataFrame:
     """The rows with ``rank``, their place by lang, falling count and phrase: sorted by range, numbered per partition."""
     order = [F.col("lang"), F.col("f").desc(), F.col("phrase")]
@@ -224,6 +236,10 @@ def _ranks(length: int, first: int = 1) -> list[str]:
     return [f"w{i}" for i in range(first, first + length)]
 
 
+def _schema(length: int) -> str:
+    return ", ".join(f"{c} bigint" for c in (*_ranks(length), "counts"))
+
+
 def _slot(*ranks: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = ranks[0].astype(np.uint64)
@@ -248,8 +264,8 @@ def _phrases(length: int, useful: np.ndarray, frequent: np.ndarray, wanted: np.n
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                left, right = (batch[c][i].values.to_numpy() for c in ("lefts", "rights"))
-                stream = _unpacked(batch["stream"][i].as_py())
+                left, right, _ = _unpacked_pairs(batch["pairs"][i])
+                stream = _unpacked(batch["stream"][i])
                 slots = _slot(left, right)
                 # 0 in the stream is no pair.
                 outer, inner = (np.concatenate([[False], in_filter(bits, slots)])[stream] for bits in (useful, frequent))
@@ -268,14 +284,14 @@ def _phrases(length: int, useful: np.ndarray, frequent: np.ndarray, wanted: np.n
                 at = at[hit]
                 if not len(at):
                     continue
-                place = stream[at].astype(np.int64)
+                place = stream[at]
                 for k in range(1, length - 1):
-                    *_, counts, place = tiled_pairs(place, stream[at + k].astype(np.int64))
+                    *_, counts, place = tiled_pairs(place, stream[at + k])
                 # Any occurrence of each phrase names its words.
                 one = np.empty(len(counts), np.int64)
                 one[place] = at
                 words = [left[stream[one] - 1], *(right[stream[one + k] - 1] for k in range(length - 1))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*words, counts)], [*_ranks(length), "counts"])
+                yield from _rows([*words, counts], [*_ranks(length), "counts"])
 
     return mapped
 
@@ -369,8 +385,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
     ranked = _ranked(frequent, "ranks")
     streams = staged(_told(blocks, symbols, ranked, ["lang", "phrase"]).mapInArrow(_pairs, _PAIRS), "pairs")
     discard(blocks)
-    each = streams.select(F.explode(F.arrays_zip("lefts", "rights", "counts")).alias("s"))
-    counts = each.select(F.col("s.lefts").alias("w1"), F.col("s.rights").alias("w2"), "s.counts")
+    counts = streams.select("pairs").mapInArrow(_pair_counts, _schema(2))
     pairs = staged(_phrased(_frequent(counts, 2, least), ranked.withColumnRenamed("rank", "w1"), 2), "phrases")
     inner = _filter(pairs.select(*_ranks(2)))
 
@@ -381,8 +396,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, per_language: int =
         useful = _filter(staged(_useful(pairs, floors), "useful"))
         longer, parts = {}, None
         for length in range(LONGEST, 2, -1):
-            schema = ", ".join(f"{c} bigint" for c in (*_ranks(length), "counts"))
-            counts = streams.select("lefts", "rights", "stream").mapInArrow(_phrases(length, useful, inner, parts), schema)
+            counts = streams.mapInArrow(_phrases(length, useful, inner, parts), _schema(length))
             longer[length] = staged(_frequent(counts, length, least), "counts")
             parts = _filter(_parts(longer[length], length)) if length > 3 else None
         table, found = pairs, []

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 from hashlib import sha256
@@ -162,6 +163,29 @@ def test_tiles_count_every_pair(size, ranks):
     assert (lefts[place] == left).all() and (rights[place] == right).all()
 
 
+@pytest.mark.parametrize("first_rank", [0, 1 << 33])
+def test_pairs_of_a_block_take_little_memory_and_are_rows_only_some_at_a_time(monkeypatch, first_rank):
+    rng = np.random.default_rng(14)
+    # 0 is the break between pieces; places above 15,000 have no rank.
+    stream = np.minimum(rng.pareto(0.7, 1_000_000) * 100, 20_000).astype(np.int32)
+    rank = np.concatenate([[-1], first_rank + rng.permutation(15_000), np.full(5_000, -1)])
+    known = pa.StructArray.from_arrays([pa.array(np.arange(1, 15_001)), pa.array(rank[1:15_001])], ["place", "rank"])
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(known)], known), collocations._packed(stream)], ["known", "stream"])
+    tracemalloc.start()
+    blocks = list(collocations._pairs(iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 80 * len(stream)
+    monkeypatch.setattr(collocations, "ROWS_AT_ONCE", 1000)
+    found = list(collocations._pair_counts(iter(blocks)))
+    assert max(map(len, found)) == 1000 and all(pa.types.is_binary(t) for b in blocks for t in b.schema.types)
+    left, right = rank[stream[:-1]], rank[stream[1:]]
+    both = (left >= 0) & (right >= 0)
+    rows = [(w1, w2, n) for b in found for w1, w2, n in zip(*(c.to_pylist() for c in b.columns))]
+    wanted = Counter(zip(left[both].tolist(), right[both].tolist()))
+    assert len(rows) == len(wanted) and {(w1, w2): n for w1, w2, n in rows} == wanted
+
+
 # --- hard negatives ----------------------------------------------------------------------
 
 
