@@ -2,12 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeward import schemas
 
+# Hashes are hex text, of which this codec stores half and the default one all.
+COMPRESSION = "zstd"
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = Lock()
+# By application: how many writes are under way, and the setting as it was before the first.
+_writing: dict[str, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go when it ends, not when the driver happens to collect its garbage.
+
+    For writes and other actions whose plan nothing runs again; several threads may be inside at once.
+    """
+    app = spark.sparkContext.applicationId
+    with _lock:
+        inside, before = _writing.get(app) or (0, spark.conf.get(_FREE_SHUFFLES, None))
+        _writing[app] = inside + 1, before
+        spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            inside, before = _writing.pop(app)
+            if inside > 1:
+                _writing[app] = inside - 1, before
+            elif before is None:
+                spark.conf.unset(_FREE_SHUFFLES)
+            else:
+                spark.conf.set(_FREE_SHUFFLES, before)
+
 
 def _arranged(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """Cluster rows for the write.
@@ -27,10 +60,11 @@ def write_path(
     sort_by: Sequence[str] = (),
     row_group_bytes: int | None = None,
 ) -> None:
-    writer = _arranged(df, partition_by, sort_by).write.mode(mode)
+    writer = _arranged(df, partition_by, sort_by).write.mode(mode).option("compression", COMPRESSION)
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_table(

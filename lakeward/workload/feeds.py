@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDULE, Dataset
 from lakeward.plans.refresh import stored
 from lakeward.plans.scratch import exists, scratch_root
+from lakeward.sources.tables import shuffles_freed
 from lakeward.workload import feed_sql
 
 # Stated instead of read from the clock, so results can be compared.
@@ -64,17 +65,21 @@ _stored: dict[tuple[str, str, str], str] = {}
 _ADDED = ("ingestion_timestamp", "pipeline_stage", "record_hash")
 
 
+def _with_lineage(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {
+            "ingestion_timestamp": F.col("processed_timestamp"),
+            "pipeline_stage": F.lit("BRONZE"),
+            "record_hash": F.sha2(F.concat_ws("|", "batch_id", "file_name", "row_key"), 256),
+        }
+    )
+
+
 def _bronze_table(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """The feed as a stored table, written once per session and data folder: bronze is what all other layers read."""
     key = (spark.sparkContext.applicationId, sf_dir, dataset.name)
     if key not in _stored or not exists(spark, _stored[key]):
-        rows = _from_tables(spark, sf_dir, BRONZE_SQL[dataset.name]).withColumns(
-            {
-                "ingestion_timestamp": F.col("processed_timestamp"),
-                "pipeline_stage": F.lit("BRONZE"),
-                "record_hash": F.sha2(F.concat_ws("|", "batch_id", "file_name", "row_key"), 256),
-            }
-        )
+        rows = _with_lineage(_from_tables(spark, sf_dir, BRONZE_SQL[dataset.name]))
         path = f"{scratch_root(spark, 'bronze')}/{dataset.bronze_table}"
         out = stored(rows, path, row_group_bytes=ROW_GROUP_BYTES)
         _stored[key] = path
@@ -82,6 +87,15 @@ def _bronze_table(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFra
     return spark.read.parquet(_stored[key])
 
 
+def _unstored(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
+    """The same rows for runs that write them elsewhere: the stored table if there is one, else made from the given
+    tables as they are read, so that they do not stand on disk twice."""
+    path = _stored.get((spark.sparkContext.applicationId, sf_dir, dataset.name))
+    if path and exists(spark, path):
+        return spark.read.parquet(path)
+    return _with_lineage(_from_tables(spark, sf_dir, BRONZE_SQL[dataset.name]))
+
+
 def keyed_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """Feed rows with ``row_key``, unique per row."""
     return _bronze_table(spark, sf_dir, dataset).drop(*_ADDED)
@@ -94,12 +108,12 @@ def bronze(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
 
 def raw_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """The feed as text with unreadable values and undeclared fields."""
-    return _query(spark, RAW_SQL[dataset.name], **{dataset.bronze_table: keyed_feed(spark, sf_dir, dataset)})
+    return _query(spark, RAW_SQL[dataset.name], **{dataset.bronze_table: _unstored(spark, sf_dir, dataset).drop(*_ADDED)})
 
 
 def clean_text_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     columns = [F.col(c).cast("string").alias(c) for c in dataset.columns]
-    return keyed_feed(spark, sf_dir, dataset).select(*columns, "source_format", "row_key")
+    return _unstored(spark, sf_dir, dataset).select(*columns, "source_format", "row_key")
 
 
 def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,19 +128,21 @@ def expected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_tables(spark, sf_dir, feed_sql.EXPECTED_FILES)
 
 
-def write_csv(rows: DataFrame, path: str, mode: str = "error") -> str:
-    (
-        rows.write.mode(mode).option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+def write_csv(rows: DataFrame, path: str, mode: str = "error", compression: str = "none") -> str:
+    with shuffles_freed(rows.sparkSession):
+        (
+            rows.write.mode(mode).option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .option("compression", compression)
+            .csv(path)
+        )
     return path
 
 
-def write_json_documents(rows: DataFrame, key: str, columns: Sequence[str], path: str) -> str:
+def write_json_documents(rows: DataFrame, key: str, columns: Sequence[str], path: str, compression: str = "none") -> str:
     """Write one JSON array per file, each of about ``ROWS_PER_DOCUMENT`` rows."""
-    return _write_documents(rows, key, columns, path, "[\n", ",\n", "\n]")
+    return _write_documents(rows, key, columns, path, "[\n", ",\n", "\n]", compression)
 
 
 def write_json_lines(rows: DataFrame, key: str, columns: Sequence[str], path: str) -> str:
@@ -135,31 +151,32 @@ def write_json_lines(rows: DataFrame, key: str, columns: Sequence[str], path: st
 
 
 def _write_documents(
-    rows: DataFrame, key: str, columns: Sequence[str], path: str, start: str, between: str, end: str
+    rows: DataFrame, key: str, columns: Sequence[str], path: str, start: str, between: str, end: str, compression: str = "none"
 ) -> str:
     lines = rows.select(key, F.to_json(F.struct(*columns)).alias("_line"))
-    return write_json_texts(lines, path, start, between, end)
+    return write_json_texts(lines, path, start, between, end, compression)
 
 
-def write_json_texts(lines: DataFrame, path: str, start: str, between: str, end: str) -> str:
+def write_json_texts(lines: DataFrame, path: str, start: str, between: str, end: str, compression: str = "none") -> str:
     """Write files that hold the texts ``_line`` of some rows between the given texts.
 
     Rows are dealt to documents by a hash of their other column, a unique key, so documents are alike in
     size and a task that runs again deals its rows the same way.
     """
     key = next(c for c in lines.columns if c != "_line")
-    documents = max(1, ceil(lines.count() / ROWS_PER_DOCUMENT))
-    dealt = lines.select(F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document"), "_line")
-    body = F.concat(F.lit(start), F.array_join(F.collect_list("_line"), between), F.lit(end))
-    texts = dealt.groupBy("_document").agg(body.alias("value")).select("value")
-    texts.write.option("maxRecordsPerFile", 1).text(path)
+    with shuffles_freed(lines.sparkSession):
+        documents = max(1, ceil(lines.count() / ROWS_PER_DOCUMENT))
+        dealt = lines.select(F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document"), "_line")
+        body = F.concat(F.lit(start), F.array_join(F.collect_list("_line"), between), F.lit(end))
+        texts = dealt.groupBy("_document").agg(body.alias("value")).select("value")
+        texts.write.option("maxRecordsPerFile", 1).option("compression", compression).text(path)
     return path
 
 
-def land(rows: DataFrame, columns: Sequence[str], root: str, feed: str) -> dict[str, str]:
+def land(rows: DataFrame, columns: Sequence[str], root: str, feed: str, compression: str = "none") -> dict[str, str]:
     """Write feed rows to ``root/feed/csv`` and ``root/feed/json`` by their source format."""
     of_format = {f: rows.filter(F.col("source_format") == f) for f in ("csv", "json")}
     return {
-        "csv_path": write_csv(of_format["csv"].select(*columns), f"{root}/{feed}/csv"),
-        "json_path": write_json_documents(of_format["json"], "row_key", columns, f"{root}/{feed}/json"),
+        "csv_path": write_csv(of_format["csv"].select(*columns), f"{root}/{feed}/csv", compression=compression),
+        "json_path": write_json_documents(of_format["json"], "row_key", columns, f"{root}/{feed}/json", compression),
     }

@@ -20,7 +20,7 @@ from lakeward.operators import rules as R
 from lakeward.operators.kpis import service_kpis
 from lakeward.operators.lineage import add_batch_lineage, number_copies
 from lakeward.plans.refresh import current_tables, refresh, side_by_side, store_layers, stored
-from lakeward.plans.scratch import scratch_database, scratch_root
+from lakeward.plans.scratch import drop_folder, scratch_database, scratch_root
 from lakeward.schemas import FILE_MONITORING_AUDIT
 from lakeward.sources.batch_log import BatchLog
 from lakeward.sources.landing import csv_rows, json_rows, read_landing, tag_source
@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_ID = "20260107000000"
 LANDING_BASE = "/landing"
+# Files landed only to be read back by the same query.
+LANDED = "gzip"
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -271,11 +273,8 @@ def _ingest_json_deep(spark, sf_dir):
         nested = F.concat(F.repeat(F.lit('{"d":'), levels), F.lit("1"), F.repeat(F.lit("}"), levels))
         deep = rows.select("row_key", F.concat(F.regexp_replace(F.to_json(F.struct(*d.columns)), "[}]$", ""), F.lit(',"nested":'), nested, F.lit("}")).alias("_line"))
         root = scratch_root(spark, "landing")
-        folders = {
-            "array": feeds.write_json_texts(deep, f"{root}/array", "[\n", ",\n", "\n]"),
-            "lines": feeds.write_json_texts(deep, f"{root}/lines", "", "\n", "\n"),
-        }
-        for layout, path in folders.items():
+        for layout, between in {"array": ("[\n", ",\n", "\n]"), "lines": ("", "\n", "\n")}.items():
+            path = feeds.write_json_texts(deep, f"{root}/{layout}", *between, LANDED)
             read = json_rows(spark.read, path, d.schema, multi_line=layout == "array")
             text = F.get_json_object("_rescued_data", "$.nested")
             depth = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
@@ -283,7 +282,10 @@ def _ingest_json_deep(spark, sf_dir):
                 F.count(F.lit(1)).alias("rows"), F.count("service").alias("with_service"),
                 F.count(F.get_json_object("_rescued_data", "$._corrupt_record")).alias("unread"),
             )
-            results.append(counted.select(F.lit(d.name).alias("dataset_name"), F.lit(layout).alias("layout"), "*"))
+            counted = counted.select(F.lit(d.name).alias("dataset_name"), F.lit(layout).alias("layout"), "*")
+            # Counted before the next files land, so that one feed stands on disk once, in one layout.
+            results.append(stored(counted, f"{root}/counted/{layout}"))
+            drop_folder(spark, path)
     return quality.union_by_name(results)
 
 
