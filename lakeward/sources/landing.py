@@ -105,7 +105,8 @@ def csv_stream_rows(reader, spark: SparkSession, path: str, schema: StructType)
     """
     known, headers = header_table(spark, path)
     lines = reader.format("text").load(path).select(F.col("value").alias("_text"), *_file_metadata())
-    lines = lines.where(F.trim("_text") != "").join(known, "file_path", "left")
+    # One row per file, from the driver's listing: its broadcast spares every line a shuffle to its file's task.
+    lines = lines.where(F.trim("_text") != "").join(F.broadcast(known), "file_path", "left")
     late = F.raise_error(F.concat(F.lit("the header was not known yet of "), "file_path")).cast("int")
     lines = lines.where(~F.col("_text").eqNullSafe(F.col("header_line"))).withColumn("header", F.coalesce("header", late))
     fields = F.lit(None).cast("map<string,string>")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeward.datasets import Dataset
 from lakeward.operators.lineage import add_batch_lineage
 from lakeward.sources.landing import read_landing
+from lakeward.sources.tables import COMPRESSION
 
 
 def content_columns(dataset: Dataset) -> list[str]:
@@ -51,6 +52,7 @@ def ingest_available(stream: DataFrame, table_path: str, checkpoint: str, layout
         stream.writeStream.format("parquet")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint)
+        .option("compression", COMPRESSION)
         .partitionBy(layout)
         .trigger(availableNow=True)
         .start()

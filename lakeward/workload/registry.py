@@ -223,18 +223,17 @@ def _project_declared_schema(spark, sf_dir):
     return read_landing(spark, STAFF_SCHEDULE.schema, RUN_TS, **paths).select(*STAFF_SCHEDULE.columns, "source_format")
 
 
-def _evolved(s: Session, d: Dataset) -> dict[str, str]:
+def _evolved(s: Session, d: Dataset, root: str) -> dict[str, str]:
     """A CSV folder in which an older file lacks the last column, and a newer one moves the first and adds ``ward``."""
     size = F.length("row_key")
     rows = feeds.raw_feed(s.spark, s.sf_dir, d).withColumn("ward", F.when(size % 2 == 0, F.concat(F.lit("w"), size)))
-    root, names = scratch_root(s.spark, "landing"), d.columns
-    path = f"{root}/{d.feed}/csv"
-    feeds.write_csv(rows.filter("source_format = 'csv'").select(*names[:-1]), path)
-    feeds.write_csv(rows.filter("source_format = 'json'").select("ward", *names[1:], names[0]), path, "append")
+    names, path = d.columns, f"{root}/{d.feed}/csv"
+    feeds.write_csv(rows.filter("source_format = 'csv'").select(*names[:-1]), path, compression=LANDED)
+    feeds.write_csv(rows.filter("source_format = 'json'").select("ward", *names[1:], names[0]), path, "append", LANDED)
     return {"csv_path": path}
 
 
-def _schema_evolution(read: Callable[[Session, Dataset, dict[str, str]], DataFrame]) -> Query:
+def _schema_evolution(read: Callable[[Session, Dataset, dict[str, str], str], DataFrame]) -> Query:
     """Per feed: rows, how many have each column, and rescued wards, after the header changed."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,20 +243,25 @@ def _schema_evolution(read: Callable[[Session, Dataset, dict[str, str]], DataFra
             ward = F.get_json_object("_rescued_data", "$.ward")
             counts = [F.count(F.lit(1)).alias("rows"), F.count(first).alias("with_first"), F.count(last).alias("with_last"),
                       F.count(ward).alias("with_ward"), F.count_distinct(F.concat_ws("|", F.col(first), ward)).alias("pairs")]
-            results.append(read(s, d, _evolved(s, d)).agg(*counts).select(F.lit(d.name).alias("dataset_name"), "*"))
+            root = scratch_root(spark, "evolved")
+            counted = read(s, d, _evolved(s, d, f"{root}/landing"), root).agg(*counts)
+            results.append(stored(counted.select(F.lit(d.name).alias("dataset_name"), "*"), f"{root}/counted"))
+            # Counted and dropped before the next feed lands.
+            for folder in ("landing", "bronze"):
+                drop_folder(spark, f"{root}/{folder}")
         return quality.union_by_name(results)
 
     return query
 
 
-def _read_evolved(s: Session, d: Dataset, paths: dict[str, str]) -> DataFrame:
+def _read_evolved(s: Session, d: Dataset, paths: dict[str, str], root: str) -> DataFrame:
     return read_landing(s.spark, d.schema, RUN_TS, **paths)
 
 
-def _stream_evolved(s: Session, d: Dataset, paths: dict[str, str]) -> DataFrame:
-    root = scratch_root(s.spark, "bronze")
+def _stream_evolved(s: Session, d: Dataset, paths: dict[str, str], root: str) -> DataFrame:
     stream = bronze_stream(s.spark, d, BATCH_ID, RUN_TS, **paths)
     ingest_available(stream, f"{root}/bronze", f"{root}/checkpoint")
+    drop_folder(s.spark, f"{root}/landing")
     return s.spark.read.schema(stream.schema).parquet(f"{root}/bronze")
 
 

@@ -5,7 +5,10 @@ from pathlib import Path
 
 import pytest
 
+from helpers import RUN_TS
+from lakeward.datasets import STAFF
 from lakeward.sources.tables import shuffles_freed, write_path
+from lakeward.streaming.ingest import bronze_stream, ingest_available
 from lakeward.workload import registry
 
 LINES = 240
@@ -71,3 +74,18 @@ def test_deep_json_stands_on_disk_in_one_layout_of_one_feed(run):
     for layout in ("array", "lines"):
         assert sum(r.rows for r in rows if (r.dataset_name, r.layout) == ("patients", layout)) == patients
     assert all(r.unread == 0 for r in rows)
+
+
+@pytest.mark.parametrize("name", ["stream_ingest_evolved", "schema_evolution_union"])
+def test_evolved_feeds_are_dropped_once_counted(run, name):
+    rows, left = run(name)
+    assert left and all("/counted/" in f for f in left), left
+    assert {r.dataset_name: r.rows for r in rows} == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
+
+
+def test_a_csv_stream_does_not_shuffle_its_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("staff_id,role\ns1,nurse\n")
+    stream = bronze_stream(spark, STAFF, "20260107000000", RUN_TS, csv_path=str(tmp_path))
+    query = ingest_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    plan = query._jsq.explainInternal(False)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
