@@ -128,7 +128,7 @@ class Session:
             LANDING_BASE,
         )
 
-    def landing(self, d: Dataset, raw: bool = False) -> tuple[dict[str, str], str]:
+    def landing(self, d: Dataset, raw: bool = False, compression: str = "none") -> tuple[dict[str, str], str]:
         """Write a feed as files; gives its CSV and JSON folders and the root above them."""
         root = scratch_root(self.spark, "landing")
         if raw:
@@ -136,10 +136,10 @@ class Session:
             columns = [c for c in rows.columns if c not in ("source_format", "row_key")]
         else:
             rows, columns = feeds.clean_text_feed(self.spark, self.sf_dir, d), d.columns
-        return feeds.land(rows, columns, root, d.feed), root
+        return feeds.land(rows, columns, root, d.feed, compression), root
 
-    def ingested(self, d: Dataset, raw: bool = False) -> DataFrame:
-        paths, _ = self.landing(d, raw)
+    def ingested(self, d: Dataset, raw: bool = False, compression: str = "none") -> DataFrame:
+        paths, _ = self.landing(d, raw, compression)
         landed = read_landing(self.spark, d.schema, RUN_TS, **paths)
         return add_batch_lineage(landed, BATCH_ID, RUN_TS, content_columns(d))
 
@@ -326,7 +326,7 @@ def _rescued_data(spark, sf_dir):
 
 def _serialization_errors(spark, sf_dir):
     s = Session(spark, sf_dir)
-    return quality.serialization_errors(spark, {d.name: s.ingested(d, raw=True) for d in DATASETS})
+    return quality.serialization_errors(spark, {d.name: s.ingested(d, raw=True, compression=LANDED) for d in DATASETS})
 
 
 def _file_metadata(spark, sf_dir):

@@ -89,3 +89,10 @@ def test_a_csv_stream_does_not_shuffle_its_lines(spark, tmp_path):
     query = ingest_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
     plan = query._jsq.explainInternal(False)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_errors_are_read_from_packed_files_and_no_table_beside_them(run):
+    rows, left = run("serialization_errors")
+    assert left and all(f.endswith(".gz") for f in left), left
+    assert rows and {r.error_type for r in rows} == {"SERIALIZATION_ERROR"}
+    assert {r.dataset for r in rows} == {"patients", "staff", "staff_schedule", "services"}
