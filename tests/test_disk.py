@@ -91,6 +91,16 @@ def test_a_csv_stream_does_not_shuffle_its_lines(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_a_restarted_stream_is_dropped_once_counted(run):
+    rows, left = run("stream_restarted")
+    assert left and all("/counted/" in f for f in left), left
+    counted = {d: sum(r.rows for r in rows if r.dataset_name == d) for d in {r.dataset_name for r in rows}}
+    assert counted == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
+    assert {r.died for r in rows} == {"true"}
+    # The copies of a key with the same values are one row, the others differ.
+    assert all(0 < r.different_rows <= r.rows for r in rows)
+
+
 def test_errors_are_read_from_packed_files_and_no_table_beside_them(run):
     rows, left = run("serialization_errors")
     assert left and all(f.endswith(".gz") for f in left), left
