@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS
-from lakeward.functions.expressions import joined_key
+from lakeward.functions.expressions import ColumnOrName, joined_key
 from lakeward.operators.refine import RECENCY, TIE_BREAKER, latest_by
 from lakeward.operators.rules import PASSED, passing
 from lakeward.schemas import SERIALIZATION_ERRORS
@@ -22,21 +22,33 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _tagged(frames: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+def _tagged(frames: Mapping[str, DataFrame], columns: Sequence[ColumnOrName]) -> DataFrame:
     return union_by_name([df.select(F.lit(name).alias("dataset_name"), *columns) for name, df in frames.items()])
 
 
-def data_quality_metrics(
-    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
-) -> DataFrame:
-    """One row per feed and batch: received = valid + quarantined + duplicates removed.
+_GROUP = ["dataset_name", "batch_id"]
 
-    Each term is counted where it stands: received in ``validated``, valid in the silver table,
-    quarantined in the quarantine table, and duplicates among the keys of the passing rows. Rows
-    lost from either table therefore fail the reconciliation. The feeds, keyed by dataset name, are united
-    first, so each term is one aggregate over narrow columns.
-    """
-    group = ["dataset_name", "batch_id"]
+
+def received_counts(validated: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, different record hashes, passing rows and first processing time of the judged rows, per feed and batch."""
+    # A hash written in hex is shuffled as the bytes it stands for, any other text as it is.
+    text = F.col("record_hash")
+    packed = F.when((F.length(text) == 64) & (F.lower(text) == text), F.unhex(text))
+    tagged = _tagged(validated, ["batch_id", packed.alias("_packed"), F.when(packed.isNull(), text).alias("_text"), "processed_timestamp", PASSED])
+    # Counting per hash first leaves each hash once for the distinct count.
+    hashes = tagged.groupBy(*_GROUP, "_packed", "_text").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("processed_timestamp").alias("_start"), F.count_if(F.col(PASSED)).alias("_passed")
+    )
+    return hashes.groupBy(*_GROUP).agg(
+        F.sum("_rows").alias("records_received"),
+        F.count_if(F.col("_packed").isNotNull() | F.col("_text").isNotNull()).alias("records_distinct"),
+        F.min("_start").alias("processing_start"),
+        F.sum("_passed").alias("_valid_before"),
+    )
+
+
+def newest_counts(validated: Mapping[str, DataFrame]) -> DataFrame:
+    """How many keys of the passing rows have their newest row in a batch, per feed and batch."""
     feeds = {d.name: d for d in DATASETS if d.name in validated}
     keyed = union_by_name(
         [
@@ -46,23 +58,32 @@ def data_quality_metrics(
             for name, d in feeds.items()
         ]
     )
-    newest = latest_by(keyed, ["dataset_name", "_key"]).groupBy(*group).agg(F.count(F.lit(1)).alias("_newest"))
-    rejected = _tagged(quarantine, ["batch_id", "rejection_timestamp"]).groupBy(*group).agg(
+    return latest_by(keyed, ["dataset_name", "_key"]).groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_newest"))
+
+
+def data_quality_metrics(
+    validated: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
+) -> DataFrame:
+    """One row per feed and batch: received = valid + quarantined + duplicates removed.
+
+    Each term is counted where it stands: received in ``validated``, valid in the silver table,
+    quarantined in the quarantine table, and duplicates among the keys of the passing rows. Rows
+    lost from either table therefore fail the reconciliation. The feeds, keyed by dataset name, are united
+    first, so each term is one aggregate over narrow columns.
+    """
+    return reconciled(received_counts(validated), newest_counts(validated), silver, quarantine)
+
+
+def reconciled(
+    received: DataFrame, newest: DataFrame, silver: Mapping[str, DataFrame], quarantine: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The metrics, from what ``received_counts`` and ``newest_counts`` found before the tables were written."""
+    rejected = _tagged(quarantine, ["batch_id", "rejection_timestamp"]).groupBy(*_GROUP).agg(
         F.count(F.lit(1)).alias("_rejected"), F.max("rejection_timestamp").alias("_rejected_end")
     )
-    kept = _tagged(silver, ["batch_id", "silver_processed_timestamp"]).groupBy(*group).agg(
+    kept = _tagged(silver, ["batch_id", "silver_processed_timestamp"]).groupBy(*_GROUP).agg(
         F.count(F.lit(1)).alias("_valid"), F.max("silver_processed_timestamp").alias("_silver_end")
     )
-    # Counting per hash first leaves each hash once for the distinct count.
-    hashes = _tagged(validated, ["batch_id", "record_hash", "processed_timestamp", PASSED]).groupBy(*group, "record_hash").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("processed_timestamp").alias("_start"), F.count_if(F.col(PASSED)).alias("_passed")
-    )
-    received = hashes.groupBy(*group).agg(
-        F.sum("_rows").alias("records_received"),
-        F.count("record_hash").alias("records_distinct"),
-        F.min("_start").alias("processing_start"),
-        F.sum("_passed").alias("_valid_before"),
-    )
 
     def share(count: str):
         return F.round(
@@ -70,7 +91,7 @@ def data_quality_metrics(
         )
 
     # ``greatest`` skips NULLs, so it also serves when only one side has an end time.
-    parts = received.join(kept, group, "left").join(rejected, group, "left").join(newest, group, "left")
+    parts = received.join(kept, _GROUP, "left").join(rejected, _GROUP, "left").join(newest, _GROUP, "left")
     counted = parts.select(
         "batch_id",
         "dataset_name",

@@ -62,6 +62,9 @@ class Session:
     def all_bronze(self) -> dict[str, DataFrame]:
         return {d.name: self.bronze(d) for d in DATASETS}
 
+    def bronze_rows(self) -> dict[str, DataFrame]:
+        return {d.name: feeds.bronze_rows(self.spark, self.sf_dir, d) for d in DATASETS}
+
     def processed(self, d: Dataset) -> DataFrame:
         return refine.process(self.bronze(d), d)
 
@@ -112,7 +115,7 @@ class Session:
 
     def quality_metrics(self) -> DataFrame:
         root = scratch_root(self.spark, "layers")
-        return quality.data_quality_metrics(*store_layers(self.spark, self.all_bronze(), RUN_TS, f"{root}/tables", f"{root}/staging"))
+        return store_layers(self.spark, self.bronze_rows(), RUN_TS, f"{root}/tables", f"{root}/staging").metrics()
 
     def events(self) -> DataFrame:
         return feeds.control_events(self.spark, self.sf_dir)
@@ -305,14 +308,14 @@ def _ingest_json_deep(spark, sf_dir):
 def _reconciliation_detects_loss(spark, sf_dir):
     """Metrics of every feed when each stored table lacks the rows of one source format."""
     s, root = Session(spark, sf_dir), scratch_root(spark, "layers")
-    judged, kept, rejected = store_layers(spark, s.all_bronze(), RUN_TS, f"{root}/tables", f"{root}/staging")
+    layers = store_layers(spark, s.bronze_rows(), RUN_TS, f"{root}/tables", f"{root}/staging")
     results = []
     for lost in ("none", "silver", "quarantine"):
         left = [
             {n: t.filter("source_format <> 'json'") if layer == lost else t for n, t in tables.items()}
-            for layer, tables in (("silver", kept), ("quarantine", rejected))
+            for layer, tables in (("silver", layers.silver), ("quarantine", layers.quarantine))
         ]
-        metrics = quality.data_quality_metrics(judged, *left)
+        metrics = quality.reconciled(layers.received, layers.newest, *left)
         results.append(metrics.select(F.lit(lost).alias("lost"), "dataset_name", "batch_id", "records_valid", "records_quarantined", "reconciliation_passed"))
     return quality.union_by_name(results)
 

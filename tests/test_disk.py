@@ -5,8 +5,9 @@ from pathlib import Path
 
 import pytest
 
-from helpers import RUN_TS
-from lakeward.datasets import STAFF
+from helpers import RUN_TS, rows
+from lakeward.datasets import DATASETS, STAFF
+from lakeward.operators import quality, refine
 from lakeward.sources.tables import shuffles_freed, write_path
 from lakeward.streaming.ingest import bronze_stream, ingest_available
 from lakeward.workload import registry
@@ -68,19 +69,19 @@ def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path):
 
 
 def test_deep_json_stands_on_disk_in_one_layout_of_one_feed(run):
-    rows, left = run("ingest_json_deep")
+    found, left = run("ingest_json_deep")
     assert left and all("/counted/" in f for f in left), left
     patients = sum(1 for i in range(LINES) if i % 7 % 2)
     for layout in ("array", "lines"):
-        assert sum(r.rows for r in rows if (r.dataset_name, r.layout) == ("patients", layout)) == patients
-    assert all(r.unread == 0 for r in rows)
+        assert sum(r.rows for r in found if (r.dataset_name, r.layout) == ("patients", layout)) == patients
+    assert all(r.unread == 0 for r in found)
 
 
 @pytest.mark.parametrize("name", ["stream_ingest_evolved", "schema_evolution_union"])
 def test_evolved_feeds_are_dropped_once_counted(run, name):
-    rows, left = run(name)
+    found, left = run(name)
     assert left and all("/counted/" in f for f in left), left
-    assert {r.dataset_name: r.rows for r in rows} == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
+    assert {r.dataset_name: r.rows for r in found} == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
 
 
 def test_a_csv_stream_does_not_shuffle_its_lines(spark, tmp_path):
@@ -92,17 +93,36 @@ def test_a_csv_stream_does_not_shuffle_its_lines(spark, tmp_path):
 
 
 def test_a_restarted_stream_is_dropped_once_counted(run):
-    rows, left = run("stream_restarted")
+    found, left = run("stream_restarted")
     assert left and all("/counted/" in f for f in left), left
-    counted = {d: sum(r.rows for r in rows if r.dataset_name == d) for d in {r.dataset_name for r in rows}}
+    counted = {d: sum(r.rows for r in found if r.dataset_name == d) for d in {r.dataset_name for r in found}}
     assert counted == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
-    assert {r.died for r in rows} == {"true"}
+    assert {r.died for r in found} == {"true"}
     # The copies of a key with the same values are one row, the others differ.
-    assert all(0 < r.different_rows <= r.rows for r in rows)
+    assert all(0 < r.different_rows <= r.rows for r in found)
 
 
 def test_errors_are_read_from_packed_files_and_no_table_beside_them(run):
-    rows, left = run("serialization_errors")
+    found, left = run("serialization_errors")
     assert left and all(f.endswith(".gz") for f in left), left
-    assert rows and {r.error_type for r in rows} == {"SERIALIZATION_ERROR"}
-    assert {r.dataset for r in rows} == {"patients", "staff", "staff_schedule", "services"}
+    assert found and {r.error_type for r in found} == {"SERIALIZATION_ERROR"}
+    assert {r.dataset for r in found} == {"patients", "staff", "staff_schedule", "services"}
+
+
+def test_judged_rows_do_not_stand_beside_their_tables(run):
+    found, left = run("data_quality_metrics")
+    tables = {f"{layer}_{d.name}" for d in DATASETS for layer in ("silver", "quarantine")}
+    assert {f.split("/")[-2] for f in left if "/tables/" in f} == tables
+    others = {tuple(f.split("/")[-3:-1]) for f in left if "/tables/" not in f}
+    assert others == {(count, d.name) for d in DATASETS for count in ("received", "newest")}
+    received = {d: sum(r.records_received for r in found if r.dataset_name == d) for d in {r.dataset_name for r in found}}
+    assert received == {"patients": LINES, "staff": 30, "staff_schedule": 80, "services": 60}
+    assert {r.reconciliation_passed for r in found} == {"true"}
+
+
+def test_hashes_that_are_hex_or_not_are_told_apart_as_texts(spark):
+    digest = "0123456789abcdef" * 4
+    texts = [digest, digest, digest.upper(), digest[:-1], digest[:-1] + "g", "0" + digest, "", "h", "h", None, None]
+    judged = refine.process(rows(spark, STAFF, [{"record_hash": t} for t in texts]), STAFF)
+    counts = quality.received_counts({STAFF.name: judged}).collect()
+    assert [(r.records_received, r.records_distinct) for r in counts] == [(len(texts), len({t for t in texts if t is not None}))]
