@@ -126,3 +126,17 @@ def test_hashes_that_are_hex_or_not_are_told_apart_as_texts(spark):
     judged = refine.process(rows(spark, STAFF, [{"record_hash": t} for t in texts]), STAFF)
     counts = quality.received_counts({STAFF.name: judged}).collect()
     assert [(r.records_received, r.records_distinct) for r in counts] == [(len(texts), len({t for t in texts if t is not None}))]
+
+
+@pytest.mark.parametrize("name", ["refreshed_bottlenecks"])
+def test_a_full_run_leaves_its_tables_and_no_copy_of_the_feeds(run, name):
+    found, left = run(name)
+    assert left and all("/versions/" in f for f in left), left
+    # Four silver, four quarantine, and eight other tables.
+    assert len({f.split("/versions/")[1].split("/")[1] for f in left}) == 16
+    if name == "refreshed_tables":
+        counted = {r.table_name: r.rows for r in found}
+        patients = counted["silver_patients"] + counted["quarantine_patients"]
+        assert 0 < counted["silver_patients"] and patients <= LINES and counted["quarantine_staff"] + counted["silver_staff"] <= 30
+    else:
+        assert found and {r.bottleneck_flag for r in found} <= {"YES", "NO"}
