@@ -128,7 +128,7 @@ def test_hashes_that_are_hex_or_not_are_told_apart_as_texts(spark):
     assert [(r.records_received, r.records_distinct) for r in counts] == [(len(texts), len({t for t in texts if t is not None}))]
 
 
-@pytest.mark.parametrize("name", ["refreshed_bottlenecks"])
+@pytest.mark.parametrize("name", ["refreshed_bottlenecks", "refreshed_tables"])
 def test_a_full_run_leaves_its_tables_and_no_copy_of_the_feeds(run, name):
     found, left = run(name)
     assert left and all("/versions/" in f for f in left), left
