@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from threading import Lock
 
@@ -76,23 +76,30 @@ def write_table(
     bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> None:
     """Save a catalog table. Bucketing on the deduplication keys lets ``latest_by`` skip its shuffle."""
-    writer = _arranged(df, partition_by, () if bucket_by else sort_by).write.mode(mode).format("parquet")
+    writer = _arranged(df, partition_by, () if bucket_by else sort_by).write.mode(mode).format("parquet").option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         count, keys = bucket_by
         writer = writer.bucketBy(count, *keys).sortBy(*(sort_by or keys))
-    writer.saveAsTable(name)
+    with shuffles_freed(df.sparkSession):
+        writer.saveAsTable(name)
 
 
-def saved_tables(tables: Mapping[str, DataFrame], database: str, partition_by: Sequence[str] = ("batch_id",)) -> dict[str, DataFrame]:
+def saved_tables(
+    tables: Mapping[str, DataFrame | Iterable[DataFrame]], database: str, partition_by: Sequence[str] = ("batch_id",)
+) -> dict[str, DataFrame]:
     """Save frames as catalog tables of ``database`` and read them back by name.
 
-    Partitioned by batch, a join to the current batch prunes their scans at run time.
+    Partitioned by batch, a join to the current batch prunes their scans at run time. A table may come in
+    parts, which are saved one after the other: the shuffle that deals rows to batches then holds one part.
     """
-    for name, df in tables.items():
-        write_table(df, f"{database}.{name}", partition_by=partition_by)
-    return {name: df.sparkSession.read.table(f"{database}.{name}") for name, df in tables.items()}
+    saved = {}
+    for name, frames in tables.items():
+        for number, part in enumerate([frames] if isinstance(frames, DataFrame) else frames):
+            write_table(part, f"{database}.{name}", "append" if number else "overwrite", partition_by)
+        saved[name] = part.sparkSession.read.table(f"{database}.{name}")
+    return saved
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date, datetime
 from functools import cache
 from math import ceil
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from lakeward.datasets import DATASETS, PATIENTS, SERVICES, STAFF, STAFF_SCHEDULE, Dataset
 from lakeward.plans.refresh import stored
-from lakeward.plans.scratch import exists, scratch_root
+from lakeward.plans.scratch import drop_folder, exists, scratch_root
+from lakeward.sources.files import names_in
 from lakeward.sources.tables import shuffles_freed
 from lakeward.workload import feed_sql
 
@@ -37,6 +38,8 @@ _TABLES = ("nation", "customer", "orders", "lineitem", "events")
 # Small row groups let several tasks read a small table of one file.
 ROW_GROUP_BYTES = 8 << 20
 ROWS_PER_DOCUMENT = 50_000
+# A feed that is written with a shuffle is written in so many parts.
+PARTS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +117,19 @@ def bronze_rows(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame
     return _unstored(spark, sf_dir, dataset).drop("row_key")
 
 
+def bronze_parts(spark: SparkSession, sf_dir: str, dataset: Dataset, parts: int = PARTS) -> Iterator[DataFrame]:
+    """The rows of ``bronze`` in at most so many parts, for a write that shuffles them: at least one, be it empty.
+
+    While parts are taken, the feed is kept without what follows from its other columns; then it is dropped.
+    """
+    path = scratch_root(spark, "feed")
+    rows = stored(_from_tables(spark, sf_dir, BRONZE_SQL[dataset.name]), path)
+    files = [f"{path}/{name}" for name in names_in(spark, path)]
+    for part in [files[i::parts] for i in range(min(parts, len(files)))] or [[path]]:
+        yield _with_lineage(spark.read.schema(rows.schema).parquet(*part)).drop("row_key")
+    drop_folder(spark, path)
+
+
 def raw_feed(spark: SparkSession, sf_dir: str, dataset: Dataset) -> DataFrame:
     """The feed as text with unreadable values and undeclared fields."""
     return _query(spark, RAW_SQL[dataset.name], **{dataset.bronze_table: _unstored(spark, sf_dir, dataset).drop(*_ADDED)})

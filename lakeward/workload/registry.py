@@ -481,7 +481,7 @@ def _batch_close(s: Session) -> DataFrame:
 
 def _batch_close_catalog(s: Session) -> DataFrame:
     """As ``batch_close``, over catalog tables read by name, of which only the current batch's partitions are read."""
-    bronze = saved_tables({d.bronze_table: s.bronze(d) for d in DATASETS}, scratch_database(s.spark, "bronze"))
+    bronze = saved_tables({d.bronze_table: feeds.bronze_parts(s.spark, s.sf_dir, d) for d in DATASETS}, scratch_database(s.spark, "bronze"))
     events = s.events()
     closing = batches.close_events(batches.batch_state(events), bronze, batches.COMPLETED, RUN_TS)
     return batches.batch_state(events.unionByName(closing))

@@ -8,9 +8,10 @@ import pytest
 from helpers import RUN_TS, rows
 from lakeward.datasets import DATASETS, STAFF
 from lakeward.operators import quality, refine
-from lakeward.sources.tables import shuffles_freed, write_path
+from lakeward.plans.scratch import scratch_database
+from lakeward.sources.tables import saved_tables, shuffles_freed, write_path
 from lakeward.streaming.ingest import bronze_stream, ingest_available
-from lakeward.workload import registry
+from lakeward.workload import feeds, registry
 
 LINES = 240
 SMALL = {
@@ -140,3 +141,25 @@ def test_a_full_run_leaves_its_tables_and_no_copy_of_the_feeds(run, name):
         assert 0 < counted["silver_patients"] and patients <= LINES and counted["quarantine_staff"] + counted["silver_staff"] <= 30
     else:
         assert found and {r.bottleneck_flag for r in found} <= {"YES", "NO"}
+
+
+def test_catalog_tables_are_saved_in_parts_and_the_feed_is_dropped(run):
+    found, left = run("batch_close_catalog")
+    # The control events are made of the stored staff feed.
+    assert left and all("/batch_id=" in f or "/bronze_staff/" in f for f in left), left
+    closed = [r for r in found if r.batch_id == "20260102000000"]
+    assert [r.status for r in closed] == ["COMPLETED"] and closed[0].processed_records > 0
+
+
+def test_parts_of_a_feed_are_the_feed(spark, small):
+    for d in DATASETS:
+        parts = [sorted(map(str, part.collect())) for part in feeds.bronze_parts(spark, str(small), d, 3)]
+        assert 1 <= len(parts) <= 3
+        assert sorted(row for part in parts for row in part) == sorted(map(str, feeds.bronze(spark, str(small), d).collect()))
+
+
+def test_parts_are_appended_to_one_table(spark):
+    frame = rows(spark, STAFF, [{"batch_id": f"2026010{i % 2}", "staff_id": f"s{i}"} for i in range(10)])
+    parts = (frame.filter(f"pmod(xxhash64(staff_id), 3) = {i}") for i in range(3))
+    saved = saved_tables({"bronze_staff": parts}, scratch_database(spark, "parts"))["bronze_staff"]
+    assert sorted((r.batch_id, r.staff_id) for r in saved.collect()) == sorted((r.batch_id, r.staff_id) for r in frame.collect())
