@@ -200,7 +200,8 @@ def write_json_texts(lines: DataFrame, path: str, start: str, between: str, end:
 def land(rows: DataFrame, columns: Sequence[str], root: str, feed: str, compression: str = "none") -> dict[str, str]:
     """Write feed rows to ``root/feed/csv`` and ``root/feed/json`` by their source format."""
     of_format = {f: rows.filter(F.col("source_format") == f) for f in ("csv", "json")}
+    # JSON first: its texts are shuffled, which takes the most disk while there are no CSV files yet.
     return {
-        "csv_path": write_csv(of_format["csv"].select(*columns), f"{root}/{feed}/csv", compression=compression),
         "json_path": write_json_documents(of_format["json"], "row_key", columns, f"{root}/{feed}/json", compression),
+        "csv_path": write_csv(of_format["csv"].select(*columns), f"{root}/{feed}/csv", compression=compression),
     }
